@@ -60,99 +60,131 @@ _GAPS = ("higher_window", "lower_window")
 
 
 def _search(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-    """Batch search, by window functions over blocks of `horizon` seconds.
+    """Batch search by window functions, second by second.
 
-    Every time goes to its own block and, to be looked ahead at, to the block
-    before, so a block is complete without its neighbour. The gap counts whole
-    seconds, so it is enough to know in which second the first move lies:
+    The gap counts whole seconds, so it is enough to know in which second the
+    first move lies:
 
     * in the rest of the time's own second: a running extreme from its end;
     * in one of the seconds in between: the extremes per second, at most two
-      horizons of them in a block;
+      horizons of them around a time;
     * in the last second, which counts only up to t + horizon: a running
       extreme, asked by a probe row placed at t + horizon.
 
-    A block holds each microsecond once, whatever the number of ticks, and the
-    window functions sort and spill: nothing grows with the square of a block.
+    Times are spread over blocks of a few horizons; those in the first horizon
+    of a block are also sent to the block before, which can then be searched
+    without its neighbour, and all steps run on that one partitioning. A block
+    holds each microsecond once, whatever the number of ticks, and the window
+    functions sort and spill: nothing grows with the square of a block.
     """
-    us = as_micros(F.col("timestamp"))
     span = horizon * 1_000_000
-    block = floor_micros(F.col("us"), span)
-    copies = F.array(
-        F.struct(block.alias("block"), F.lit(True).alias("own")),
-        F.struct((block - F.lit(span)).alias("block"), F.lit(False).alias("own")),
-    )
-    placed = (
-        extremes.select(*keys, us.alias("us"), "lo", "hi")
-        .select(*keys, "us", "lo", "hi", F.inline(copies))
-        .withColumn("second", whole_seconds(F.col("us")))
-        .repartition(*keys, "block")
-    )
+    placed = _placed(extremes, keys, span)
 
-    rest = (
-        Window.partitionBy(*keys, "block", "second")
-        .orderBy(F.desc("us"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = placed.withColumns(
+    second = Window.partitionBy(*keys, "block", "second")
+    rest = second.orderBy(F.desc("us")).rowsBetween(Window.unboundedPreceding, -1)
+    opened = placed.withColumns(
         {
             "rises": F.max("hi").over(rest) > F.col("lo"),
             "falls": F.min("lo").over(rest) < F.col("hi"),
         }
     )
 
+    # Rows from here on: a tick is seen, a probe asks for one not yet answered.
+    answered = F.coalesce(F.col("rises") & F.col("falls"), F.lit(False))
+    no_price = F.lit(None).cast("double")
     tick = F.struct(
-        F.col("second"), F.col("us"), F.lit(False).alias("probe"), F.col("lo").alias("seen_lo"),
+        F.lit(False).alias("probe"),
+        "us",
+        "second",
+        F.col("lo").alias("seen_lo"),
         F.col("hi").alias("seen_hi"),
     )
     probe = F.struct(
-        (F.col("second") + F.lit(horizon)).alias("second"),
-        (F.col("us") + F.lit(span)).alias("us"),
         F.lit(True).alias("probe"),
-        F.lit(None).cast("double").alias("seen_lo"),
-        F.lit(None).cast("double").alias("seen_hi"),
+        (F.col("us") + F.lit(span)).alias("us"),
+        (F.col("second") + F.lit(horizon)).alias("second"),
+        no_price.alias("seen_lo"),
+        no_price.alias("seen_hi"),
     )
-    with_probes = placed.select(
+    asked = opened.select(
         *keys,
         "block",
         "lo",
         "hi",
         "rises",
         "falls",
-        F.inline(F.when(F.col("own"), F.array(tick, probe)).otherwise(F.array(tick))),
-    )
-
-    whole = Window.partitionBy(*keys, "block", "second")
-    so_far = whole.orderBy("us", "probe").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+        (F.col("own") & answered).alias("answered"),
+        F.inline(
+            F.when(F.col("own") & ~answered, F.array(tick, probe)).otherwise(F.array(tick))
+        ),
     )
-    per_block = Window.partitionBy(*keys, "block")
-    seen = with_probes.withColumns(
+    in_order = second.orderBy("us", "probe")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = asked.withColumns(
         {
             "so_far_lo": F.min("seen_lo").over(so_far),
             "so_far_hi": F.max("seen_hi").over(so_far),
-            "at": F.row_number().over(whole.orderBy("us", "probe")),
+            "first": F.row_number().over(in_order) == 1,
         }
     ).withColumns(
         {
-            "second_lo": F.min("seen_lo").over(whole),
-            "second_hi": F.max("seen_hi").over(whole),
+            "second_lo": F.min("seen_lo").over(second),
+            "second_hi": F.max("seen_hi").over(second),
         }
     )
-    summary = F.struct(
-        "second", F.col("second_lo").alias("lo"), F.col("second_hi").alias("hi")
+
+    # One summary per second goes to its own stretch of a horizon and to the
+    # stretch before, a probe to the stretch of the time it asks for.
+    origin = F.col("second") - F.lit(horizon)
+    own_stretch = F.floor(F.col("second") / F.lit(horizon))
+    summary = F.struct("second", F.col("second_lo").alias("lo"), F.col("second_hi").alias("hi"))
+    no_summary = F.lit(None).cast("struct<second:bigint,lo:double,hi:double>")
+
+    def row(stretch: Column, result: Column, summary: Column) -> Column:
+        return F.struct(
+            stretch.cast("long").alias("stretch"), result.alias("result"), summary.alias("summary")
+        )
+
+    result = F.col("probe") | F.col("answered")
+    result_row = row(
+        F.when(F.col("probe"), F.floor(origin / F.lit(horizon))), F.lit(True), no_summary
     )
-    seen = seen.withColumn(
-        "seconds", F.collect_list(F.when(F.col("at") == 1, summary)).over(per_block)
+    summary_rows = F.array(
+        row(own_stretch, F.lit(False), summary), row(own_stretch - 1, F.lit(False), summary)
+    )
+    nothing = F.array().cast(
+        "array<struct<stretch:bigint,result:boolean,"
+        "summary:struct<second:bigint,lo:double,hi:double>>>"
+    )
+    around = Window.partitionBy(*keys, "block", "stretch")
+    results = (
+        seen.select(
+            *keys,
+            "block",
+            "lo",
+            "hi",
+            F.coalesce("rises", F.lit(False)).alias("rises"),
+            F.coalesce("falls", F.lit(False)).alias("falls"),
+            "so_far_lo",
+            "so_far_hi",
+            (F.col("us") - F.when(F.col("probe"), F.lit(span)).otherwise(F.lit(0))).alias("us"),
+            origin.alias("origin"),
+            F.inline(
+                F.concat(
+                    F.when(result, F.array(result_row)).otherwise(nothing),
+                    F.when(F.col("first"), summary_rows).otherwise(nothing),
+                )
+            ),
+        )
+        .withColumn("seconds", F.collect_list("summary").over(around))
+        .filter("result")
     )
-
-    probes = seen.filter("probe").withColumn("origin", F.col("second") - F.lit(horizon))
 
     def between(matches) -> Column:
         inside = F.filter(
             "seconds",
             lambda s: (s["second"] > F.col("origin"))
-            & (s["second"] < F.col("second"))
+            & (s["second"] < F.col("origin") + F.lit(horizon))
             & matches(s),
         )
         return F.array_min(F.transform(inside, lambda s: s["second"])) - F.col("origin")
@@ -162,9 +194,9 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
             F.coalesce(in_between, F.when(last_second, F.lit(horizon)))
         )
 
-    return probes.select(
+    return results.select(
         *keys,
-        from_micros(F.col("us") - F.lit(span)).alias("timestamp"),
+        from_micros(F.col("us")).alias("timestamp"),
         gap(
             "rises", between(lambda s: s["hi"] > F.col("lo")), F.col("so_far_hi") > F.col("lo")
         ).alias("higher_window"),
@@ -174,6 +206,24 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
     )
 
 
+# Longer blocks mean fewer copies, shorter ones more parallel work.
+_HORIZONS_PER_BLOCK = 6
+
+
+def _placed(extremes: DataFrame, keys: list[str], span: int) -> DataFrame:
+    length = _HORIZONS_PER_BLOCK * span
+    block = floor_micros(F.col("us"), length)
+    own = F.struct(block.alias("block"), F.lit(True).alias("own"))
+    ahead = F.struct((block - F.lit(length)).alias("block"), F.lit(False).alias("own"))
+    copies = F.when(F.col("us") - block < span, F.array(own, ahead)).otherwise(F.array(own))
+    return (
+        extremes.select(*keys, as_micros(F.col("timestamp")).alias("us"), "lo", "hi")
+        .select(*keys, "us", "lo", "hi", F.inline(copies))
+        .withColumn("second", whole_seconds(F.col("us")))
+        .repartition(*keys, "block")
+    )
+
+
 def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
     """Streaming search, without a self-join: one sliding window instead of two kept sides.
 
