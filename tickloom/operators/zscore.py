@@ -133,9 +133,9 @@ def _scored(ticks: DataFrame, widths, rollup: bool) -> DataFrame:
 
     The statistics of a symbol and block (the longest width) become one row,
     so that the ticks move once, on (symbol, block), and not once per width.
-    The map of that row holds one entry per window of the block, at most the
-    sum of longest / width (199 for the six widths). A hot block is split by
-    adaptive skew handling: the statistics of a block are one small row.
+    That row has one place per window of the block, the sum of longest / width
+    (199 for the six widths), NULL where no score is possible. A hot block is
+    split by adaptive skew handling: its statistics are one small row.
     """
     if ticks.isStreaming:
         raise ValueError("streams are scored with zscore_rows, against a stream of statistics")
@@ -159,36 +159,31 @@ def _scored(ticks: DataFrame, widths, rollup: bool) -> DataFrame:
     where = F.lit(None).cast("int")
     for w in widths:
         where = F.when(F.col("window") == w.label, place(last, w)).otherwise(where)
-    stats = (
+    windows = (
         window_stats(ticks, widths, rollup)
         .filter(F.col("std_price") > 0)
         .groupBy("symbol", block_of(last).alias("block"))
         .agg(
             F.map_from_entries(
                 F.collect_list(F.struct(where.alias("at"), F.struct("avg_price", "std_price")))
-            ).alias("stats")
+            ).alias("windows")
         )
     )
-    us = as_micros(F.col("timestamp"))
-    keyed = ticks.select("timestamp", "symbol", "price", block_of(us).alias("block"))
-    found = keyed.join(stats, ["symbol", "block"], "left").select(
-        "timestamp",
+    places = F.sequence(F.lit(0), F.lit(entries - 1))
+    stats = windows.select(
         "symbol",
         "block",
-        "price",
-        *[F.col("stats")[place(us, w)].alias(f"at_{w.label}") for w in widths],
+        F.transform(places, lambda i: F.col("windows")[i]["avg_price"]).alias("avgs"),
+        F.transform(places, lambda i: F.col("windows")[i]["std_price"]).alias("stds"),
     )
-    return found.select(
-        "timestamp",
-        "symbol",
-        "block",
-        F.array(
-            *[
-                (F.col("price") - F.col(f"at_{w.label}.avg_price"))
-                / F.col(f"at_{w.label}.std_price")
-                for w in widths
-            ]
-        ).alias("z"),
+    us = as_micros(F.col("timestamp"))
+    keyed = ticks.select("timestamp", "symbol", "price", block_of(us).alias("block"))
+    scores = [
+        (F.col("price") - F.get("avgs", place(us, w))) / F.get("stds", place(us, w))
+        for w in widths
+    ]
+    return keyed.join(stats, ["symbol", "block"], "left").select(
+        "timestamp", "symbol", "block", F.array(*scores).alias("z")
     )
 
 
