@@ -21,7 +21,10 @@ def validate_ticks(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "value",
         F.col("data.symbol").alias("symbol"),
         F.col("data.price").alias("price_text"),
-        F.col("data.price").try_cast("double").alias("price"),
+        # Spark reads a bare NaN or Infinity as text in quotes.
+        F.regexp_replace("data.price", r'^"([-+]?(?:NaN|Infinity|INF))"$', "$1")
+        .try_cast("double")
+        .alias("price"),
         parse_time(F.col("data.timestamp")).alias("timestamp"),
         (F.col("data").isNull() | F.col("data._malformed").isNotNull()).alias("malformed"),
     )
