@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_micros, floor_micros, from_micros
+from ..functions import as_micros, floor_micros
 from ..widths import SIX, nested
 from .window_stats import width_seconds, window_stats
 
@@ -16,36 +16,46 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
     `stats` has the columns of `window_stats`, with ends on multiples of the
     width. The score is NULL where the deviation is missing or not positive.
 
-    In batch the join is on symbol, window and window end. As it moves each tick
-    once per width, use `tick_zscores` when the statistics are those of the
-    ticks themselves. On streams it is an interval join: besides its own width
-    every window is bounded by the longest width, a constant, from which Spark
-    derives how long a tick must be kept and how far to hold the watermark of
-    what follows.
+    A tick lies in exactly one window per width, so the join is on symbol,
+    window and window end, not on a range. As it moves each tick once per
+    width, use `tick_zscores` where a batch is scored by its own statistics.
+
+    On streams a tick must be within the longest width before the window end,
+    which follows from the key but is a constant: from it Spark derives how long
+    ticks are kept and how far to hold back the watermark of what follows.
     """
     widths = nested(widths)
-    ticks = ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
-    if ticks.isStreaming or stats.isStreaming:
-        return _interval_join(ticks, stats, widths)
     us = as_micros(F.col("timestamp"))
     spans = F.array(
         *[
             F.struct(
                 F.lit(w.label).alias("window"),
-                from_micros(floor_micros(us, w.micros) + F.lit(w.micros)).alias("window_end"),
+                (floor_micros(us, w.micros) + F.lit(w.micros)).alias("end"),
             )
             for w in widths
         ]
     )
-    moved = ticks.select("timestamp", "symbol", "price", F.inline(spans))
-    joined = moved.join(
-        stats.withColumnRenamed("timestamp", "window_end"), ["symbol", "window", "window_end"]
+    p = (
+        ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
+        .select("timestamp", "symbol", "price", F.inline(spans))
+        .alias("p")
     )
-    return joined.select(
-        "timestamp",
-        "symbol",
-        "window",
-        zscore(F.col("price"), F.col("avg_price"), F.col("std_price")).alias("zscore_price"),
+    m = stats.withColumn("end", us).alias("m")
+    same_window = (
+        (F.col("p.symbol") == F.col("m.symbol"))
+        & (F.col("p.window") == F.col("m.window"))
+        & (F.col("p.end") == F.col("m.end"))
+    )
+    if ticks.isStreaming or stats.isStreaming:
+        longest = F.expr(f"interval {widths[-1].seconds} seconds")
+        same_window &= (F.col("p.timestamp") < F.col("m.timestamp")) & (
+            F.col("p.timestamp") >= F.col("m.timestamp") - longest
+        )
+    return p.join(m, same_window).select(
+        F.col("p.timestamp").alias("timestamp"),
+        F.col("p.symbol").alias("symbol"),
+        F.col("p.window").alias("window"),
+        zscore(F.col("p.price"), F.col("m.avg_price"), F.col("m.std_price")).alias("zscore_price"),
     )
 
 
@@ -107,27 +117,6 @@ def zscore(price: Column, avg: Column, std: Column) -> Column:
     return F.when(std.isNotNull() & (std > 0), (price - avg) / std)
 
 
-def _interval_join(ticks: DataFrame, stats: DataFrame, widths) -> DataFrame:
-    p, m = ticks.alias("p"), stats.alias("m")
-    seconds = width_seconds(F.col("m.window"), widths)
-    joined = p.join(
-        m,
-        (F.col("p.symbol") == F.col("m.symbol"))
-        & (F.col("p.timestamp") < F.col("m.timestamp"))
-        & (F.col("p.timestamp") >= F.col("m.timestamp") - seconds * F.expr("interval 1 second"))
-        & (
-            F.col("p.timestamp")
-            >= F.col("m.timestamp") - F.expr(f"interval {widths[-1].seconds} seconds")
-        ),
-    )
-    return joined.select(
-        F.col("p.timestamp").alias("timestamp"),
-        F.col("p.symbol").alias("symbol"),
-        F.col("m.window").alias("window"),
-        zscore(F.col("p.price"), F.col("m.avg_price"), F.col("m.std_price")).alias("zscore_price"),
-    )
-
-
 def _scored(ticks: DataFrame, widths, rollup: bool) -> DataFrame:
     """(timestamp, symbol, block, z): scores in order of width.
 
