@@ -40,7 +40,7 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
         .select("timestamp", "symbol", "price", F.inline(spans))
         .alias("p")
     )
-    m = stats.withColumn("end", us).alias("m")
+    m = stats.withColumn("end", us)
     same_window = (
         (F.col("p.symbol") == F.col("m.symbol"))
         & (F.col("p.window") == F.col("m.window"))
@@ -51,7 +51,10 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
         same_window &= (F.col("p.timestamp") < F.col("m.timestamp")) & (
             F.col("p.timestamp") >= F.col("m.timestamp") - longest
         )
-    return p.join(m, same_window).select(
+    else:
+        # The statistics can outgrow the ticks they are estimated from: no broadcast.
+        m = m.hint("merge")
+    return p.join(m.alias("m"), same_window).select(
         F.col("p.timestamp").alias("timestamp"),
         F.col("p.symbol").alias("symbol"),
         F.col("p.window").alias("window"),
@@ -74,12 +77,12 @@ def tick_zscores(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFram
 def zscores(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame:
     """`zscore_array` of `tick_zscores`, regrouped where the join left the rows.
 
-    Ticks of one time and symbol share a block, so grouping by block as well
-    changes no group and lets Spark reuse the partitioning of the join.
+    Ticks of one time and symbol share block and part, so grouping by these as
+    well changes no group and lets Spark reuse the partitioning of the join.
     """
     widths = nested(widths)
     scored = _scored(ticks, widths, rollup)
-    grouped = scored.groupBy("symbol", "block", "timestamp").agg(
+    grouped = scored.groupBy("symbol", "block", "part", "timestamp").agg(
         F.collect_list("z").alias("zs")
     )
     per_width = [_all_of_width(F.col("zs"), i, w) for i, w in enumerate(widths)]
@@ -118,64 +121,100 @@ def zscore(price: Column, avg: Column, std: Column) -> Column:
 
 
 def _scored(ticks: DataFrame, widths, rollup: bool) -> DataFrame:
-    """(timestamp, symbol, block, z): scores in order of width.
+    """(timestamp, symbol, block, part, z): scores in order of width.
 
-    The statistics of a symbol and block (the longest width) become one row,
-    so that the ticks move once, on (symbol, block), and not once per width.
-    That row has one place per window of the block, the sum of longest / width
-    (199 for the six widths), NULL where no score is possible. A hot block is
-    split by adaptive skew handling: its statistics are one small row.
+    The ticks move once, on symbol and a part of the longest width (5 minutes
+    for the six widths), not once per width. The statistics of all windows that
+    touch a part are one small row, with a place per window (19 for the six
+    widths), built from the windows of one symbol and block, which is the
+    longest width (at most 199 windows).
+
+    Both sides of the join are shuffled for it, so adaptive skew handling can
+    split a hot part. The statistics grow with the data and are larger than what
+    Spark estimates from the scan, so they are never broadcast.
     """
     if ticks.isStreaming:
         raise ValueError("streams are scored with zscore_rows, against a stream of statistics")
     ticks = ticks.filter(
         F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("timestamp").isNotNull()
     )
-    longest = widths[-1].micros
-    position, entries = {}, 0
+    longest = widths[-1]
+    part = next((w for w in reversed(widths) if longest.seconds >= 12 * w.seconds), widths[0])
+    in_block, in_part, blocks, parts = {}, {}, 0, 0
     for w in widths:
-        position[w.label] = entries
-        entries += longest // w.micros
-
-    def block_of(us: Column) -> Column:
-        return floor_micros(us, longest)
+        in_block[w], in_part[w] = blocks, parts
+        blocks += longest.seconds // w.seconds
+        parts += max(1, part.seconds // w.seconds)
 
-    def place(us: Column, w) -> Column:
-        inside = F.pmod(us, F.lit(longest))
-        return (F.lit(position[w.label]) + F.floor(inside / w.micros)).cast("int")
+    def steps(us: Column, of: int, width: int) -> Column:
+        """In which stretch of `width` within the enclosing one of `of` a time lies."""
+        return F.floor(F.pmod(us, F.lit(of)) / F.lit(width)).cast("int")
 
     last = as_micros(F.col("timestamp")) - 1
-    where = F.lit(None).cast("int")
+    at = F.lit(None).cast("int")
     for w in widths:
-        where = F.when(F.col("window") == w.label, place(last, w)).otherwise(where)
+        place = F.lit(in_block[w]) + steps(last, longest.micros, w.micros)
+        at = F.when(F.col("window") == w.label, place).otherwise(at)
+    usable = F.when(F.col("std_price") > 0, F.col("std_price"))
+    entry = F.struct(at.alias("at"), F.struct("avg_price", usable.alias("std_price")))
     windows = (
         window_stats(ticks, widths, rollup)
-        .filter(F.col("std_price") > 0)
-        .groupBy("symbol", block_of(last).alias("block"))
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.struct(where.alias("at"), F.struct("avg_price", "std_price")))
-            ).alias("windows")
-        )
+        .groupBy("symbol", floor_micros(last, longest.micros).alias("block"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("windows"))
     )
-    places = F.sequence(F.lit(0), F.lit(entries - 1))
-    stats = windows.select(
-        "symbol",
-        "block",
-        F.transform(places, lambda i: F.col("windows")[i]["avg_price"]).alias("avgs"),
-        F.transform(places, lambda i: F.col("windows")[i]["std_price"]).alias("stds"),
+    # Every tick leaves a window of the shortest width, which tells the parts in use.
+    per_part = part.seconds // widths[0].seconds
+    shortest = F.filter(
+        F.map_keys("windows"), lambda k: k < F.lit(longest.seconds // widths[0].seconds)
     )
+    used = F.array_distinct(
+        F.transform(shortest, lambda k: F.floor(k / F.lit(per_part)).cast("int"))
+    )
+
+    def row_of(field: str) -> Column:
+        def value(place: Column) -> Column:
+            return F.col("windows")[place][field]
+
+        found = []
+        for w in widths:
+            n = part.seconds // w.seconds
+            if n:
+                inside = F.sequence(F.lit(0), F.lit(n - 1))
+                first = F.lit(in_block[w]) + F.col("part") * n
+                found.append(F.transform(inside, _offset(value, first)))
+            else:
+                around = F.floor(F.col("part") * part.seconds / F.lit(w.seconds)).cast("int")
+                found.append(F.array(value(F.lit(in_block[w]) + around)))
+        return F.concat(*found)
+
+    stats = windows.select("symbol", "block", "windows", F.explode(used).alias("part")).select(
+        "symbol", "block", "part", row_of("avg_price").alias("avgs"), row_of("std_price").alias("stds")
+    )
+
     us = as_micros(F.col("timestamp"))
-    keyed = ticks.select("timestamp", "symbol", "price", block_of(us).alias("block"))
-    scores = [
-        (F.col("price") - F.get("avgs", place(us, w))) / F.get("stds", place(us, w))
-        for w in widths
-    ]
-    return keyed.join(stats, ["symbol", "block"], "left").select(
-        "timestamp", "symbol", "block", F.array(*scores).alias("z")
+    keyed = ticks.select(
+        "timestamp",
+        "symbol",
+        "price",
+        floor_micros(us, longest.micros).alias("block"),
+        steps(us, longest.micros, part.micros).alias("part"),
+    )
+
+    def score(w) -> Column:
+        place = F.lit(in_part[w])
+        if w.seconds < part.seconds:
+            place = place + steps(us, part.micros, w.micros)
+        return (F.col("price") - F.get("avgs", place)) / F.get("stds", place)
+
+    return keyed.join(stats.hint("merge"), ["symbol", "block", "part"]).select(
+        "timestamp", "symbol", "block", "part", F.array(*[score(w) for w in widths]).alias("z")
     )
 
 
+def _offset(value, first: Column):
+    return lambda i: value(first + i)
+
+
 def _all_of_width(zs: Column, i: int, w) -> Column:
     scores = F.array_sort(F.transform(zs, lambda z: z[i]))
     return F.transform(
