@@ -266,3 +266,30 @@ def test_streams_are_not_scored_by_the_batch_path(spark):
     path = write_files(spark, SIX_TICKS, 1)
     with pytest.raises(ValueError):
         tl.tick_zscores(tick_stream(spark, path))
+
+
+def test_state_in_rocksdb(spark):
+    rows = feed(200, 7, 300)
+    path = write_files(spark, rows + SENTINELS, 2)
+    tl.configure(spark, streaming=True)
+    try:
+        moves, progress = run(tl.first_move(tick_stream(spark, path)))
+        stats, _ = run(tl.stats_array(tick_stream(spark, path)))
+    finally:
+        for key in tl.session.STREAMING_SETTINGS:
+            spark.conf.unset(key)
+    assert any("rocksdbGetCount" in op["customMetrics"] for p in progress for op in p["stateOperators"])
+    batch = ticks(spark, rows)
+    assert_same(moves.filter(F.col("timestamp") < F.lit(at(END))), tl.first_move(batch))
+    assert_same(real(stats), tl.stats_array(batch))
+
+
+def test_validation_of_a_stream(spark):
+    path = write_files(spark, SIX_TICKS, 2)
+    spark.createDataFrame([("not json",), ('{"symbol":"A"}',)], "value string").write.mode(
+        "append").text(path)
+    good, rejected = tl.validate_ticks(tl.read_messages(spark, "text", path=path))
+    found, _ = run(good.withWatermark("timestamp", LATENESS))
+    assert_same(found, ticks(spark).select(*found.columns))
+    found, _ = run(rejected)
+    assert sorted(r.reason for r in found.collect()) == ["no price", "not JSON"]

@@ -34,7 +34,10 @@ def first_move(
     extremes = (
         ticks.filter(F.col("timestamp").isNotNull())
         .groupBy(*keys, "timestamp")
-        .agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
+        .agg(
+            F.min("price").cast("double").alias("lo"),
+            F.max("price").cast("double").alias("hi"),
+        )
     )
     search = _search_stream if ticks.isStreaming else _search
     gaps = search(extremes, keys, int(horizon))
