@@ -1,12 +1,8 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import SparkSession
 
 import tickloom
 
-UTC = dt.timezone.utc
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickloom as tl
-from data import DAY, SIX_MOVES, SIX_SCORES, SIX_STATS, SIX_TICKS, at, near, ticks, utc
+from data import DAY, SIX_MOVES, SIX_SCORES, SIX_STATS, at, near, ticks, utc
 
 
 @pytest.mark.parametrize("rollup", [False, True])

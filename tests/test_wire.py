@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickloom as tl
-from data import DAY, UTC, at, ticks, utc
+from data import DAY, at, ticks, utc
 from tickloom import schemas
 from tickloom.streaming import encode
 
