@@ -35,8 +35,17 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.ticks_from(events, "event_type", "value", "ts")
 
 
+def _size_state(spark: SparkSession) -> None:
+    """One state partition per core, where the session does not say how many it wants."""
+    key = "spark.sql.shuffle.partitions"
+    context = spark.sparkContext
+    if spark.conf.get(key) == "200" and not context.getConf().contains(key):
+        spark.conf.set(key, str(context.defaultParallelism))
+
+
 def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     tl.configure(spark)
+    _size_state(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # As a pattern the path may be a single file; a plain one must be a folder.
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
