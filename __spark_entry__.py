@@ -234,8 +234,28 @@ def zscore_routed_stream(spark, sf_dir):
     return _plain(routed.select("timestamp", "symbol", "window", "zscore_price"))
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the subpackage `llm` and its pipeline; none where they are not there."""
+    try:
+        import corpus_pipeline
+        from tickloom.llm.queries import QUERIES, SQL
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline" and not missing.name.startswith("tickloom.llm"):
+            raise
+        return {}, {}
+    sql = dict(SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """One entry per operator; each reads the whole events table."""
+    """One entry per operator."""
+    return {**tick_queries(), **_llm()[0]}
+
+
+def tick_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The operators over ticks; each reads the whole events table."""
     named = [
         ticks_decoded,
         ticks_valid,
@@ -338,7 +358,12 @@ FROM moves {where}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query. Streams give the results their last watermark has closed."""
+    """DuckDB SQL per query, where SQL can say the same."""
+    return {**tick_sql(), **_llm()[1]}
+
+
+def tick_sql() -> dict[str, str]:
+    """DuckDB SQL per query over ticks. Streams give what their last watermark has closed."""
     closed = "WHERE ended <= (SELECT closed FROM mark)"
     found = {
         "ticks_decoded": """

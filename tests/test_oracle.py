@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as driver
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-SQL = driver.oracle_sql()
+SQL = driver.tick_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,9 +25,9 @@ def normal(rows, columns):
     return names, sorted(plain, key=lambda r: [(x is None, str(x)) for x in r])
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.tick_queries())
 def test_query_equals_sql(spark, tables, name):
-    found = driver.queries()[name](spark, SF_DIR)
+    found = driver.tick_queries()[name](spark, SF_DIR)
     result = tables.execute(SQL[name])
     expected = normal(result.fetchall(), [d[0] for d in result.description])
     got = normal([tuple(r) for r in found.collect()], found.columns)
@@ -37,7 +37,7 @@ def test_query_equals_sql(spark, tables, name):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(driver.queries())
+    assert set(SQL) == set(driver.tick_queries())
 
 
 def test_entry(spark):
