@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_index, packing, token_files
+from . import fm_index, outliers, packing, splitters, token_files
 from .common import shared_folder, ship
 
 
@@ -40,6 +40,23 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_files, op3_decontamination)}
+def op6_quality_rules(spark, sf_dir):
+    return outliers.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark, sf_dir):
+    return splitters.shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_token_files,
+        op3_decontamination,
+        op6_quality_rules,
+        op10_sharding,
+    )
+}
 
 SQL: dict[str, str] = {}
