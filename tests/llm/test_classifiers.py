@@ -1,0 +1,101 @@
+"""The two classifiers: held-out accuracy, what labels may be used, odd rows."""
+
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.llm import discriminant, weak_labels
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    return [spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels")]
+
+
+def held(doc_id, parts, left_out):
+    return crc32(("" if doc_id is None else str(doc_id)).encode()) % parts == left_out
+
+
+CASES = [
+    (discriminant.quality, "quality", 3, 1, 0.97),
+    (weak_labels.toxicity, "toxic", 5, 0, 0.93),
+]
+
+
+@pytest.mark.parametrize("query, column, parts, left_out, least", CASES)
+def test_held_out_accuracy(tables, query, column, parts, left_out, least):
+    docs, labels = tables
+    rows = query(docs, labels).collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == held(r.doc_id, parts, left_out) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    known = {r.doc_id: r[column] for r in labels.collect()}
+    right = [r.predicted == known[r.doc_id] for r in rows if r.held_out and r.doc_id in known]
+    assert np.mean(right) >= least
+
+
+@pytest.mark.parametrize("query, column, parts, left_out, least", CASES)
+def test_held_out_labels_are_not_used(tables, query, column, parts, left_out, least):
+    docs, labels = tables
+    small = docs.filter("doc_id < 300")
+    turned = labels.withColumn(
+        column,
+        F.when(
+            F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == left_out, 1 - F.col(column)
+        ).otherwise(F.col(column)),
+    )
+    both = [sorted(map(tuple, query(small, x).collect())) for x in (labels, turned)]
+    assert both[0] == both[1]
+
+
+@pytest.mark.parametrize("query, column, parts, left_out, least", CASES)
+def test_odd_rows(spark, odd, clashing, nothing, labels, query, column, parts, left_out, least):
+    rows = query(odd, labels).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    assert query(clashing, labels).count() == odd.count()
+    assert query(nothing, labels).count() == 0
+    none = query(odd, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5} or query is weak_labels.toxicity
+    mixed = spark.createDataFrame(
+        [(4, 1, 1), (4, 0, 0), (5, None, None), (None, 1, 1), (6, 0, 0)], labels.schema
+    )
+    assert query(odd, mixed).count() == odd.count()
+
+
+def test_scores_are_density_differences():
+    chance = np.random.default_rng(1)
+    d = 3
+    mix = chance.normal(size=(2, d, d))
+    spreads = [m @ m.T + np.eye(d) for m in mix]
+    means = chance.normal(size=(2, d))
+    factors = np.array([np.linalg.inv(np.linalg.cholesky(s)) for s in spreads])
+    dets = np.array([np.linalg.slogdet(s)[1] for s in spreads])
+    x = chance.normal(size=(5, d))
+    logs = [
+        -0.5 * (np.einsum("ri,ij,rj->r", x - m, np.linalg.inv(s), x - m) + np.linalg.slogdet(s)[1])
+        for m, s in zip(means, spreads)
+    ]
+    expected = 1 / (1 + np.exp(-(0.3 + logs[1] - logs[0])))
+    assert np.allclose(discriminant.Discriminant(means, factors, dets, 0.3).score(x), expected)
+
+
+def test_label_model_finds_accuracies_and_correlation():
+    chance = np.random.default_rng(6)
+    truth = chance.random(4000) < 0.4
+
+    def voter(accuracy):
+        right = chance.random(len(truth)) < accuracy
+        return np.where(truth == right, 1, -1)
+
+    good, weak, copied = voter(0.95), voter(0.7), voter(0.8)
+    votes = np.stack([good, weak, copied, copied, copied], axis=1).astype(np.int8)
+    gold = np.where(chance.random(len(truth)) < 0.9, truth, ~truth).astype(float)
+    model = weak_labels.fit_label_model(votes, gold)
+    accuracy = np.exp(model.log_vote[:, 2, 1])
+    assert accuracy[0] > accuracy[2] > accuracy[1]
+    # Three copies of one voter count about once together.
+    assert model.weight[2:].sum() < 1.6 and model.weight[0] > 0.6
+    assert np.mean((model.posterior(votes) > 0.5) == truth) > 0.93

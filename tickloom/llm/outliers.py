@@ -196,8 +196,10 @@ def _cells(rows: DataFrame, least: int) -> DataFrame:
     )
 
 
-# In units of the logarithms: no variance below this squared.
-_FLOOR = 0.1
+# In units of the logarithms: the deviation that any cell has at least. Shares of repeats and
+# symbols are 0 in most texts; without it, a text with a few would stand far out. Repeats have a
+# limit of their own, so here only the combination with others should tell.
+_FLOORS = {c: 0.7 if c in ("repeats", "same_lines") else 0.35 for c in _VECTOR}
 
 
 def _estimate(vectors: DataFrame, core: float, steps: int, least: int) -> DataFrame:
@@ -223,7 +225,7 @@ def _estimate(vectors: DataFrame, core: float, steps: int, least: int) -> DataFr
         "n",
         *[f"m_{i}" for i in d],
         *[
-            (F.greatest(1.4826 * F.col(f"s_{i}"), F.lit(_FLOOR)) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}")
+            (F.greatest(1.4826 * F.col(f"s_{i}"), F.lit(_FLOORS[_VECTOR[i]])) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}")
             for i in d
             for j in range(i + 1)
         ],
@@ -240,7 +242,7 @@ def _estimate(vectors: DataFrame, core: float, steps: int, least: int) -> DataFr
             F.first("n").alias("n"),
             *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(_VECTOR)],
             *[
-                (F.covar_pop(a, _VECTOR[j]) + F.lit(_FLOOR**2 if i == j else 0.0)).alias(f"c_{i}_{j}")
+                (F.covar_pop(a, _VECTOR[j]) + F.lit(_FLOORS[a] ** 2 if i == j else 0.0)).alias(f"c_{i}_{j}")
                 for i, a in enumerate(_VECTOR)
                 for j in range(i + 1)
             ],

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_index, outliers, packing, splitters, token_files
+from . import discriminant, fm_index, outliers, packing, splitters, token_files, weak_labels
 from .common import shared_folder, ship
 
 
@@ -40,10 +40,18 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
+def op4_toxicity(spark, sf_dir):
+    return weak_labels.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return outliers.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    return discriminant.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_sharding(spark, sf_dir):
     return splitters.shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,7 +62,9 @@ QUERIES = {
         op1_best_fit_packing,
         op2_token_files,
         op3_decontamination,
+        op4_toxicity,
         op6_quality_rules,
+        op7_quality_classifier,
         op10_sharding,
     )
 }

@@ -101,7 +101,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.itertuples(index=False):
                 yield _documents(row)
 
-    return shards.join(first, ["bucket", "shard"]).mapInPandas(decode, DECODED)
+    # Only short rows are joined; the shards stay where they are read.
+    decoded = shards.mapInPandas(decode, f"bucket long, shard long, {DECODED}")
+    return decoded.join(first, ["bucket", "shard"]).select(
+        "doc_id", (F.col("start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"
+    )
 
 
 def token_range(shard, first: int, last: int) -> np.ndarray:
@@ -238,8 +242,10 @@ def _documents(shard) -> pd.DataFrame:
     raw = memoryview(ids.tobytes())
     return pd.DataFrame(
         {
+            "bucket": shard.bucket,
+            "shard": shard.shard,
             "doc_id": pd.array([None if d == _NO_ID else d for d in doc_ids.tolist()], "Int64"),
-            "start": starts + shard.first,
+            "start": starts,
             "n_tokens": ends - starts,
             "ids_crc32": [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts, ends)],
         }
