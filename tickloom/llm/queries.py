@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, fm_index, outliers, packing, splitters, token_files, weak_labels
+from . import discriminant, fm_index, jaccard, outliers, packing, splitters, token_files, weak_labels
 from .common import shared_folder, ship
 
 
@@ -44,6 +44,10 @@ def op4_toxicity(spark, sf_dir):
     return weak_labels.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_near_duplicates(spark, sf_dir):
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return outliers.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
         op2_token_files,
         op3_decontamination,
         op4_toxicity,
+        op5_near_duplicates,
         op6_quality_rules,
         op7_quality_classifier,
         op10_sharding,
