@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, fm_index, hmm, jaccard, outliers, packing, splitters, token_files, weak_labels
+from . import discriminant, fm_index, hmm, jaccard, outliers, packing, pii, splitters, token_files, weak_labels
 from .common import shared_folder, ship
 
 
@@ -56,6 +56,10 @@ def op7_quality_classifier(spark, sf_dir):
     return discriminant.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_personal_data(spark, sf_dir):
+    return pii.find_personal_data(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def op9_language_model(spark, sf_dir):
     return hmm.language_model_scores(_table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
         op5_near_duplicates,
         op6_quality_rules,
         op7_quality_classifier,
+        op8_personal_data,
         op9_language_model,
         op10_sharding,
     )
