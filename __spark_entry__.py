@@ -7,9 +7,11 @@ with their position.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,40 +37,85 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.ticks_from(events, "event_type", "value", "ts")
 
 
-def _size_state(spark: SparkSession) -> None:
-    """One state partition per core, where the session does not say how many it wants."""
-    key = "spark.sql.shuffle.partitions"
-    context = spark.sparkContext
-    if spark.conf.get(key) == "200" and not context.getConf().contains(key):
-        spark.conf.set(key, str(context.defaultParallelism))
+def _folder(spark: SparkSession) -> str:
+    """A new folder below `spark.checkpoint.dir`, which has to be storage the cluster shares.
 
+    Only a local master may leave that out: a temporary folder then, removed at the end.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tickloom-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="tickloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
-def _tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tl.configure(spark)
-    _size_state(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # As a pattern the path may be a single file; a plain one must be a folder.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-    return tl.ticks_from(events, "event_type", "value", "ts", LATENESS)
 
+def _arrivals(spark: SparkSession, sf_dir: str, late: bool = False) -> Iterator[DataFrame]:
+    """The feed as it arrives: the first half of the time, the second, then ticks long after.
+
+    The last ones push the watermark past all windows, so that streams give
+    whole results; their symbol is `~`. With `late` every tenth tick of the two
+    hours before the middle comes with the second half.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ticks = _ticks(spark, sf_dir)
+    bounds = ticks.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    if bounds[0] is None:
+        return
+    middle = (bounds[0] + bounds[1]) // 2 // 1_000_000 * 1_000_000
+    us = F.unix_micros("timestamp")
+    first = us < middle
+    if late:
+        ticks = events.select(
+            F.col("event_type").alias("symbol"),
+            F.col("value").alias("price"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
+            "event_id",
+        )
+        first &= ~((F.col("event_id") % 10 == 0) & (us >= middle - 7_200_000_000))
+    columns = ["symbol", "price", "timestamp"]
+    yield ticks.filter(first).select(columns)
+    yield ticks.filter(~first).select(columns)
+    for days in (1, 2):
+        after = spark.range(1).select(
+            F.lit("~").alias("symbol"),
+            F.lit(0.0).alias("price"),
+            F.timestamp_micros(F.lit(bounds[1] + days * 86_400_000_000)).alias("timestamp"),
+        )
+        yield after
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder on the storage the cluster shares; a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared}/tickloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="tickloom-")
 
+def _work_off(spark, sf_dir, *stages, late: bool = False) -> DataFrame:
+    """Let ticks arrive and run the stages after each arrival, from where they stopped.
 
-def _finish(stream: DataFrame) -> DataFrame:
-    """Work off a stream into a checkpointed table and read that."""
-    spark = stream.sparkSession
+    A stage takes the ticks and the folder in which those before it have left
+    their results, as a stream of text or rows, and gives a stream. What the last
+    one has written is the result, without what comes of the ticks at the end.
+    """
+    tl.configure(spark)
     folder = _folder(spark)
-    query = start_sink(
-        stream, "parquet", checkpoint=f"{folder}/state", path=f"{folder}/rows", available_now=True
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    schema = None
+    for arrived in _arrivals(spark, sf_dir, late):
+        arrived.write.mode("append").parquet(f"{folder}/ticks")
+        ticks = spark.readStream.schema(arrived.schema).parquet(f"{folder}/ticks")
+        ticks = ticks.withWatermark("timestamp", LATENESS)
+        for i, stage in enumerate(stages):
+            stream = stage(ticks, f"{folder}/{i - 1}")
+            schema = stream.schema
+            text = stream.columns == ["value"]
+            start_sink(
+                stream, "text" if text else "parquet", checkpoint=f"{folder}/state{i}", path=f"{folder}/{i}", available_now=True
+            ).awaitTermination()
+    if schema is None:
+        schema = stages[-1](_ticks(spark, sf_dir), "").schema
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(f"{folder}/{len(stages) - 1}")
+    if "symbol" in rows.columns:
+        return rows.filter(F.col("symbol") != "~")
+    last = _ticks(spark, sf_dir).agg(F.max("timestamp")).first()[0]
+    return rows.filter(F.col("timestamp") <= F.lit(last))
 
 
 def _rounded(name: str) -> Column:
@@ -158,7 +205,8 @@ def zscore_array_of_rows(spark, sf_dir):
 
 def _zscore_of(label: str):
     def query(spark, sf_dir):
-        return zscore_rows(spark, sf_dir).filter(F.col("window") == label)
+        scores = tl.tick_zscores(_ticks(spark, sf_dir), tl.pick(label))
+        return _plain(tl.explode_zscores(scores))
 
     return query
 
@@ -184,37 +232,72 @@ def first_lower(spark, sf_dir):
 
 
 def window_stats_stream(spark, sf_dir):
-    return _plain(_finish(tl.window_stats(_tick_stream(spark, sf_dir))))
+    return _plain(_work_off(spark, sf_dir, lambda ticks, _: tl.window_stats(ticks)))
+
+
+def late_ticks_stream(spark, sf_dir):
+    """Ticks that come after their window was closed are dropped, others are not."""
+    return _plain(_work_off(spark, sf_dir, lambda ticks, _: tl.window_stats(ticks), late=True))
 
 
 def stats_array_stream(spark, sf_dir):
-    return _plain(_positions(_finish(tl.stats_array(_tick_stream(spark, sf_dir))), "windows"))
+    return _plain(_positions(_work_off(spark, sf_dir, lambda ticks, _: tl.stats_array(ticks)), "windows"))
+
+
+def stats_regrouped_stream(spark, sf_dir):
+    """Statistics published as messages, with some that cannot be read, and regrouped from there."""
+
+    def published(ticks, _):
+        messages = encode(tl.window_stats(ticks))
+        spoilt = F.array(F.col("value"), F.when(F.crc32("value") % 50 == 0, F.lit("not JSON")))
+        return messages.select(F.explode(F.array_compact(spoilt)).alias("value"))
+
+    def regrouped(_, folder):
+        messages = tl.read_messages(spark, "text", path=folder)
+        return tl.regroup_stats(tl.decode(messages, schemas.WINDOW_STAT, LATENESS))
 
+    return _plain(_positions(_work_off(spark, sf_dir, published, regrouped), "windows"))
 
-def _score_stream(spark, sf_dir):
+
+def _scores(ticks, folder):
     """Ticks joined to the window arrays another query has published as messages."""
-    ticks = _tick_stream(spark, sf_dir)
-    folder = _folder(spark)
-    published = encode(tl.stats_array(ticks))
-    start_sink(
-        published, "text", checkpoint=f"{folder}/state", path=f"{folder}/moving", available_now=True
-    ).awaitTermination()
-    messages = tl.read_messages(spark, "text", path=f"{folder}/moving")
+    messages = tl.read_messages(ticks.sparkSession, "text", path=folder)
     moving = tl.decode(messages, schemas.MOVING, LATENESS)
     return tl.zscore_rows(ticks, tl.explode_stats(moving))
 
 
+def _arrays_published(ticks, _):
+    return encode(tl.stats_array(ticks))
+
+
 def zscore_stream(spark, sf_dir):
-    return _plain(_finish(_score_stream(spark, sf_dir)))
+    return _plain(_work_off(spark, sf_dir, _arrays_published, _scores))
 
 
 def zscore_array_stream(spark, sf_dir):
-    arrays = _finish(tl.zscore_array(_score_stream(spark, sf_dir)))
-    return _plain(_positions(arrays, "zscores"))
+    def arrays(ticks, folder):
+        return tl.zscore_array(_scores(ticks, folder))
+
+    return _plain(_positions(_work_off(spark, sf_dir, _arrays_published, arrays), "zscores"))
 
 
 def first_move_stream(spark, sf_dir):
-    return _plain(_finish(tl.first_move(_tick_stream(spark, sf_dir))))
+    return _plain(_work_off(spark, sf_dir, lambda ticks, _: tl.first_move(ticks)))
+
+
+def _direction(pick, schema):
+    """First moves of one direction, sent as messages without key, as their readers decode them."""
+
+    def query(spark, sf_dir):
+        def sent(ticks, _):
+            return encode(pick(tl.first_move(ticks)))
+
+        def received(_, folder):
+            return tl.decode(tl.read_messages(spark, "text", path=folder), schema)
+
+        return _plain(_work_off(spark, sf_dir, sent, received))
+
+    return query
 
 
 def zscore_routed_stream(spark, sf_dir):
@@ -278,8 +361,12 @@ def tick_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         zscore_array_stream,
         zscore_routed_stream,
         first_move_stream,
+        late_ticks_stream,
+        stats_regrouped_stream,
     ]
     found = {q.__name__: q for q in named}
+    found["first_higher_stream"] = _direction(tl.first_higher, schemas.HIGHER)
+    found["first_lower_stream"] = _direction(tl.first_lower, schemas.LOWER)
     found.update({f"zscore_{label}": _zscore_of(label) for label in tl.LABELS})
     return found
 
@@ -291,8 +378,6 @@ _WIDTHS = "(VALUES " + ", ".join(f"('{w.label}', {w.seconds}::BIGINT)" for w in
 _BASE = f"""
 WITH ticks AS (
   SELECT event_type AS symbol, value AS price, ts, epoch_us(ts) AS us FROM events
-), mark AS (
-  SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 SECOND AS closed FROM ticks
 ), stats AS (
   SELECT make_timestamp((us // (sec * 1000000) + 1) * sec * 1000000) AS ended,
          symbol, label, sec, avg(price) AS mean, stddev_samp(price) AS dev
@@ -340,7 +425,28 @@ WITH sent AS (
 )"""
 
 
-def _moves(fill: str = "NULL", by_symbol: bool = False, where: str = "") -> str:
+# Late ticks are dropped from the windows that the first half's watermark has closed.
+_LATE = f"""
+WITH ticks AS (
+  SELECT event_type AS symbol, value AS price, event_id, epoch_us(ts) AS us FROM events
+), bounds AS (
+  SELECT (min(us) + max(us)) // 2 // 1000000 * 1000000 AS middle FROM ticks
+), arrived AS (
+  SELECT ticks.*, us >= middle OR (event_id % 10 = 0 AND us >= middle - 7200000000) AS second_half
+  FROM ticks, bounds
+), mark AS (
+  SELECT max(us) // 1000 * 1000 - 10000000 AS closed FROM arrived WHERE NOT second_half
+), kept AS (
+  SELECT *, (us // (sec * 1000000) + 1) * sec * 1000000 AS end_us
+  FROM arrived CROSS JOIN {_WIDTHS}
+)
+SELECT make_timestamp(end_us) AS "timestamp", symbol, label AS "window",
+       {_round_sql('avg(price)')} AS avg_price, {_round_sql('stddev_samp(price)')} AS std_price
+FROM kept, mark WHERE NOT (second_half AND end_us <= closed)
+GROUP BY end_us, symbol, label"""
+
+
+def _moves(fill: str = "NULL", by_symbol: bool = False) -> str:
     symbol = "a.symbol, " if by_symbol else ""
     same = "AND a.symbol = b.symbol" if by_symbol else ""
     gap = "(epoch_us(b.ts) // 1000000 - epoch_us(a.ts) // 1000000)::DOUBLE"
@@ -354,7 +460,7 @@ def _moves(fill: str = "NULL", by_symbol: bool = False, where: str = "") -> str:
 )
 SELECT {symbol.replace('a.', '')}"timestamp", coalesce(higher, {fill})::DOUBLE AS higher_window,
        coalesce(lower, {fill})::DOUBLE AS lower_window
-FROM moves {where}"""
+FROM moves"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -364,7 +470,6 @@ def oracle_sql() -> dict[str, str]:
 
 def tick_sql() -> dict[str, str]:
     """DuckDB SQL per query over ticks. Streams give what their last watermark has closed."""
-    closed = "WHERE ended <= (SELECT closed FROM mark)"
     found = {
         "ticks_decoded": """
             SELECT event_type AS symbol, round(value, 8) AS price, ts AS "timestamp" FROM events""",
@@ -389,18 +494,17 @@ def tick_sql() -> dict[str, str]:
             FROM ({_moves()}) WHERE higher_window IS NOT NULL""",
         "first_lower": f"""SELECT "timestamp", lower_window
             FROM ({_moves()}) WHERE lower_window IS NOT NULL""",
-        "window_stats_stream": f"{_BASE} {_STATS} {closed}",
-        "stats_array_stream": f"{_BASE} {_STATS_ARRAY} {closed}",
-        "zscore_stream": f"{_BASE} {_SCORES} {closed}",
-        # Scores wait for the longest window; the watermark follows the last published end.
-        "zscore_array_stream": f"""{_BASE} {_SCORE_ARRAY}
-            WHERE ts <= (SELECT max(ended) FROM stats {closed}) - INTERVAL 3610 SECOND""",
+        "window_stats_stream": _BASE + _STATS,
+        "stats_array_stream": _BASE + _STATS_ARRAY,
+        "stats_regrouped_stream": _BASE + _STATS_ARRAY,
+        "zscore_stream": _BASE + _SCORES,
+        "zscore_array_stream": _BASE + _SCORE_ARRAY,
         "zscore_routed_stream": _BASE + _SCORES,
-        "first_move_stream": _moves(
-            where="""WHERE make_timestamp((epoch_us("timestamp") // 20000000 + 2) * 20000000)
-                     <= (SELECT closed FROM mark)"""
-        ),
+        "first_move_stream": _moves(),
+        "late_ticks_stream": _LATE,
     }
+    for way in ("higher", "lower"):
+        found[f"first_{way}_stream"] = found[f"first_{way}"]
     found.update(
         {f"zscore_{w}": f"{_BASE} {_SCORES} WHERE label = '{w}'" for w in tl.LABELS}
     )

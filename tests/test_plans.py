@@ -53,6 +53,15 @@ def test_first_move_reads_no_symbol_when_not_partitioned(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan(tl.first_move(feed(spark)))
 
 
+def test_one_label_computes_one_width(spark):
+    """A query for one window label neither computes the others nor repeats scores in the join."""
+    for query in (driver.tick_queries()["zscore_30s"], driver.zscore_rows):
+        text = plan(query(spark, SF_DIR))
+        joins = [x for x in text.splitlines() if "SortMergeJoin" in x]
+        assert joins and not any("std_price" in x or "size(" in x for x in joins)
+    assert "1h" not in plan(driver.tick_queries()["zscore_30s"](spark, SF_DIR))
+
+
 @pytest.mark.parametrize("operator", [tl.tick_zscores, tl.zscores])
 def test_a_hot_hour_is_split(spark, operator):
     """A third of all ticks in one hour of one symbol; every tick comes out."""

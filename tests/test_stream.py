@@ -221,23 +221,19 @@ def test_jobs_end_to_end(spark):
     paths = {k: folder() for k in ("stats", "moving", "zscores", "higher", "lower", "routed")}
     state = folder()
     at_once = Endpoint("text", path=tick_path)
-    out = {k: Endpoint("text", path=p) for k, p in paths.items()}
+    # Text takes one column; topics take the key as well.
+    out = {k: Endpoint("text", path=p, keyed=False) for k, p in paths.items()}
 
     def finish(queries):
         for q in queries:
             q.awaitTermination()
 
-    # Text sinks take one column; topics take the key as well.
-    import tickloom.plans.jobs as jobs
-    keyed = jobs.encode
-    jobs.encode = lambda df, key=None, columns=None: keyed(df, None, columns)
-    try:
-        finish(moving_job(spark, at_once, out["moving"], state, available_now=True))
-        finish(zscore_job(spark, at_once, out["moving"], out["zscores"], state, available_now=True))
-        finish(first_move_job(spark, at_once, out["higher"], out["lower"], state, available_now=True))
-        finish(loader_job(spark, out["zscores"], to_folders(paths["routed"]), state, available_now=True))
-    finally:
-        jobs.encode = keyed
+    finish(moving_job(spark, at_once, out["moving"], state, available_now=True))
+    finish(zscore_job(spark, at_once, out["moving"], out["zscores"], state, available_now=True))
+    finish(first_move_job(spark, at_once, out["higher"], out["lower"], state, available_now=True))
+    finish(
+        loader_job(spark, out["zscores"], to_folders(paths["routed"]), state, console=True, available_now=True)
+    )
 
     batch = ticks(spark, rows)
     moving = tl.decode(tl.read_messages(spark, "text", path=paths["moving"], streaming=False), schemas.MOVING)
@@ -262,6 +258,82 @@ def test_stats_published_and_regrouped(spark):
     assert_same(real(found), expected)
 
 
+def test_moving_job_publishes_statistics_first(spark):
+    """Both queries of the job, the second fed by the first; run again until it has all."""
+    rows = feed(60, 3, 600)
+    tick_path, stats, moving, state = write_files(spark, rows + SENTINELS, 1), folder(), folder(), folder()
+    ends = [Endpoint("text", path=p, keyed=False) for p in (tick_path, moving, stats)]
+    for _ in range(2):
+        for q in moving_job(spark, ends[0], ends[1], state, ends[2], available_now=True):
+            q.awaitTermination()
+    sent = tl.read_messages(spark, "text", path=stats, streaming=False)
+    assert_same(real(tl.decode(sent, schemas.WINDOW_STAT)), tl.window_stats(ticks(spark, rows)))
+    found = real(tl.decode(tl.read_messages(spark, "text", path=moving, streaming=False), schemas.MOVING))
+    expected = tl.stats_array(ticks(spark, rows))
+    assert rounded(found).exceptAll(rounded(expected)).count() == 0
+
+
+def test_keyed_messages(spark):
+    """What a topic is sent: the symbol as key, where the endpoint takes one."""
+    stats = tl.window_stats(ticks(spark))
+    keyed = Endpoint("kafka").messages(stats, "symbol")
+    assert keyed.columns == ["key", "value"] and keyed.filter("key = 'A'").count() == stats.count()
+    assert Endpoint("text", keyed=False).messages(stats, "symbol").columns == ["value"]
+
+
+def test_processing_time(spark):
+    path = write_files(spark, SIX_TICKS + SENTINELS, 2)
+    query = start_sink(
+        tl.window_stats(tick_stream(spark, path)), "noop", checkpoint=folder(), processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and query.lastProgress is not None
+    finally:
+        query.stop()
+
+
+def test_unreadable_messages_are_not_kept(spark):
+    """Messages without a time leave no state behind, on a stream, and no row in a batch."""
+    path = folder()
+    rows = feed(30, 2, 120)
+    stats = encode(tl.window_stats(ticks(spark, rows + SENTINELS))).orderBy("value").coalesce(1)
+    junk = spark.range(50).selectExpr("concat('junk ', id) AS value").coalesce(1)
+    for part in (stats, junk, junk, junk):
+        part.write.mode("append").text(path)
+    messages = tl.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path)
+    _, progress = run(tl.regroup_stats(tl.decode(messages, schemas.WINDOW_STAT, LATENESS)))
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert kept[-1] <= 7 and kept[-1] == kept[-2]
+    read = tl.decode(junk, schemas.WINDOW_STAT)
+    assert tl.regroup_stats(read).count() == 0
+    scores = read.select("timestamp", "symbol", "window", F.lit(1.0).alias("zscore_price"))
+    assert tl.zscore_array(scores).count() == 0
+
+
+@pytest.mark.parametrize("n", [1000, 4000])
+def test_first_move_of_a_falling_price(spark, n):
+    """The hardest case: no later price is higher. The work per tick must not grow with the ticks."""
+    rows = spark.range(n).select(
+        F.lit("A").alias("symbol"),
+        (F.lit(n) - F.col("id")).cast("double").alias("price"),
+        F.timestamp_micros(F.lit(1_735_689_600_000_000) + (F.col("id") * (19_000_000 // n))).alias("timestamp"),
+    )
+    found = _stream_search(rows)
+    assert_same(found, tl.first_move(rows))
+
+
+def _stream_search(rows):
+    import sys
+
+    module = sys.modules["tickloom.operators.first_move"]
+
+    extremes = rows.groupBy("timestamp").agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
+    return module._search_stream(extremes, [], 20).select(
+        "timestamp", *[F.col(c).cast("double").alias(c) for c in module._GAPS]
+    )
+
+
 def test_streams_are_not_scored_by_the_batch_path(spark):
     path = write_files(spark, SIX_TICKS, 1)
     with pytest.raises(ValueError):

@@ -25,8 +25,8 @@ def first_move(
     No pairs of ticks are formed. Per time only the lowest and highest price
     matter: a time sees a higher price when some later highest exceeds its own
     lowest. Batch input is then searched second by second, see `_search`; a
-    stream is searched within overlapping event-time windows, see
-    `_search_stream`.
+    stream is searched in rows that hold a second and what it looks ahead at,
+    see `_search_stream`.
     """
     if horizon != int(horizon) or horizon < 1:
         raise ValueError("horizon must be a whole number of seconds")
@@ -228,56 +228,121 @@ def _placed(extremes: DataFrame, keys: list[str], span: int) -> DataFrame:
 
 
 def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-    """Streaming search, without a self-join: one sliding window instead of two kept sides.
-
-    Windows of two horizons, one horizon apart, hold a block of times and all
-    they look ahead at. When a window closes its times are gone through from
-    the last to the first, keeping only those later times whose price is not
-    topped by a nearer one; the nearest of them that is higher is the answer.
+    """Streaming search by seconds: no self-join, and no row with all ticks of a horizon.
+
+    Times are gathered per second, then each second is sent to the horizon of
+    seconds before it: as its extremes only, and with its times to itself and to
+    the last of them, where the look-ahead ends within it. So a second's row has
+    the times of two seconds and one summary for each second between, and a feed
+    spreads over the seconds even where it is not partitioned.
+
+    In that row the times after each one in its second are known by their running
+    extremes, from the end; so are those of the last second, from its
+    beginning, up to a place found by bisection. The work per time is the
+    horizon's summaries and the logarithm of the ticks in a second.
     """
     span = horizon * 1_000_000
-    windows = F.window("timestamp", f"{2 * horizon} seconds", f"{horizon} seconds")
     time = F.struct(as_micros(F.col("timestamp")).alias("us"), "lo", "hi")
-    closed = extremes.groupBy(*keys, windows.alias("span")).agg(
-        F.sort_array(F.collect_list(time), asc=False).alias("times")
+    per_second = (
+        extremes.groupBy(*keys, F.window("timestamp", "1 second").alias("second"))
+        .agg(
+            F.sort_array(F.collect_list(time)).alias("times"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
+        .withColumn("ahead", F.window(F.window_time("second"), f"{horizon + 1} seconds", "1 second"))
     )
-    result = "struct<us:bigint,higher_window:bigint,lower_window:bigint>"
-    kept = "array<struct<us:bigint,lo:double,hi:double>>"
-    start = F.struct(
-        F.array().cast(kept).alias("rises"),
-        F.array().cast(kept).alias("falls"),
-        F.array().cast(f"array<{result}>").alias("found"),
+    start = F.col("second.start")
+    after = whole_seconds(as_micros(start)) - whole_seconds(as_micros(F.col("ahead.start")))
+    summary = F.struct(after.alias("after"), "lo", "hi")
+    seen = (
+        per_second.groupBy(*keys, "ahead")
+        .agg(
+            F.max(F.when(after == 0, F.col("times"))).alias("own"),
+            F.max(F.when(after == horizon, F.col("times"))).alias("last"),
+            F.collect_list(F.when((after > 0) & (after < horizon), summary)).alias("between"),
+        )
+        .filter(F.col("own").isNotNull())
     )
+    empty = F.array().cast("array<struct<us:bigint,lo:double,hi:double>>")
+    rows = seen.select(*keys, "own", F.coalesce("last", empty).alias("last"), F.sort_array("between").alias("between"))
+
+    def gaps(own: Column, last: Column, between: Column) -> Column:
+        rest = [_running(_values(own, f), pick, 1) for f, pick in (("hi", F.greatest), ("lo", F.least))]
+        begun = [_running(_values(last, f), pick, -1) for f, pick in (("hi", F.greatest), ("lo", F.least))]
+        return _let(
+            F.struct(*[c.alias(n) for c, n in zip((*rest, *begun), ("hi", "lo", "last_hi", "last_lo"))]),
+            lambda e: F.transform(own, lambda t, i: found(t, i, e, last, between)),
+        )
 
-    def gap(later: Column, t: Column, matches) -> Column:
-        nearest = F.get(F.filter(later, matches), F.lit(0))["us"]
-        return whole_seconds(nearest) - whole_seconds(t["us"])
+    def found(t: Column, i: Column, e: Column, last: Column, between: Column) -> Column:
+        def gap(same: Column, matches, final: Column) -> Column:
+            first = F.get(F.filter(between, matches), F.lit(0))["after"]
+            return F.when(same, F.lit(0)).otherwise(F.coalesce(first, F.when(final, F.lit(horizon))))
+
+        def row(place: Column) -> Column:
+            return F.struct(
+                t["us"].alias("us"),
+                gap(
+                    F.get(e["hi"], i + 1) > t["lo"],
+                    lambda s: s["hi"] > t["lo"],
+                    F.get(e["last_hi"], place) > t["lo"],
+                ).cast("long").alias("higher_window"),
+                gap(
+                    F.get(e["lo"], i + 1) < t["hi"],
+                    lambda s: s["lo"] < t["hi"],
+                    F.get(e["last_lo"], place) < t["hi"],
+                ).cast("long").alias("lower_window"),
+            )
+
+        return _let(_up_to(last, t["us"] + F.lit(span)), row)
+
+    result = _let(
+        F.col("own"),
+        lambda own: _let(F.col("last"), lambda last: _let(F.col("between"), lambda b: gaps(own, last, b))),
+    )
+    return rows.select(*keys, F.inline(result)).select(
+        *keys, from_micros(F.col("us")).alias("timestamp"), *_GAPS
+    )
 
-    def step(acc: Column, t: Column) -> Column:
-        def near(x: Column) -> Column:
-            return x["us"] <= t["us"] + F.lit(span)
 
-        found = F.struct(
-            t["us"].alias("us"),
-            gap(acc["rises"], t, lambda x: near(x) & (x["hi"] > t["lo"])).alias("higher_window"),
-            gap(acc["falls"], t, lambda x: near(x) & (x["lo"] < t["hi"])).alias("lower_window"),
-        )
-        rises = F.filter(acc["rises"], lambda x: near(x) & ((x["hi"] > t["hi"]) | t["hi"].isNull()))
-        falls = F.filter(acc["falls"], lambda x: near(x) & ((x["lo"] < t["lo"]) | t["lo"].isNull()))
-        own = F.array(t)
-        return F.struct(
-            F.when(t["hi"].isNull(), rises).otherwise(F.concat(own, rises)).alias("rises"),
-            F.when(t["lo"].isNull(), falls).otherwise(F.concat(own, falls)).alias("falls"),
-            F.concat(acc["found"], F.array(found)).alias("found"),
-        )
+# Distinct times within a second are at most 2 to this power.
+_BITS = 20
 
-    first_half = as_micros(F.col("span.start")) + F.lit(span)
-    return (
-        closed.select(
-            *keys,
-            first_half.alias("until"),
-            F.inline(F.aggregate("times", start, step, lambda acc: acc["found"])),
-        )
-        .filter(F.col("us") < F.col("until"))
-        .select(*keys, from_micros(F.col("us")).alias("timestamp"), *_GAPS)
-    )
+
+def _let(value: Column, use) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _values(times: Column, field: str) -> Column:
+    return F.transform(times, lambda t: t[field])
+
+
+def _running(values: Column, pick, step: int, bit: int = 0) -> Column:
+    """Extreme of each value and all after it (step 1) or before it (step -1), NULLs left out.
+
+    By doubling: after k rounds each place knows 2 to the k of its neighbours.
+    """
+    if bit == _BITS:
+        return values
+
+    def wider(v: Column) -> Column:
+        def both(x: Column, i: Column) -> Column:
+            j = i + step * (1 << bit)
+            return pick(x, F.when(j >= 0, F.get(v, j)))
+
+        return F.when(F.size(v) <= 1 << bit, v).otherwise(_running(F.transform(v, both), pick, step, bit + 1))
+
+    return _let(values, wider)
+
+
+def _up_to(times: Column, us: Column) -> Column:
+    """The place of the last of the sorted times at or before `us`, -1 for none."""
+
+    def nearer(place: Column, width: Column) -> Column:
+        there = place + width
+        return F.when(F.get(times, there)["us"] <= us, there).otherwise(place)
+
+    widths = F.array(*[F.lit(1 << b) for b in reversed(range(_BITS))])
+    return F.nullif(F.aggregate(widths, F.lit(-1), nearer), F.lit(-1))

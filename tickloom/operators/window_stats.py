@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_micros, floor_micros, from_micros
 from ..widths import SIX, nested
 
-_MOMENTS = "struct<start:bigint,n:double,mean:double,m2:double>"
-
 
 def window_stats(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame:
     """(timestamp, symbol, window, avg_price, std_price); `timestamp` is the window's end.
@@ -57,8 +55,12 @@ def stats_array(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame
 
 
 def regroup_stats(stats: DataFrame) -> DataFrame:
-    """`stats_array` for statistics that were stored or sent as messages in between."""
-    return stats.groupBy("timestamp", "symbol").agg(_windows_by_width())
+    """`stats_array` for statistics that were stored or sent as messages in between.
+
+    What has no time, such as a message that could not be read, belongs to no
+    instant and is let go; on a stream it would be kept for ever.
+    """
+    return stats.filter(F.col("timestamp").isNotNull()).groupBy("timestamp", "symbol").agg(_windows_by_width())
 
 
 def width_seconds(label: Column, widths=SIX) -> Column:
@@ -134,66 +136,44 @@ def _rolled_up(ticks: DataFrame, widths) -> DataFrame:
     # A price that stood still is its own mean, exactly; this keeps the
     # deviation of longer still windows at 0.0.
     mean = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("mean"))
-    moments = F.struct(
-        "start",
-        F.col("n").cast("double").alias("n"),
-        mean.alias("mean"),
-        (F.col("variance") * F.col("n")).alias("m2"),
-    )
-    # One row per symbol and longest window; the array has at most
-    # longest / shortest elements (120 for the six widths).
     block = floor_micros(F.col("start"), longest.micros)
-    blocks = slots.groupBy("symbol", block.alias("block")).agg(
-        F.sort_array(F.collect_list(moments)).alias(shortest.label)
+    # Slots of a block meet in one partition, and everything below happens there. Means are
+    # taken from one of the block's own, so that sums of squares do not cancel.
+    placed = slots.select(
+        "symbol", "start", "n", mean.alias("mean"), (F.col("variance") * F.col("n")).alias("m2"), block.alias("block")
+    ).repartition("symbol", "block")
+    origin = F.first("mean", ignorenulls=True).over(
+        Window.partitionBy("symbol", "block").orderBy("start").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing
+        )
     )
-    for shorter, w in zip(widths, widths[1:]):
-        blocks = blocks.withColumn(w.label, _merged(F.col(shorter.label), w.micros))
-    return blocks.select(
-        "symbol",
-        F.inline(F.concat(*[F.transform(F.col(w.label), _as_stat(w)) for w in widths])),
+    spans = F.array(
+        *[
+            F.struct(
+                F.lit(w.label).alias("window"),
+                (floor_micros(F.col("start"), w.micros) + F.lit(w.micros)).alias("end"),
+            )
+            for w in widths
+        ]
     )
-
-
-def _as_stat(w):
-    def stat(m: Column) -> Column:
-        return F.struct(
-            (m["start"] + F.lit(w.micros)).alias("end"),
-            F.lit(w.label).alias("window"),
-            m["mean"].alias("avg_price"),
-            F.when(m["n"] > 1, F.sqrt(m["m2"] / (m["n"] - 1))).alias("std_price"),
-        )
-
-    return stat
-
-
-def _merged(parts: Column, width: int) -> Column:
-    """Moments of windows of `width` out of those of shorter ones in time order.
-
-    Counts, means and sums of squared deviations are merged pairwise (Chan,
-    Golub and LeVeque), which does not cancel as sums of squares would.
-    """
-
-    def step(done: Column, part: Column) -> Column:
-        start = floor_micros(part["start"], width)
-        last = F.get(done, F.size(done) - 1)
-        n = last["n"] + part["n"]
-        delta = part["mean"] - last["mean"]
-        both = F.struct(
-            start.alias("start"),
-            n.alias("n"),
-            (last["mean"] + delta * part["n"] / n).alias("mean"),
-            (last["m2"] + part["m2"] + delta * delta * last["n"] * part["n"] / n).alias("m2"),
-        )
-        alone = F.struct(
-            start.alias("start"),
-            part["n"].alias("n"),
-            part["mean"].alias("mean"),
-            part["m2"].alias("m2"),
+    off = F.col("mean") - F.col("origin")
+    merged = (
+        placed.withColumn("origin", origin)
+        .select("symbol", "block", "origin", "n", "m2", off.alias("off"), F.inline(spans))
+        .groupBy("symbol", "block", "window", "end")
+        .agg(
+            F.first("origin").alias("origin"),
+            F.sum("n").alias("n"),
+            F.sum(F.col("n") * F.col("off")).alias("first"),
+            F.sum(F.coalesce("m2", F.lit(0.0)) + F.col("n") * F.col("off") * F.col("off")).alias("second"),
         )
-        grown = F.when(part["n"] == 0, last).when(last["n"] == 0, alone).otherwise(both)
-        return F.when(
-            last["start"] == start,
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(grown)),
-        ).otherwise(F.concat(done, F.array(alone)))
-
-    return F.aggregate(parts, F.array().cast(f"array<{_MOMENTS}>"), step)
+    )
+    n, first = F.col("n"), F.col("first")
+    deviation = F.greatest(F.col("second") - first * first / n, F.lit(0.0))
+    return merged.select(
+        "symbol",
+        "end",
+        "window",
+        F.when(n > 0, F.col("origin") + first / n).alias("avg_price"),
+        F.when(n > 1, F.sqrt(deviation / (n - 1))).alias("std_price"),
+    )

@@ -98,7 +98,8 @@ def zscore_array(rows: DataFrame) -> DataFrame:
     """(timestamp, symbol, zscores): the scores of one tick time in one array.
 
     Ticks that share time and symbol merge; NULL scores stay as elements.
-    Elements are in order of width, then score, NULL last.
+    Elements are in order of width, then score, NULL last. Rows without a time
+    are let go; on a stream they would be kept for ever.
     """
     element = F.struct(
         width_seconds(F.col("window")).alias("seconds"),
@@ -106,7 +107,7 @@ def zscore_array(rows: DataFrame) -> DataFrame:
         "zscore_price",
         "window",
     )
-    return rows.groupBy("timestamp", "symbol").agg(
+    return rows.filter(F.col("timestamp").isNotNull()).groupBy("timestamp", "symbol").agg(
         F.transform(
             F.sort_array(F.collect_list(element)),
             lambda e: F.struct(

@@ -21,22 +21,34 @@ from ..operators import (
     zscore_rows,
 )
 from ..sources import decode, explode_stats, explode_zscores, read_messages
-from ..streaming import encode, route_by_window, start_sink
+from ..streaming import encode, route, route_by_window, start_sink
 
 LATENESS = "10 seconds"
 
 
 @dataclass(frozen=True)
 class Endpoint:
-    """Where messages come from or go to: a topic, a folder, or whatever the format names."""
+    """Where messages come from or go to: a topic, a folder, or whatever the format names.
+
+    `keyed` tells whether it takes a key column beside the value, as topics do.
+    """
 
     format: str
     options: dict[str, str] = field(default_factory=dict)
     path: str | None = None
+    keyed: bool = True
+
+    def messages(self, rows: DataFrame, key: str | None = None) -> DataFrame:
+        return encode(rows, key if self.keyed else None)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_messages(spark, self.format, self.options, self.path)
 
+    def append(self, messages: DataFrame, batch_id: int) -> None:
+        """Write the batch of a stream; sinks that know `batch_id` can tell a repeated one."""
+        writer = messages.write.format(self.format).mode("append").options(**self.options)
+        writer.option("batchId", str(batch_id)).save(self.path)
+
     def write(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         return start_sink(messages, self.format, self.options, checkpoint, self.path, **trigger)
 
@@ -58,13 +70,13 @@ def moving_job(
     source = decode(ticks.read(spark), schemas.TICK, lateness)
     if stats is None:
         arrays = stats_array(source)
-        return [moving.write(encode(arrays, "symbol"), f"{checkpoint}/moving", **trigger)]
+        return [moving.write(moving.messages(arrays, "symbol"), f"{checkpoint}/moving", **trigger)]
     first = stats.write(
-        encode(window_stats(source), "symbol"), f"{checkpoint}/moving_window", **trigger
+        stats.messages(window_stats(source), "symbol"), f"{checkpoint}/moving_window", **trigger
     )
     published = decode(stats.read(spark), schemas.WINDOW_STAT, lateness)
     second = moving.write(
-        encode(regroup_stats(published), "symbol"), f"{checkpoint}/moving_grouped", **trigger
+        moving.messages(regroup_stats(published), "symbol"), f"{checkpoint}/moving_grouped", **trigger
     )
     return [first, second]
 
@@ -82,7 +94,7 @@ def zscore_job(
     prices = decode(ticks.read(spark), schemas.TICK, lateness)
     arrays = decode(moving.read(spark), schemas.MOVING, lateness)
     scored = zscore_array(zscore_rows(prices, explode_stats(arrays)))
-    return [zscores.write(encode(scored, "symbol"), f"{checkpoint}/zscore", **trigger)]
+    return [zscores.write(zscores.messages(scored, "symbol"), f"{checkpoint}/zscore", **trigger)]
 
 
 def first_move_job(
@@ -97,13 +109,23 @@ def first_move_job(
     partition_cols: tuple[str, ...] = (),
     **trigger,
 ) -> list[StreamingQuery]:
-    """Gaps to the first higher and the first lower price, each to an output without keys."""
+    """Gaps to the first higher and the first lower price, each to an output without keys.
+
+    One query: each batch is written to both outputs. A batch that is repeated
+    after a failure is written again, with the same number.
+    """
     prices = decode(ticks.read(spark), schemas.TICK, lateness)
     moves = first_move(prices, horizon, fill, partition_cols)
-    return [
-        higher.write(encode(first_higher(moves)), f"{checkpoint}/higher", **trigger),
-        lower.write(encode(first_lower(moves)), f"{checkpoint}/lower", **trigger),
-    ]
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            higher.append(higher.messages(first_higher(batch)), batch_id)
+            lower.append(lower.messages(first_lower(batch)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return [route(moves, both, f"{checkpoint}/first_move", **trigger)]
 
 
 def loader_job(

@@ -58,4 +58,7 @@ def explode_stats(moving: DataFrame) -> DataFrame:
 
 def explode_zscores(arrays: DataFrame) -> DataFrame:
     """One row per z-score out of the array form; rows without z-scores vanish."""
-    return arrays.select("timestamp", "symbol", F.inline("zscores"))
+    # Not `inline`: Spark would infer that the array is not empty, and evaluate it, with
+    # all scores in it, once more in the join it comes from.
+    rows = arrays.select("timestamp", "symbol", F.posexplode_outer("zscores").alias("place", "score"))
+    return rows.filter(F.col("place").isNotNull()).select("timestamp", "symbol", "score.*")

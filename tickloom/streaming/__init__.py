@@ -1,3 +1,3 @@
-from .sinks import encode, route_by_window, start_sink, to_folders, to_outputs
+from .sinks import encode, route, route_by_window, start_sink, to_folders, to_outputs
 
-__all__ = ["encode", "route_by_window", "start_sink", "to_folders", "to_outputs"]
+__all__ = ["encode", "route", "route_by_window", "start_sink", "to_folders", "to_outputs"]

@@ -49,6 +49,19 @@ def start_sink(
     return _start(writer, checkpoint, processing_time, available_now, name, path)
 
 
+def route(
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str | None = None,
+    processing_time: str | None = None,
+    available_now: bool = False,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Run one query and hand each batch, and its number, to `write`."""
+    writer = df.writeStream.outputMode("append").foreachBatch(write)
+    return _start(writer, checkpoint, processing_time, available_now, name, None)
+
+
 def route_by_window(
     df: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -63,8 +76,7 @@ def route_by_window(
     and its number. The source is read once, whatever the number of outputs. A
     batch may be handed over again after a failure, with the same number.
     """
-    writer = df.writeStream.outputMode("append").foreachBatch(write)
-    return _start(writer, checkpoint, processing_time, available_now, name, None)
+    return route(df, write, checkpoint, processing_time, available_now, name)
 
 
 def to_folders(path: str, labels: Iterable[str] = LABELS, format: str = "parquet"):
@@ -92,7 +104,7 @@ def to_outputs(
     """Route each label to an output of its own, such as a collection or a topic.
 
     `options` gives the sink options for a label. A repeated batch is written
-    again; use it with sinks that tell or tolerate repeats.
+    again; its number goes along as the option `batchId`, for sinks that can tell.
     """
     labels = list(labels)
 
@@ -101,7 +113,9 @@ def to_outputs(
         try:
             for label in labels:
                 rows = batch.filter(F.col("window") == label)
-                rows.write.mode(mode).format(format).options(**options(label)).save()
+                rows.write.mode(mode).format(format).options(**options(label)).option(
+                    "batchId", str(batch_id)
+                ).save()
         finally:
             batch.unpersist()
 
