@@ -43,11 +43,24 @@ def ship(spark: SparkSession) -> None:
 
 
 def saved(df: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """Write a table to the shared folder and read it: cuts lineage, survives lost executors."""
-    folder = shared_folder(df.sparkSession)
+    """Write a table to the shared folder and read it: cuts lineage, survives lost executors.
+
+    What was shuffled to make the table is let go once it is written.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
     writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+# Spark's setting for removing shuffle files at the end of a query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def held_out(doc_id: Column, parts: int, left_out: int) -> Column:

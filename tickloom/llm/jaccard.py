@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import id_and_text, saved
@@ -85,7 +85,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_000, often: int = 32) -> DataFrame:
-    """(doc_id, n, k, prefix): set size, class of equal sets, and the first columns of each row.
+    """(doc_id, n, k, prefix, rare): set size, class of equal sets, and the first columns of each row.
+
+    The first `rare` of these are not known to be common.
 
     Two sets that link share one of the first n - ceil(percent n / 100) + 1
     columns of either, in any order of the columns that is the same for all. The
@@ -125,14 +127,16 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
             for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
                 row = shingles(text, width)
                 n = len(row)
-                common = np.isin(row, known, assume_unique=True)
+                at = np.minimum(np.searchsorted(known, row), max(len(known) - 1, 0))
+                common = known[at] == row if len(known) else np.zeros(n, bool)
                 take = n - (percent * n + 99) // 100 + 1 if n else 0
-                prefix = np.concatenate([row[~common][:take], row[common]])[:take]
-                found.append((doc_id, n, class_key(row, doc_id), prefix))
-            frame = pd.DataFrame(found, columns=["doc_id", "n", "k", "prefix"])
+                rare = row[~common][:take]
+                prefix = np.concatenate([rare, row[common]])[:take]
+                found.append((doc_id, n, class_key(row, doc_id), prefix, len(rare)))
+            frame = pd.DataFrame(found, columns=["doc_id", "n", "k", "prefix", "rare"])
             yield frame.astype({"doc_id": "Int64"})
 
-    return saved(texts.mapInPandas(rows, "doc_id long, n long, k long, prefix array<long>"))
+    return saved(texts.mapInPandas(rows, "doc_id long, n long, k long, prefix array<long>, rare long"))
 
 
 def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: DataFrame) -> DataFrame:
@@ -147,15 +151,24 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     the one they share, are never made. `first` has edges known from elsewhere.
     """
     one = table.filter(F.col("n") > 0).groupBy("k").agg(
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("doc_id").alias("doc_id")
+        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare"), F.min("doc_id").alias("doc_id")
+    )
+    spread = one.select("k", "n", "rare", F.posexplode("prefix").alias("at", "h"))
+    own = F.struct("n", "k", "at")
+    by_column = Window.partitionBy("h")
+    # Columns not known to be common are met by few rows; common ones, a bounded number, are
+    # added up before the shuffle, and their smallest rows are told to all tasks.
+    few = (
+        spread.filter(F.col("at") < F.col("rare"))
+        .select("h", "k", "n", "at", F.count("k").over(by_column).alias("rows"), F.min(own).over(by_column).alias("head"))
+        .filter(F.col("rows") > 1)
+        .drop("rows")
     )
-    spread = one.select("k", "n", F.posexplode("prefix").alias("at", "h"))
-    shared = spread.groupBy("h").agg(
-        F.count("k").alias("rows"), F.min(F.struct("n", "k", "at")).alias("head")
-    ).filter(F.col("rows") > 1)
-    columns = saved(spread.join(shared.drop("rows"), "h"))
+    many = spread.filter(F.col("at") >= F.col("rare")).select("h", "k", "n", "at")
+    heads = many.groupBy("h").agg(F.min(own).alias("head"))
+    columns = saved(few.unionByName(many.join(F.broadcast(heads), "h").select(few.columns)))
 
-    head, own = F.col("head"), F.struct("n", "k", "at")
+    head = F.col("head")
     stars = (
         columns.filter((F.col("k") != head["k"]) & _may_link(own, head, percent))
         .select(F.least("k", head["k"]).alias("a"), F.greatest("k", head["k"]).alias("b"))
@@ -202,16 +215,19 @@ def verified(docs: DataFrame, one: DataFrame, pairs: DataFrame, width: int, perc
     Rows are made again from the texts of the classes in question only.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    holders = one.select("k", "doc_id").join(wanted, "k").select("doc_id").distinct()
+    holders = saved(one.select("k", "doc_id").join(wanted, "k").withColumnRenamed("k", "wanted"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(shingles(text, width), doc_id) for doc_id, text in zip(batch["doc_id"], batch["text"])]
-            yield pd.DataFrame({"k": [class_key(*x) for x in found], "row": [x[0] for x in found]})
+            found = []
+            for doc_id, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
+                row = shingles(text, width)
+                if class_key(row, doc_id) == wanted:  # a doc_id may stand for another text, too
+                    found.append((wanted, row))
+            yield pd.DataFrame(found, columns=["k", "row"])
 
-    texts = id_and_text(docs).join(holders, "doc_id", "left_semi")
-    matrix = texts.mapInPandas(rows, "k long, row array<long>").groupBy("k").agg(F.first("row").alias("row"))
-    matrix = saved(matrix)
+    texts = id_and_text(docs).join(holders, "doc_id")
+    matrix = saved(texts.mapInPandas(rows, "k long, row array<long>"))
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
