@@ -145,9 +145,12 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int, least: int = 8):
         if not good.any():
             break
         keep = good[kind]
-        at, weight = at[keep], count[kind[keep]]
-        at = at[_chosen(at, weight)]
-        used, rule = np.unique(pair[at], return_inverse=True)
+        at, kind = at[keep], kind[keep]
+        taken = _chosen(at, count[kind])
+        at, kind = at[taken], kind[taken]
+        present = np.zeros(len(kinds), bool)
+        present[kind] = True
+        used, rule = kinds[present], (np.cumsum(present) - 1)[kind]
         left.append(used >> 32)
         right.append(used & 0xFFFFFFFF)
         known = np.concatenate(lengths)

@@ -14,8 +14,8 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _WORD = re.compile(rf"([{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 # White space to Python but not to the tokenizer.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-# Line ends or blanks in a row, or at an end: such texts go to the library whole.
-_UNEVEN = re.compile(r"\A\s|\s\Z|\s\s")
+# White space other than blanks and line ends.
+_OTHER_BLANKS = re.compile(r"[^\S \n]")
 
 
 def _byte_names() -> dict[int, str]:
@@ -25,6 +25,18 @@ def _byte_names() -> dict[int, str]:
     return {b: chr(b if b in printable else next(others)) for b in range(256)}
 
 
+def _even(text: str) -> bool:
+    """Whether blanks and line ends stand one by one between words; else a text stays whole."""
+    return (
+        "  " not in text
+        and "\n\n" not in text
+        and " \n" not in text
+        and "\n " not in text
+        and not (text[0].isspace() or text[-1].isspace())
+        and not _OTHER_BLANKS.search(text)
+    )
+
+
 class Encoder:
     """`encode(text)`: little-endian unsigned 32-bit ids, the same as the library's for the text.
 
@@ -46,15 +58,15 @@ class Encoder:
         self.remember = remember
         self.kind = _kind(path)
         self.between = " " if self.kind == "byte level" else ""
-        self.first, self.later = _Pieces(self, ""), _Pieces(self, self.between)
         self.plain = _Words(self)
+        self.first, self.later = _Pieces(self, ""), _Pieces(self, self.between)
 
     def encode(self, text: str) -> bytes:
         if self.kind == "word ends" and not _SEPARATORS.search(text):
             pieces = text.split()
             known = self.first
             ids = b"".join(map(known.__getitem__, pieces))
-        elif self.kind == "byte level" and text and not _UNEVEN.search(text):
+        elif self.kind == "byte level" and text and _even(text):
             head, *pieces = text.split(" ")
             known = self.later
             ids = self.first[head] + b"".join(map(known.__getitem__, pieces))
@@ -86,11 +98,25 @@ class Encoder:
 
 
 class _Pieces(dict):
+    """Ids per piece of text, as it stands after a blank or without one."""
+
     def __init__(self, encoder: Encoder, blank: str):
         self.encoder, self.blank = encoder, blank
+        self.lower, self.start = encoder.kind == "word ends", encoder.names[32] if blank else ""
+        self.tokenize, self.marks = encoder.model.tokenize, encoder.plain
+        self.four = encoder.plain.four
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self.encoder.piece(self.blank, piece)
+        # Most pieces are one word of plain letters, with a full stop or comma at most.
+        mark = piece[-1:] if piece[-1:] in (".", ",") else ""
+        word = piece[:-1] if mark else piece
+        if self.encoder.kind != "other" and word.isascii() and word.isalpha():
+            word = self.start + (word.lower() if self.lower else word)
+            ids = b"".join([self.four[token.id] for token in self.tokenize(word)])
+            ids += self.marks[mark] if mark else b""
+        else:
+            ids = self.encoder.piece(self.blank, piece)
+        self[piece] = ids
         return ids
 
 
