@@ -1,0 +1,49 @@
+"""The registered queries against their SQL on whole tables, and what they return."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+from tickloom.llm.queries import QUERIES, SQL
+
+SF_DIR = "/root/testdata/sf0.01"
+
+# Columns in any order, as the contract names them; more may follow.
+COLUMNS = {
+    "op1": "doc_id:bigint piece:int start:bigint length:bigint ids_crc32:bigint sequence_id:bigint offset:bigint",
+    "op2": "doc_id:bigint start:bigint n_tokens:bigint ids_crc32:bigint",
+    "op3": "doc_id:bigint n_words:bigint n_hit:bigint n_items:bigint items_sha256:string contaminated:boolean",
+    "op4": "doc_id:bigint held_out:boolean score:double predicted:int",
+    "op5": "doc_id:bigint n_shingles:bigint component_id:bigint",
+    "op6": "doc_id:bigint n_words:bigint word_chars:bigint n_symbols:bigint n_dup_lines:bigint "
+    "n_repeat_words:bigint base_failed:boolean kept:boolean",
+    "op7": "doc_id:bigint held_out:boolean score:double predicted:int",
+    "op8": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
+    "op9": "doc_id:bigint held_out:boolean n_tokens:bigint n_known:bigint train_tokens:bigint "
+    "base_score:double score:double",
+    "op10": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int",
+}
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql())
+    assert [q.split("_")[0] for q in QUERIES] == list(COLUMNS)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_columns(spark, name):
+    found = {f"{n}:{t}" for n, t in QUERIES[name](spark, "/root/testdata/sf0.001").dtypes}
+    assert found >= set(COLUMNS[name.split("_")[0]].split())
+
+
+@pytest.mark.parametrize("name", SQL)
+def test_query_equals_sql(spark, name):
+    db = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = db.execute(SQL[name])
+    names = [d[0] for d in result.description]
+    expected = sorted(sorted(zip(names, r)) for r in result.fetchall())
+    got = sorted(sorted(r.asDict().items()) for r in QUERIES[name](spark, SF_DIR).collect())
+    assert got == expected

@@ -84,4 +84,55 @@ QUERIES = {
     )
 }
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TOKENS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+# Where SQL can say the same; the others are tested against plain versions in tests/llm.
+SQL = {
+    "op3_decontamination": f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, list_slice(w, i, i + least(13, len(w)) - 1) AS phrase
+  FROM items, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(i) WHERE len(w) > 0
+), docs AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), lengths AS (
+  SELECT DISTINCT len(phrase) AS n FROM windows
+), places AS (
+  SELECT doc_id, n, i, list_slice(w, i, i + n - 1) AS phrase
+  FROM docs, lengths, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n
+), found AS (
+  SELECT doc_id, i, n, item FROM places JOIN windows USING (phrase)
+), hits AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM found, unnest(range(i, i + n)) AS t(k) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op5_near_duplicates": f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, {_TOKENS} AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + least(5, len(w)) - 1) AS shingle
+  FROM docs, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM docs LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)""",
+}
