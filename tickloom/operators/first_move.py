@@ -268,10 +268,8 @@ def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFr
     rows = seen.select(*keys, "own", F.coalesce("last", empty).alias("last"), F.sort_array("between").alias("between"))
 
     def gaps(own: Column, last: Column, between: Column) -> Column:
-        rest = [_running(_values(own, f), pick, 1) for f, pick in (("hi", F.greatest), ("lo", F.least))]
-        begun = [_running(_values(last, f), pick, -1) for f, pick in (("hi", F.greatest), ("lo", F.least))]
         return _let(
-            F.struct(*[c.alias(n) for c, n in zip((*rest, *begun), ("hi", "lo", "last_hi", "last_lo"))]),
+            F.struct(_running(own, 1).alias("rest"), _running(last, -1).alias("begun")),
             lambda e: F.transform(own, lambda t, i: found(t, i, e, last, between)),
         )
 
@@ -281,18 +279,15 @@ def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFr
             return F.when(same, F.lit(0)).otherwise(F.coalesce(first, F.when(final, F.lit(horizon))))
 
         def row(place: Column) -> Column:
+            rest, begun = F.get(e["rest"], i + 1), F.get(e["begun"], place)
             return F.struct(
                 t["us"].alias("us"),
-                gap(
-                    F.get(e["hi"], i + 1) > t["lo"],
-                    lambda s: s["hi"] > t["lo"],
-                    F.get(e["last_hi"], place) > t["lo"],
-                ).cast("long").alias("higher_window"),
-                gap(
-                    F.get(e["lo"], i + 1) < t["hi"],
-                    lambda s: s["lo"] < t["hi"],
-                    F.get(e["last_lo"], place) < t["hi"],
-                ).cast("long").alias("lower_window"),
+                gap(rest["hi"] > t["lo"], lambda s: s["hi"] > t["lo"], begun["hi"] > t["lo"])
+                .cast("long")
+                .alias("higher_window"),
+                gap(rest["lo"] < t["hi"], lambda s: s["lo"] < t["hi"], begun["lo"] < t["hi"])
+                .cast("long")
+                .alias("lower_window"),
             )
 
         return _let(_up_to(last, t["us"] + F.lit(span)), row)
@@ -315,26 +310,23 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _values(times: Column, field: str) -> Column:
-    return F.transform(times, lambda t: t[field])
-
-
-def _running(values: Column, pick, step: int, bit: int = 0) -> Column:
-    """Extreme of each value and all after it (step 1) or before it (step -1), NULLs left out.
+def _running(times: Column, step: int) -> Column:
+    """Extremes of each time and all after it (step 1) or before it (step -1), NULLs left out.
 
     By doubling: after k rounds each place knows 2 to the k of its neighbours.
     """
-    if bit == _BITS:
-        return values
 
-    def wider(v: Column) -> Column:
+    def wider(known: Column, reach: Column) -> Column:
         def both(x: Column, i: Column) -> Column:
-            j = i + step * (1 << bit)
-            return pick(x, F.when(j >= 0, F.get(v, j)))
+            j = i + step * reach
+            y = F.when(j >= 0, F.get(known, j))
+            return F.struct(F.least(x["lo"], y["lo"]).alias("lo"), F.greatest(x["hi"], y["hi"]).alias("hi"))
 
-        return F.when(F.size(v) <= 1 << bit, v).otherwise(_running(F.transform(v, both), pick, step, bit + 1))
+        return F.when(F.size(known) <= reach, known).otherwise(F.transform(known, both))
 
-    return _let(values, wider)
+    extremes = F.transform(times, lambda t: F.struct(t["lo"].alias("lo"), t["hi"].alias("hi")))
+    reaches = F.array(*[F.lit(1 << b) for b in range(_BITS)])
+    return F.aggregate(reaches, extremes, wider)
 
 
 def _up_to(times: Column, us: Column) -> Column:
