@@ -23,7 +23,7 @@ _END = np.int64(xxhash.xxh64_intdigest(b" end of text ") - (1 << 63))  # no word
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word) - (1 << 63)
         return value

@@ -19,7 +19,7 @@ _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -105,8 +105,12 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
             for text in batch["text"]:
                 row = shingles(text, width)
                 rows[class_key(row, 0)] = row  # copies count once
-            value, n = np.unique(np.concatenate([*rows.values(), np.empty(0, np.int64)]), return_counts=True)
-            yield pd.DataFrame({"h": value[n > 1], "n": n[n > 1]})
+            value = np.concatenate([*rows.values(), np.empty(0, np.int64)])
+            rows.clear()
+            value.sort()
+            begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])[: len(value)])
+            n = np.diff(np.append(begin, len(value)))
+            yield pd.DataFrame({"h": value[begin[n > 1]], "n": n[n > 1]})
 
     common = (
         texts.mapInPandas(repeated, "h long, n long")
@@ -224,6 +228,9 @@ def verified(docs: DataFrame, one: DataFrame, pairs: DataFrame, width: int, perc
                 row = shingles(text, width)
                 if class_key(row, doc_id) == wanted:  # a doc_id may stand for another text, too
                     found.append((wanted, row))
+                if len(found) == 1000:
+                    yield pd.DataFrame(found, columns=["k", "row"])
+                    found = []
             yield pd.DataFrame(found, columns=["k", "row"])
 
     texts = id_and_text(docs).join(holders, "doc_id")

@@ -48,7 +48,7 @@ class Encoder:
     the rule may not apply. At most `remember` pieces are kept.
     """
 
-    def __init__(self, path: str, remember: int = 800_000):
+    def __init__(self, path: str, remember: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -72,9 +72,8 @@ class Encoder:
             ids = self.first[head] + b"".join(map(known.__getitem__, pieces))
         else:
             return self.whole(text)
-        for pieces in (self.first, self.later, self.plain):
-            if len(pieces) > self.remember:
-                pieces.clear()
+        if len(self.plain) > self.remember:
+            self.plain.clear()
         return ids
 
     def whole(self, text: str) -> bytes:
@@ -105,19 +104,28 @@ class _Pieces(dict):
         self.lower, self.start = encoder.kind == "word ends", encoder.names[32] if blank else ""
         self.tokenize, self.marks = encoder.model.tokenize, encoder.plain
         self.four = encoder.plain.four
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.encoder.remember:
+            # What is asked for again is taken over; the rest is forgotten with the next change.
+            self.before = dict(self)
+            self.clear()
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.found(piece)
+        self[piece] = ids
+        return ids
+
+    def found(self, piece: str) -> bytes:
         # Most pieces are one word of plain letters, with a full stop or comma at most.
         mark = piece[-1:] if piece[-1:] in (".", ",") else ""
         word = piece[:-1] if mark else piece
         if self.encoder.kind != "other" and word.isascii() and word.isalpha():
             word = self.start + (word.lower() if self.lower else word)
             ids = b"".join([self.four[token.id] for token in self.tokenize(word)])
-            ids += self.marks[mark] if mark else b""
-        else:
-            ids = self.encoder.piece(self.blank, piece)
-        self[piece] = ids
-        return ids
+            return ids + self.marks[mark] if mark else ids
+        return self.encoder.piece(self.blank, piece)
 
 
 class _Words(dict):
