@@ -172,13 +172,14 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     heads = many.groupBy("h").agg(F.min(own).alias("head"))
     columns = saved(few.unionByName(many.join(F.broadcast(heads), "h").select(few.columns)))
 
+    matrix = incidence_rows(docs, one, columns.select("k").distinct(), width)
     head = F.col("head")
     stars = (
         columns.filter((F.col("k") != head["k"]) & _may_link(own, head, percent))
         .select(F.least("k", head["k"]).alias("a"), F.greatest("k", head["k"]).alias("b"))
         .distinct()
     )
-    tested = saved(verified(docs, one, saved(stars), width, percent))
+    tested = saved(verified(matrix, saved(stars), percent))
     edges = first.unionByName(tested.filter("linked").select("a", "b"))
 
     groups = components(edges)
@@ -198,7 +199,7 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
         .distinct()
         .join(tested.select("a", "b"), ["a", "b"], "left_anti")
     )
-    more = verified(docs, one, saved(across), width, percent)
+    more = verified(matrix, saved(across), percent)
     return saved(edges.unionByName(more.filter("linked").select("a", "b")))
 
 
@@ -211,15 +212,13 @@ def _may_link(x: Column, y: Column, percent: int) -> Column:
     return sizes & ((100 + percent) * most >= p * (x["n"] + y["n"]))
 
 
-def verified(docs: DataFrame, one: DataFrame, pairs: DataFrame, width: int, percent: int, blocks: int = 8) -> DataFrame:
-    """`pairs` (a, b) with `linked`: the product of two rows, column block by column block.
+def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """(k, row): the rows of the given classes, made again from the text of one document each.
 
-    A block is a range of hashes. Overlaps are added up block after block, and a
-    pair is discarded as soon as what the remaining blocks can add is too little.
-    Rows are made again from the texts of the classes in question only.
+    Only classes that share a column with another are asked for. Texts are joined by
+    a shuffle at every size; most documents are in no such class and end there.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    holders = saved(one.select("k", "doc_id").join(wanted, "k").withColumnRenamed("k", "wanted"))
+    holders = one.select("k", "doc_id").join(classes, "k").withColumnRenamed("k", "wanted")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -233,8 +232,16 @@ def verified(docs: DataFrame, one: DataFrame, pairs: DataFrame, width: int, perc
                     found = []
             yield pd.DataFrame(found, columns=["k", "row"])
 
-    texts = id_and_text(docs).join(holders, "doc_id")
-    matrix = saved(texts.mapInPandas(rows, "k long, row array<long>"))
+    texts = id_and_text(docs).join(saved(holders).hint("merge"), "doc_id")
+    return saved(texts.mapInPandas(rows, "k long, row array<long>"))
+
+
+def verified(matrix: DataFrame, pairs: DataFrame, percent: int, blocks: int = 8) -> DataFrame:
+    """`pairs` (a, b) with `linked`: the product of two rows, column block by column block.
+
+    A block is a range of hashes. Overlaps are added up block after block, and a
+    pair is discarded as soon as what the remaining blocks can add is too little.
+    """
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
