@@ -150,7 +150,7 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     each column names only its smallest row, and pairs of it with all others are
     verified: a group of near copies, however large, costs a pair for each member
     and not for each two. Then, of columns whose rows lie in several components
-    still, all pairs across components are verified. Pairs within a component
+    still, the rows are multiplied block by block. Pairs within a component
     need no test. Pairs too different in size, or with too few columns left after
     the one they share, are never made. `first` has edges known from elsewhere.
     """
@@ -186,21 +186,133 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     placed = columns.select("h", "k", "n", "at").join(groups.withColumnRenamed("node", "k"), "k", "left")
     placed = saved(placed.select("h", own.alias("row"), F.coalesce("root", "k").alias("root")))
     mixed = placed.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("h")
-    left = placed.join(mixed, "h")
-    right = left.select("h", F.col("row").alias("other"), F.col("root").alias("other_root"))
-    across = (
-        left.join(right, "h")
-        .filter(
-            (F.col("row.k") < F.col("other.k"))
-            & (F.col("root") != F.col("other_root"))
-            & _may_link(F.col("row"), F.col("other"), percent)
-        )
-        .select(F.col("row.k").alias("a"), F.col("other.k").alias("b"))
-        .distinct()
-        .join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    more = products(matrix, saved(placed.join(mixed, "h").select("h", "row.*", "root")), percent)
+    return saved(edges.unionByName(more))
+
+
+def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
+    """(a, b): links between rows of different components, as many as connect what links.
+
+    `cells` is (h, n, k, at, root): the columns that rows of several components
+    share. Rows of about one size that have the same smallest such column form
+    blocks of about `rows` rows and `entries` shingles, dealt by hash. Two blocks are
+    multiplied in one task, once, whatever the number of columns they share; so no
+    row is made for a pair of documents. Blocks whose sizes or positions rule out
+    every link, and those of one component alone, are not multiplied.
+    """
+    homes = cells.groupBy("k").agg(F.min("h").alias("home"), F.first("n").alias("n"), F.first("root").alias("root"))
+    homes = homes.withColumn("band", F.floor(F.log("n") * 10))
+    sizes = homes.groupBy("home", "band").agg(
+        F.greatest(F.ceil(F.count("k") / rows), F.ceil(F.sum("n") / entries)).alias("parts")
+    )
+    part = F.pmod(F.xxhash64("k"), "parts")
+    block_of = saved(
+        homes.join(sizes, ["home", "band"]).select("k", "root", F.xxhash64("home", "band", part).alias("block"))
+    )
+    parts = cells.join(block_of.select("k", "block"), "k").groupBy("h", "block").agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("largest"),
+        F.max(F.col("n") - F.col("at")).alias("most"),
+        F.min("root").alias("first"),
+        F.max("root").alias("last"),
+    )
+    parts = saved(parts)
+    x, y = parts.alias("x"), parts.alias("y")
+    p = F.lit(percent)
+    sizes_fit = (100 * F.col("x.largest") >= p * F.col("y.least")) & (100 * F.col("y.largest") >= p * F.col("x.least"))
+    most = F.least("x.most", "y.most")
+    enough = (100 + percent) * most >= p * (F.col("x.least") + F.col("y.least"))
+    roots_differ = F.least("x.first", "y.first") != F.greatest("x.last", "y.last")
+    pairs = x.join(y, F.col("x.h") == F.col("y.h")).filter(
+        (F.col("x.block") <= F.col("y.block")) & sizes_fit & enough & roots_differ
     )
-    more = verified(matrix, saved(across), percent)
-    return saved(edges.unionByName(more.filter("linked").select("a", "b")))
+    pairs = saved(pairs.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct())
+    held = saved(matrix.join(block_of, "k").select("block", "k", "root", "row"))
+    one = pairs.join(held, pairs["i"] == held["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root", "row")
+    other = pairs.filter("i <> j").join(held, pairs["j"] == held["block"])
+    both = one.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root", "row"))
+
+    def multiplied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, kept = None, []
+        for batch in batches:
+            found = []
+            for i, j, *row in zip(*(batch[c] for c in ("i", "j", "side", "k", "root", "row"))):
+                if (i, j) != now:
+                    found += product(kept, percent)
+                    now, kept = (i, j), []
+                kept.append(row)
+            yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        yield pd.DataFrame(product(kept, percent), columns=["a", "b"]).astype("int64")
+
+    return both.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(multiplied, "a long, b long")
+
+
+def product(rows: list[tuple], percent: int, width: int = 2048) -> list[tuple[int, int]]:
+    """Links between rows (side, k, root, shingles) of both sides, or of the one there is.
+
+    Overlaps are added up column block by column block, `width` columns each,
+    until no pair of different roots can reach the least overlap that links. Of the
+    links only those are given that join roots not joined before.
+    """
+    left = [r for r in rows if r[0] == 0]
+    right = [r for r in rows if r[0] == 1] or left
+    root_x, root_y = (np.array([r[2] for r in side], np.int64) for side in (left, right))
+    n_x, n_y = (np.array([len(r[3]) for r in side], np.int64) for side in (left, right))
+    need = -(-percent * (n_x[:, None] + n_y) // (100 + percent))
+    open_ = (root_x[:, None] != root_y) & (need <= np.minimum(n_x[:, None], n_y))
+    if not open_.any():
+        return []
+    column_x, column_y = (np.concatenate([r[3] for r in side]) for side in (left, right))
+    at_x, at_y = np.repeat(np.arange(len(left)), n_x), np.repeat(np.arange(len(right)), n_y)
+    if right is left:
+        columns, times = np.unique(column_x, return_counts=True)
+        columns = columns[times > 1]
+    else:
+        columns = np.intersect1d(column_x, column_y)
+    place_x, at_x = _among(columns, column_x, at_x)
+    place_y, at_y = (place_x, at_x) if right is left else _among(columns, column_y, at_y)
+    rest_x, rest_y = np.bincount(at_x, minlength=len(left)), np.bincount(at_y, minlength=len(right))
+    common = np.zeros(open_.shape, np.int64)
+    for begin in range(0, len(columns), width):
+        open_ &= common + np.minimum(rest_x[:, None], rest_y) >= need
+        if not open_.any():
+            return []
+        x = _dense(place_x, at_x, begin, width, len(left), rest_x)
+        y = x if right is left else _dense(place_y, at_y, begin, width, len(right), rest_y)
+        common += (x @ y.T).astype(np.int64)
+    found, above = [], {}
+
+    def top(root: int) -> int:
+        while root in above:
+            root = above[root]
+        return root
+
+    for i, j in np.argwhere(open_ & (common >= need)).tolist():
+        a, b = top(left[i][2]), top(right[j][2])
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            found.append((left[i][1], right[j][1]))
+    return found
+
+
+def _among(columns: np.ndarray, values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the values among sorted `columns`, ascending, and their rows; others are let go."""
+    if not len(columns):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    place = np.minimum(np.searchsorted(columns, values), len(columns) - 1)
+    there = columns[place] == values
+    place, at = place[there], at[there]
+    order = np.argsort(place, kind="stable")
+    return place[order], at[order]
+
+
+def _dense(place, at, begin: int, width: int, rows: int, rest: np.ndarray) -> np.ndarray:
+    """Columns [begin, begin + width) of a sparse block as a dense one; `rest` loses their counts."""
+    a, b = np.searchsorted(place, [begin, begin + width])
+    block = np.zeros((rows, width), np.float32)
+    block[at[a:b], place[a:b] - begin] = 1
+    rest -= np.bincount(at[a:b], minlength=rows)
+    return block
 
 
 def _may_link(x: Column, y: Column, percent: int) -> Column:
