@@ -147,8 +147,8 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     """(a, b): classes of equal sets that link, enough of them to connect all that do.
 
     Candidates come from the product of the prefix columns, in two rounds. First
-    each column names only its smallest row, and pairs of it with all others are
-    verified: a group of near copies, however large, costs a pair for each member
+    each column names only its smallest row, which is multiplied with all others: a
+    group of near copies, however large, costs a product for each member
     and not for each two. Then, of columns whose rows lie in several components
     still, the rows are multiplied block by block. Pairs within a component
     need no test. Pairs too different in size, or with too few columns left after
@@ -176,11 +176,11 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     head = F.col("head")
     stars = (
         columns.filter((F.col("k") != head["k"]) & _may_link(own, head, percent))
-        .select(F.least("k", head["k"]).alias("a"), F.greatest("k", head["k"]).alias("b"))
+        .select(head["k"].alias("i"), "k", "n")
         .distinct()
     )
-    tested = saved(verified(matrix, saved(stars), percent))
-    edges = first.unionByName(tested.filter("linked").select("a", "b"))
+    near = multiplied(matrix, star_blocks(saved(stars)), percent)
+    edges = saved(first.unionByName(near))
 
     groups = components(edges)
     placed = columns.select("h", "k", "n", "at").join(groups.withColumnRenamed("node", "k"), "k", "left")
@@ -227,12 +227,30 @@ def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256,
         (F.col("x.block") <= F.col("y.block")) & sizes_fit & enough & roots_differ
     )
     pairs = saved(pairs.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct())
-    held = saved(matrix.join(block_of, "k").select("block", "k", "root", "row"))
-    one = pairs.join(held, pairs["i"] == held["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root", "row")
-    other = pairs.filter("i <> j").join(held, pairs["j"] == held["block"])
-    both = one.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root", "row"))
+    one = pairs.join(block_of, pairs["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root")
+    other = pairs.filter("i <> j").join(block_of, pairs["j"] == block_of["block"])
+    return multiplied(matrix, one.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root")), percent)
 
-    def multiplied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def star_blocks(stars: DataFrame, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
+    """(i, j, side, k, root): the smallest row `i` of a column against the others, some at a time.
+
+    A row that very many others meet is sent to each block `j` of these, so that no
+    task holds them all.
+    """
+    parts = stars.groupBy("i").agg(
+        F.greatest(F.ceil(F.count("k") / rows), F.ceil(F.sum("n") / entries)).alias("parts")
+    )
+    others = stars.join(parts, "i").select("i", F.pmod(F.xxhash64("k"), "parts").alias("j"), F.lit(1).alias("side"), "k")
+    heads = parts.select("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("j"))
+    heads = heads.select("i", "j", F.lit(0).alias("side"), F.col("i").alias("k"))
+    return heads.unionByName(others).withColumn("root", F.col("k"))
+
+
+def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links `product` finds in each group (i, j) of `members` (i, j, side, k, root)."""
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, kept = None, []
         for batch in batches:
             found = []
@@ -244,7 +262,8 @@ def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256,
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
         yield pd.DataFrame(product(kept, percent), columns=["a", "b"]).astype("int64")
 
-    return both.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(multiplied, "a long, b long")
+    rows = members.join(matrix, "k").select("i", "j", "side", "k", "root", "row")
+    return rows.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(each, "a long, b long")
 
 
 def product(rows: list[tuple], percent: int, width: int = 2048) -> list[tuple[int, int]]:
@@ -256,6 +275,9 @@ def product(rows: list[tuple], percent: int, width: int = 2048) -> list[tuple[in
     """
     left = [r for r in rows if r[0] == 0]
     right = [r for r in rows if r[0] == 1] or left
+    if len(left) == len(right) == 1:
+        (_, a, root_a, x), (_, b, root_b, y) = left[0], right[0]
+        return [(a, b)] if root_a != root_b and overlaps(x, y, percent, 8) else []
     root_x, root_y = (np.array([r[2] for r in side], np.int64) for side in (left, right))
     n_x, n_y = (np.array([len(r[3]) for r in side], np.int64) for side in (left, right))
     need = -(-percent * (n_x[:, None] + n_y) // (100 + percent))
@@ -277,8 +299,9 @@ def product(rows: list[tuple], percent: int, width: int = 2048) -> list[tuple[in
         open_ &= common + np.minimum(rest_x[:, None], rest_y) >= need
         if not open_.any():
             return []
-        x = _dense(place_x, at_x, begin, width, len(left), rest_x)
-        y = x if right is left else _dense(place_y, at_y, begin, width, len(right), rest_y)
+        wide = min(width, len(columns) - begin)
+        x = _dense(place_x, at_x, begin, wide, len(left), rest_x)
+        y = x if right is left else _dense(place_y, at_y, begin, wide, len(right), rest_y)
         common += (x @ y.T).astype(np.int64)
     found, above = [], {}
 
@@ -348,25 +371,8 @@ def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: i
     return saved(texts.mapInPandas(rows, "k long, row array<long>"))
 
 
-def verified(matrix: DataFrame, pairs: DataFrame, percent: int, blocks: int = 8) -> DataFrame:
-    """`pairs` (a, b) with `linked`: the product of two rows, column block by column block.
-
-    A block is a range of hashes. Overlaps are added up block after block, and a
-    pair is discarded as soon as what the remaining blocks can add is too little.
-    """
-
-    @F.pandas_udf("boolean")
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([overlaps(x, y, percent, blocks) for x, y in zip(left, right)])
-
-    return (
-        pairs.join(matrix.select(F.col("k").alias("a"), F.col("row").alias("x")), "a")
-        .join(matrix.select(F.col("k").alias("b"), F.col("row").alias("y")), "b")
-        .select("a", "b", linked("x", "y").alias("linked"))
-    )
-
-
 def overlaps(x: np.ndarray, y: np.ndarray, percent: int, blocks: int) -> bool:
+    """The product of two rows, column block by column block, until what is left can add too little."""
     need = -(-percent * (len(x) + len(y)) // (100 + percent))  # the least overlap that links
     edges = np.linspace(-(1 << 63), (1 << 63) - 1024, blocks + 1)[1:-1].astype(np.int64)
     at_x, at_y = ([0, *np.searchsorted(s, edges).tolist(), len(s)] for s in (x, y))
