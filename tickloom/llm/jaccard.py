@@ -227,6 +227,7 @@ def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256,
         (F.col("x.block") <= F.col("y.block")) & sizes_fit & enough & roots_differ
     )
     pairs = saved(pairs.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct())
+    pairs = _within_reach(pairs, matrix, block_of, percent)
     one = pairs.join(block_of, pairs["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root")
     other = pairs.filter("i <> j").join(block_of, pairs["j"] == block_of["block"])
     return multiplied(matrix, one.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root")), percent)
@@ -247,6 +248,40 @@ def star_blocks(stars: DataFrame, rows: int = 256, entries: int = 1_000_000) ->
     return heads.unionByName(others).withColumn("root", F.col("k"))
 
 
+def bits(row: np.ndarray, words: int = 64) -> np.ndarray:
+    """A bitmap of 64 `words` bits in which each shingle sets one.
+
+    Every bit set here and not in another row's bitmap stands for a shingle, at least,
+    that the other row does not have.
+    """
+    place = (row.view(np.uint64) & np.uint64(64 * words - 1)).astype(np.int64)
+    found = np.zeros(64 * words, np.uint8)
+    found[place] = 1
+    return np.packbits(found).view(np.int64)
+
+
+def _apart(x: Column, y: Column) -> Column:
+    """How many bits of one bitmap the other lacks."""
+    each = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+
+
+def _within_reach(pairs: DataFrame, matrix: DataFrame, block_of: DataFrame, percent: int) -> DataFrame:
+    """Pairs of blocks (i, j) without those of two single rows whose bitmaps rule out a link.
+
+    Bitmaps move here and not rows. Blocks of several rows stay as they are.
+    """
+    single = block_of.groupBy("block").agg(F.count("k").alias("rows"), F.first("k").alias("k")).filter("rows = 1")
+    marks = saved(single.join(matrix.select("k", "bits", F.size("row").alias("n")), "k").select("block", "bits", "n"))
+    x, y = (marks.select(F.col("block").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n").alias(f"{c}_n")) for c in "ij")
+    both = pairs.join(x, "i", "left").join(y, "j", "left")
+    most = F.least(
+        F.col("i_n") - _apart(F.col("i_bits"), F.col("j_bits")), F.col("j_n") - _apart(F.col("j_bits"), F.col("i_bits"))
+    )
+    reach = (100 + percent) * most >= percent * (F.col("i_n") + F.col("j_n"))
+    return saved(both.filter(F.coalesce(reach, F.lit(True))).select("i", "j"))
+
+
 def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(a, b): the links `product` finds in each group (i, j) of `members` (i, j, side, k, root)."""
 
@@ -262,7 +297,7 @@ def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
         yield pd.DataFrame(product(kept, percent), columns=["a", "b"]).astype("int64")
 
-    rows = members.join(matrix, "k").select("i", "j", "side", "k", "root", "row")
+    rows = members.join(matrix.select("k", "row"), "k").select("i", "j", "side", "k", "root", "row")
     return rows.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(each, "a long, b long")
 
 
@@ -348,7 +383,7 @@ def _may_link(x: Column, y: Column, percent: int) -> Column:
 
 
 def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(k, row): the rows of the given classes, made again from the text of one document each.
+    """(k, row, bits): the rows of the given classes, made again from the text of one document each.
 
     Only classes that share a column with another are asked for. Texts are joined by
     a shuffle at every size; most documents are in no such class and end there.
@@ -361,14 +396,14 @@ def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: i
             for doc_id, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
                 row = shingles(text, width)
                 if class_key(row, doc_id) == wanted:  # a doc_id may stand for another text, too
-                    found.append((wanted, row))
+                    found.append((wanted, row, bits(row)))
                 if len(found) == 1000:
-                    yield pd.DataFrame(found, columns=["k", "row"])
+                    yield pd.DataFrame(found, columns=["k", "row", "bits"])
                     found = []
-            yield pd.DataFrame(found, columns=["k", "row"])
+            yield pd.DataFrame(found, columns=["k", "row", "bits"])
 
     texts = id_and_text(docs).join(saved(holders).hint("merge"), "doc_id")
-    return saved(texts.mapInPandas(rows, "k long, row array<long>"))
+    return saved(texts.mapInPandas(rows, "k long, row array<long>, bits array<long>"))
 
 
 def overlaps(x: np.ndarray, y: np.ndarray, percent: int, blocks: int) -> bool:
