@@ -93,6 +93,29 @@ def test_one_id_for_two_texts(spark):
     check(spark.createDataFrame(list(zip([5, 5, 3], texts)), "doc_id long, text string"))
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_repeated_rows_are_one_row_of_the_matrix(spark, split):
+    """One (doc_id, text) held by most rows, its near copies, and one doc_id with many texts."""
+    if split:  # as a hot key is at full size
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "4k")
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.0")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    words = ["w%d" % i for i in range(120)]
+    near = [" ".join([*words, "end%d" % i]) for i in range(3)]
+    rows = [(7, near[0])] * 900 + [(8, near[1]), (9, near[2])]
+    rows += [(50, " ".join([*words[: 60 + i], *["x%d_%d" % (i, j) for j in range(60)]])) for i in range(40)]
+    rows += [(100 + i, "other text number %d of these" % i) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    named = jaccard.incidence(docs, 5, 80)
+    one = named.groupBy("k").agg(F.min(F.struct("doc_id", "t")).alias("holder"))
+    made = [r.k for r in jaccard.incidence_rows(docs, one, named.select("k").distinct(), 5).collect()]
+    assert Counter(made) == Counter({r.k for r in named.collect()})
+    found = Counter(tuple(r) for r in jaccard.near_duplicates(docs).collect())
+    assert found[7, 117, 7] == 900 and found[8, 117, 7] == found[9, 117, 7] == 1
+    assert len({c for i, _, c in found if i == 50}) == 1
+
+
 def test_nothing(nothing):
     assert jaccard.near_duplicates(nothing).count() == 0
 

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,9 +86,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_000, often: int = 32) -> DataFrame:
-    """(doc_id, n, k, prefix, rare): set size, class of equal sets, and the first columns of each row.
+    """(doc_id, t, n, k, prefix, rare): hash of the text, set size, class of equal sets, first columns of each row.
 
-    The first `rare` of these are not known to be common.
+    The first `rare` of the columns are not known to be common.
 
     Two sets that link share one of the first n - ceil(percent n / 100) + 1
     columns of either, in any order of the columns that is the same for all. The
@@ -128,7 +129,7 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
         known = last.value
         for batch in batches:
             found = []
-            for doc_id, text in zip(batch["doc_id"].array, batch["text"]):
+            for doc_id, text, t in zip(batch["doc_id"].array, batch["text"], batch["t"]):
                 row = shingles(text, width)
                 n = len(row)
                 at = np.minimum(np.searchsorted(known, row), max(len(known) - 1, 0))
@@ -136,11 +137,12 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
                 take = n - (percent * n + 99) // 100 + 1 if n else 0
                 rare = row[~common][:take]
                 prefix = np.concatenate([rare, row[common]])[:take]
-                found.append((doc_id, n, class_key(row, doc_id), prefix, len(rare)))
-            frame = pd.DataFrame(found, columns=["doc_id", "n", "k", "prefix", "rare"])
+                found.append((doc_id, t, n, class_key(row, doc_id), prefix, len(rare)))
+            frame = pd.DataFrame(found, columns=["doc_id", "t", "n", "k", "prefix", "rare"])
             yield frame.astype({"doc_id": "Int64"})
 
-    return saved(texts.mapInPandas(rows, "doc_id long, n long, k long, prefix array<long>, rare long"))
+    schema = "doc_id long, t long, n long, k long, prefix array<long>, rare long"
+    return saved(texts.withColumn("t", F.xxhash64("text")).mapInPandas(rows, schema))
 
 
 def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: DataFrame) -> DataFrame:
@@ -155,7 +157,10 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     the one they share, are never made. `first` has edges known from elsewhere.
     """
     one = table.filter(F.col("n") > 0).groupBy("k").agg(
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("rare").alias("rare"), F.min("doc_id").alias("doc_id")
+        F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"),
+        F.first("rare").alias("rare"),
+        F.min(F.struct("doc_id", "t")).alias("holder"),
     )
     spread = one.select("k", "n", "rare", F.posexplode("prefix").alias("at", "h"))
     own = F.struct("n", "k", "at")
@@ -383,27 +388,43 @@ def _may_link(x: Column, y: Column, percent: int) -> Column:
 
 
 def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(k, row, bits): the rows of the given classes, made again from the text of one document each.
+    """(k, row, bits): the rows of the given classes, one each, made again from the text of one document.
 
     Only classes that share a column with another are asked for. Texts are joined by
     a shuffle at every size; most documents are in no such class and end there.
+    Of repeated rows one is kept: the first of each task, as the join leaves them side
+    by side, then the first of all tasks, where a hot one was split among several.
     """
-    holders = one.select("k", "doc_id").join(classes, "k").withColumnRenamed("k", "wanted")
+    holders = one.select("k", "holder.*").join(classes, "k").withColumnRenamed("k", "wanted")
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = TaskContext.get().partitionId() << 40
+        key, done = None, set()
+        columns = ["k", "row", "bits", "at"]
         for batch in batches:
             found = []
-            for doc_id, text, wanted in zip(batch["doc_id"], batch["text"], batch["wanted"]):
+            for doc_id, t, text, wanted in zip(batch["doc_id"], batch["t"], batch["text"], batch["wanted"]):
+                if (doc_id, t) != key:
+                    key, done = (doc_id, t), set()
+                if wanted in done:
+                    continue
                 row = shingles(text, width)
-                if class_key(row, doc_id) == wanted:  # a doc_id may stand for another text, too
-                    found.append((wanted, row, bits(row)))
+                if class_key(row, doc_id) == wanted:  # the hash may stand for another text, too
+                    done.add(wanted)
+                    found.append((wanted, row, bits(row), at))
+                    at += 1
                 if len(found) == 1000:
-                    yield pd.DataFrame(found, columns=["k", "row", "bits"])
+                    yield pd.DataFrame(found, columns=columns)
                     found = []
-            yield pd.DataFrame(found, columns=["k", "row", "bits"])
-
-    texts = id_and_text(docs).join(saved(holders).hint("merge"), "doc_id")
-    return saved(texts.mapInPandas(rows, "k long, row array<long>, bits array<long>"))
+            yield pd.DataFrame(found, columns=columns)
+
+    texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(saved(holders).hint("merge"), ["doc_id", "t"])
+    made = saved(texts.mapInPandas(rows, "k long, row array<long>, bits array<long>, at long"))
+    again = made.groupBy("k").agg(F.min("at").alias("first"), F.count("k").alias("times")).filter("times > 1")
+    again = saved(again.select("k", "first"))
+    if not again.isEmpty():
+        made = made.join(again, "k", "left").filter(F.col("at") == F.coalesce("first", "at"))
+    return made.select("k", "row", "bits")
 
 
 def overlaps(x: np.ndarray, y: np.ndarray, percent: int, blocks: int) -> bool:
