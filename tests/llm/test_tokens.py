@@ -1,5 +1,6 @@
 """Token ids against the library, packing against its rules, and files against a round trip."""
 
+import inspect
 import random
 import zlib
 from collections import defaultdict
@@ -148,3 +149,24 @@ def test_re_pair_round_trip():
         # No rule spans two documents.
         assert set(np.cumsum(sizes) - 1) >= set(np.flatnonzero(ends))
         assert n < 1000 or len(symbols) < n
+
+
+def test_re_pair_leaves_no_frequent_pair():
+    """A passage of 100 ids in 300 documents is one symbol in the end, as the production value has it."""
+    chance = np.random.default_rng(6)
+    passage = chance.integers(0, 5000, 100)
+    parts = [np.concatenate([chance.integers(0, 5000, 20), passage, [0]]) for _ in range(300)]
+    ids = np.concatenate(parts).astype(np.uint32)
+    ends = np.zeros(len(ids), bool)
+    ends[np.cumsum([len(p) for p in parts]) - 1] = True
+    row = token_files._shard(0, 0, list(range(300)), [p.astype("<u4").tobytes() for p in parts], production_rounds())
+    symbols, rules = token_files._symbols(row.iloc[0])
+    assert (rules.expand(symbols) == ids).all()
+    assert rules.sizes.max() >= 100
+    last = np.isin(np.cumsum(rules.lengths(symbols)) - 1, np.flatnonzero(ends))
+    pairs = (symbols[:-1].astype(np.int64) << 32 | symbols[1:])[~last[:-1]]
+    assert np.unique(pairs, return_counts=True)[1].max() < 8
+
+
+def production_rounds():
+    return inspect.signature(token_files.write_tokens).parameters["rounds"].default

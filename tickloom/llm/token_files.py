@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import count as count_up
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ def write_tokens(
     path: str,
     end_id: int = 0,
     shard_tokens: int = 2_000_000,
-    rounds: int = 4,
+    rounds: int | None = None,
 ) -> None:
     """Encode whole texts and write them in ascending doc_id order as compressed shards.
 
@@ -119,9 +120,11 @@ def token_range(shard, first: int, last: int) -> np.ndarray:
     return rules.expand(symbols[a : b + 1])[first - begin : last - begin]
 
 
-def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int, least: int = 8):
+def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least: int = 8):
     """(symbols, left, right, lengths): `ids` with frequent pairs replaced, round by round.
 
+    Rounds go on until no pair is frequent, or end after `rounds` of them.
+
     Every round counts all neighbouring pairs, takes the pairs seen `least`
     times or more, makes each a rule, and replaces occurrences from left to
     right where they do not overlap; of two that do, the more frequent pair
@@ -131,7 +134,7 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int, least: int = 8):
     left, right, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     made = 0
     closed = ends.copy()
-    for _ in range(rounds):
+    for _ in count_up() if rounds is None else range(rounds):
         if len(symbols) < 2:
             break
         pair = symbols[:-1] << 32 | symbols[1:]
