@@ -52,12 +52,18 @@ def _folder(spark: SparkSession) -> str:
     return folder
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, late: bool = False) -> Iterator[DataFrame]:
+def _closing_symbol(ticks: DataFrame) -> str:
+    """A symbol that the feed does not have: `~`, or more of them than any of its symbols is made of."""
+    longest = F.max(F.when(F.col("symbol").rlike(r"\A~+\z"), F.length("symbol")))
+    return "~" * (1 + (ticks.agg(longest).first()[0] or 0))
+
+
+def _arrivals(spark: SparkSession, sf_dir: str, closing: str, late: bool = False) -> Iterator[DataFrame]:
     """The feed as it arrives: the first half of the time, the second, then ticks long after.
 
     The last ones push the watermark past all windows, so that streams give
-    whole results; their symbol is `~`. With `late` every tenth tick of the two
-    hours before the middle comes with the second half.
+    whole results; their symbol is `closing`. With `late` every tenth tick of the two
+    hours before the middle comes with the second half, and those without event_id do.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     ticks = _ticks(spark, sf_dir)
@@ -74,13 +80,14 @@ def _arrivals(spark: SparkSession, sf_dir: str, late: bool = False) -> Iterator[
             F.col("ts").cast("timestamp").alias("timestamp"),
             "event_id",
         )
-        first &= ~((F.col("event_id") % 10 == 0) & (us >= middle - 7_200_000_000))
+        tenth = F.coalesce(F.col("event_id") % 10 == 0, F.lit(True))
+        first &= ~(tenth & (us >= middle - 7_200_000_000))
     columns = ["symbol", "price", "timestamp"]
     yield ticks.filter(first).select(columns)
     yield ticks.filter(~first).select(columns)
     for days in (1, 2):
         after = spark.range(1).select(
-            F.lit("~").alias("symbol"),
+            F.lit(closing).alias("symbol"),
             F.lit(0.0).alias("price"),
             F.timestamp_micros(F.lit(bounds[1] + days * 86_400_000_000)).alias("timestamp"),
         )
@@ -97,7 +104,8 @@ def _work_off(spark, sf_dir, *stages, late: bool = False) -> DataFrame:
     tl.configure(spark)
     folder = _folder(spark)
     schema = None
-    for arrived in _arrivals(spark, sf_dir, late):
+    closing = _closing_symbol(_ticks(spark, sf_dir))
+    for arrived in _arrivals(spark, sf_dir, closing, late):
         arrived.write.mode("append").parquet(f"{folder}/ticks")
         ticks = spark.readStream.schema(arrived.schema).parquet(f"{folder}/ticks")
         ticks = ticks.withWatermark("timestamp", LATENESS)
@@ -113,7 +121,7 @@ def _work_off(spark, sf_dir, *stages, late: bool = False) -> DataFrame:
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).parquet(f"{folder}/{len(stages) - 1}")
     if "symbol" in rows.columns:
-        return rows.filter(F.col("symbol") != "~")
+        return rows.filter(~F.col("symbol").eqNullSafe(closing))
     last = _ticks(spark, sf_dir).agg(F.max("timestamp")).first()[0]
     return rows.filter(F.col("timestamp") <= F.lit(last))
 
