@@ -99,3 +99,20 @@ def test_label_model_finds_accuracies_and_correlation():
     # Three copies of one voter count about once together.
     assert model.weight[2:].sum() < 1.6 and model.weight[0] > 0.6
     assert np.mean((model.posterior(votes) > 0.5) == truth) > 0.93
+
+
+def test_clean_texts_count_wherever_they_are(spark):
+    """A term of 8 toxic texts and 8 clean ones is neutral, though each clean one is a batch of its own."""
+    bad = [(i, 1.0, "zorb glib%d" % i) for i in range(8)]
+    clean = [(100 + i, 0.0, "zorb fine%d" % i) for i in range(8)]
+    rows = spark.sparkContext.parallelize(bad + clean, 16)
+    chosen = spark.createDataFrame(rows, "doc_id long, label double, text string")
+    assert "zorb" not in weak_labels._mine(chosen, 150).voter_of
+
+
+def test_texts_that_share_one_shingle_stay(spark):
+    low = min(("pass%d on it" % i for i in range(50_000)), key=lambda s: crc32(s.encode()))
+    rows = [(i, i % 2 * 1.0, low + " " + " ".join("w%d_%d" % (i, j) for j in range(9))) for i in range(30)]
+    rows += [(50 + i, 1.0, rows[1][2]) for i in range(5)]
+    chosen = spark.createDataFrame(rows, "doc_id long, label double, text string")
+    assert sorted(r.doc_id for r in weak_labels._unlike(chosen).collect()) == list(range(30))

@@ -70,29 +70,26 @@ def _mine(chosen: DataFrame, most: int) -> Voters:
     """Lexicon voters: the fixed insults, and terms that stand out in texts labelled toxic.
 
     Terms are words and beginnings of words. They are counted per batch and added
-    up by Spark; the `most` with the surest association are kept, a bound of the model.
+    up by Spark, in clean texts each time that a term of toxic ones is seen; the `most`
+    with the surest association are kept, a bound of the model.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = {0.0: Counter(), 1.0: Counter()}
-            for text, label in zip(batch["text"], batch["label"]):
-                words, starts = _features(text)
-                seen[label].update(words)
-                seen[label].update(starts)
-            terms = list(seen[1.0])  # a term never seen in a toxic text is no candidate
-            yield pd.DataFrame(
-                {"term": terms, "bad": [seen[1.0][t] for t in terms], "good": [seen[0.0][t] for t in terms]}
-            )
-            rest = [t for t in seen[0.0] if t not in seen[1.0] and seen[0.0][t] > 1]
-            yield pd.DataFrame({"term": rest, "bad": 0, "good": [seen[0.0][t] for t in rest]})
-
+            seen = Counter()
+            for text in batch["text"]:
+                for terms in _features(text):
+                    seen.update(terms)
+            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+
+    bad, good = (chosen.filter(F.col("label") == x).mapInPandas(count, "term string, n long") for x in (1, 0))
+    bad = saved(bad.groupBy("term").agg(F.sum("n").alias("bad")).filter(F.col("bad") >= 2))
+    good = good.join(bad, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("good"))
     counted = saved(
-        chosen.mapInPandas(count, "term string, bad long, good long")
-        .groupBy("term")
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        bad.join(good, "term", "left")
+        .select("term", "bad", F.coalesce("good", F.lit(0)).alias("good"))
         .withColumn("sure", _surely(F.col("bad"), F.col("bad") + F.col("good")))
-        .filter((F.col("bad") >= 2) & (F.col("bad") >= 4 * F.col("good")))
+        .filter(F.col("bad") >= 4 * F.col("good"))
     )
     # A beginning counts if several words share it; else it is but one of these words.
     word = F.col("term")
@@ -126,7 +123,7 @@ def _surely(part: Column, whole: Column, z: float = 1.96) -> Column:
 
 
 def _unlike(chosen: DataFrame) -> DataFrame:
-    """One text of each group of near copies, as far as two minima of hashes tell.
+    """One text of each group of near copies: texts that agree in the least and the largest hash.
 
     Else the rare words of a toxic text that was copied would look like insults.
     """
@@ -140,12 +137,9 @@ def _unlike(chosen: DataFrame) -> DataFrame:
             found.append((min(hashes), max(hashes)))
         return pd.DataFrame(found, columns=["a", "b"])
 
-    row = F.struct("doc_id", "label", "text", "sketch")
-    for value in ("a", "b"):
-        if value == "a":
-            chosen = chosen.withColumn("sketch", sketch("text"))
-        chosen = chosen.groupBy(f"sketch.{value}").agg(F.min(row).alias("row")).select("row.*")
-    return chosen.drop("sketch")
+    row = F.struct("doc_id", "label", "text")
+    chosen = chosen.withColumn("sketch", sketch("text"))
+    return chosen.groupBy("sketch.a", "sketch.b").agg(F.min(row).alias("row")).select("row.*")
 
 
 @dataclass
