@@ -1,0 +1,122 @@
+"""The Merkle manifest against trees built plainly, proofs that prove, and odd rows."""
+
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.llm import merkle
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(r, text):
+    fields = (r.doc_id, r.source, r.lang, r.n_chars, text)
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in fields))
+
+
+def tree(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        x = levels[-1]
+        levels.append([digest("".join(x[i : i + 3])) for i in range(0, len(x), 3)])
+    return levels
+
+
+def path(levels, i):
+    found = []
+    for x in levels[:-1]:
+        run = x[i // 3 * 3 : i // 3 * 3 + 3]
+        found.append((run[: i % 3], run[i % 3 + 1 :]))
+        i //= 3
+    return found
+
+
+def plain(rows):
+    sources = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, leaf(r, r.text))):
+        sources.setdefault(r.source, []).append(r)
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = [tree([leaf(r, r.text) for r in sources[s]]) for s in names]
+    top = tree([t[-1][0] for t in trees])
+    found = []
+    for j, name in enumerate(names):
+        for i, r in enumerate(sources[name]):
+            steps = path(trees[j], i) + path(top, j)
+            number = "" if r.doc_id is None else str(r.doc_id)
+            text = r.text
+            if text is not None and zlib.crc32(number.encode()) % 2 == 0:
+                text = text.replace("\n", "")
+            now = leaf(r, text)
+            for left, right in steps:
+                now = digest("".join(left) + now + "".join(right))
+            proof = digest("".join("".join(a + b) for a, b in steps))
+            found.append((r.doc_id, trees[j][0][i], trees[j][-1][0], top[-1][0], proof, now, now == top[-1][0]))
+    return sorted(found, key=str)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_equals_plain_trees(documents):
+    assert rows(merkle.manifest_digests(documents)) == plain(documents.collect())
+
+
+def test_odd_rows(odd, clashing):
+    expected = plain(odd.collect())
+    assert rows(merkle.manifest_digests(odd)) == expected
+    docs = clashing.withColumns({c: F.lit("own") for c in ("tree", "pos", "changed", "digest", "leaf", "row", "siblings")})
+    assert rows(merkle.manifest_digests(docs)) == expected
+
+
+def test_nothing(nothing):
+    df = merkle.manifest_digests(nothing)
+    assert df.collect() == [] and df.columns[0] == "doc_id"
+
+
+@pytest.mark.parametrize("climb", [1, 2])
+def test_blocks_do_not_matter(spark, documents, climb):
+    """Many rounds give what one gives; hot sources, sources of one row, one source."""
+    skewed = documents.withColumn(
+        "source", F.when(F.col("doc_id") % 3 == 0, "hot").when(F.col("doc_id") % 7 == 0, F.col("doc_id").cast("string"))
+    )
+    one = documents.limit(28).withColumn("source", F.lit(None).cast("string"))
+    for docs in (skewed, one, documents.limit(1)):
+        found = merkle.manifest(docs, climb=climb)
+        keep = ("doc_id", "leaf", "subroot", "root", "siblings", "shape")
+        assert rows(found.select(*keep)) == rows(merkle.manifest(docs).select(*keep))
+
+
+def test_proofs(documents):
+    """A proof leads from its leaf to the root, and from no other leaf."""
+    found = merkle.manifest(documents.withColumn("n_chars", F.col("n_chars") + 1), keep=("text",))
+    proved = merkle.proved(F.col("leaf"), F.col("siblings"), F.col("shape"))
+    other = merkle.proved(F.sha2("leaf", 256), F.col("siblings"), F.col("shape"))
+    checked = found.select((proved == F.col("root")).alias("right"), (other == F.col("root")).alias("wrong"), "text")
+    got = checked.collect()
+    assert all(r.right and not r.wrong and r.text for r in got) and len(got) == documents.count()
+
+
+def test_rows_repeated_very_often(spark, documents):
+    """A third of all rows alike in everything: leaves each, numbered over all tasks."""
+    n = documents.count()
+    same = documents.limit(1).crossJoin(spark.range(n // 2)).drop("id")
+    docs = documents.unionByName(same)
+    leaves = merkle.manifest_digests(docs).collect()
+    assert sorted(r.leaf for r in leaves) == sorted(x[1] for x in plain(docs.collect()))
+    assert {r.root for r in leaves} == {plain(docs.collect())[0][3]}
+
+
+def test_block_sweeps():
+    levels = merkle.deliver([digest(str(i)) for i in range(11)], 3)
+    assert [len(x) for x in levels] == [11, 4, 2, 1]
+    assert levels == tree(levels[0])
+    proofs = merkle.send_back(levels, "", "")
+    for i, (siblings, shape) in enumerate(proofs):
+        steps = path(levels, i)
+        assert siblings == "".join("".join(a + b) for a, b in steps)
+        assert shape == "".join(f"{len(a)}{len(a) + len(b)}" for a, b in steps)

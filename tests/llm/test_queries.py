@@ -22,6 +22,11 @@ COLUMNS = {
     "op9": "doc_id:bigint held_out:boolean n_tokens:bigint n_known:bigint train_tokens:bigint "
     "base_score:double score:double",
     "op10": "doc_id:bigint size:bigint text_crc32:bigint law:string shard:int slot:bigint grown_shard:int",
+    "op11": "part:string filter_order:string step:int kept:bigint removed:bigint redundant:bigint "
+    "unique_fails:bigint good_lost:bigint toxic_lost:bigint shapley:bigint",
+    "op12": "doc_id:bigint held_out:boolean lang_pred:string score:double",
+    "op13": "doc_id:bigint leaf:string subroot:string root:string proof_sha256:string folded_root:string "
+    "verified:boolean",
 }
 
 
@@ -40,7 +45,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", SQL)
 def test_query_equals_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = db.execute(SQL[name])
     names = [d[0] for d in result.description]

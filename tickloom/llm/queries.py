@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import discriminant, fm_index, hmm, jaccard, outliers, packing, pii, splitters, token_files, weak_labels
+from . import (
+    discriminant,
+    filter_audit,
+    fm_index,
+    hmm,
+    jaccard,
+    kneser_ney,
+    merkle,
+    outliers,
+    packing,
+    pii,
+    splitters,
+    token_files,
+    weak_labels,
+)
 from .common import shared_folder, ship
 
 
@@ -68,6 +82,18 @@ def op10_sharding(spark, sf_dir):
     return splitters.shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_language_id(spark, sf_dir):
+    return kneser_ney.languages(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +107,9 @@ QUERIES = {
         op8_personal_data,
         op9_language_model,
         op10_sharding,
+        op11_filter_audit,
+        op12_language_id,
+        op13_merkle_manifest,
     )
 }
 
@@ -90,6 +119,8 @@ _TOKENS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
 # Where SQL can say the same; the others are tested against plain versions in tests/llm.
 SQL = {
+    "op11_filter_audit": filter_audit.AUDIT_SQL,
+    "op13_merkle_manifest": merkle.MANIFEST_SQL,
     "op3_decontamination": f"""
 WITH items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
