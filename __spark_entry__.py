@@ -231,6 +231,16 @@ def first_move_by_symbol(spark, sf_dir):
     return _plain(tl.first_move(_ticks(spark, sf_dir), partition_cols=("symbol",)))
 
 
+def first_move_exact(spark, sf_dir):
+    """Gaps to the tick itself, in fractions of seconds."""
+    return _plain(tl.first_move(_ticks(spark, sf_dir), exact=True))
+
+
+def first_move_600s(spark, sf_dir):
+    """The first move within ten minutes, symbol by symbol."""
+    return _plain(tl.first_move(_ticks(spark, sf_dir), 600, partition_cols=("symbol",)))
+
+
 def first_higher(spark, sf_dir):
     return _plain(tl.first_higher(tl.first_move(_ticks(spark, sf_dir))))
 
@@ -361,6 +371,8 @@ def tick_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         first_move,
         first_move_filled,
         first_move_by_symbol,
+        first_move_exact,
+        first_move_600s,
         first_higher,
         first_lower,
         window_stats_stream,
@@ -454,16 +466,18 @@ FROM kept, mark WHERE NOT (second_half AND end_us <= closed)
 GROUP BY end_us, symbol, label"""
 
 
-def _moves(fill: str = "NULL", by_symbol: bool = False) -> str:
+def _moves(fill: str = "NULL", by_symbol: bool = False, horizon: int = 20, exact: bool = False) -> str:
     symbol = "a.symbol, " if by_symbol else ""
     same = "AND a.symbol = b.symbol" if by_symbol else ""
     gap = "(epoch_us(b.ts) // 1000000 - epoch_us(a.ts) // 1000000)::DOUBLE"
+    if exact:
+        gap = "(epoch_us(b.ts) - epoch_us(a.ts)) / 1e6"
     return f"""{_BASE}, moves AS (
   SELECT {symbol}a.ts AS "timestamp",
          min({gap}) FILTER (b.price > a.price) AS higher,
          min({gap}) FILTER (b.price < a.price) AS lower
   FROM ticks a LEFT JOIN ticks b
-    ON b.ts > a.ts AND b.ts <= a.ts + INTERVAL 20 SECOND {same}
+    ON b.ts > a.ts AND b.ts <= a.ts + INTERVAL {horizon} SECOND {same}
   GROUP BY ALL
 )
 SELECT {symbol.replace('a.', '')}"timestamp", coalesce(higher, {fill})::DOUBLE AS higher_window,
@@ -498,6 +512,8 @@ def tick_sql() -> dict[str, str]:
         "first_move": _moves(),
         "first_move_filled": _moves("20.0"),
         "first_move_by_symbol": _moves(by_symbol=True),
+        "first_move_exact": _moves(exact=True),
+        "first_move_600s": _moves(by_symbol=True, horizon=600),
         "first_higher": f"""SELECT "timestamp", higher_window
             FROM ({_moves()}) WHERE higher_window IS NOT NULL""",
         "first_lower": f"""SELECT "timestamp", lower_window

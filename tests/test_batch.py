@@ -154,7 +154,7 @@ def test_first_move_of_six_ticks(spark):
     assert tl.first_higher(moves).columns == ["timestamp", "higher_window"]
 
 
-def brute_moves(rows, horizon, by_symbol):
+def brute_moves(rows, horizon, by_symbol, exact=False):
     """Every pair compared, as the definition reads."""
     out = {}
     second = lambda t: (t - DAY) // dt.timedelta(seconds=1)
@@ -165,7 +165,7 @@ def brute_moves(rows, horizon, by_symbol):
             if by_symbol and s1 != s2 or p1 is None or p2 is None:
                 continue
             if t1 < t2 <= t1 + dt.timedelta(seconds=horizon):
-                gap = float(second(t2) - second(t1))
+                gap = (t2 - t1) / dt.timedelta(seconds=1) if exact else float(second(t2) - second(t1))
                 for i, hit in enumerate((p2 > p1, p2 < p1)):
                     if hit and (best[i] is None or gap < best[i]):
                         best[i] = gap
@@ -174,7 +174,8 @@ def brute_moves(rows, horizon, by_symbol):
 
 @pytest.mark.parametrize(
     "seed,step,spread,horizon",
-    [(1, 1, 120, 20), (2, 250_000, 90, 20), (3, 1_000_000, 200, 20), (4, 100_000, 15, 3), (5, 500_000, 60, 1)],
+    [(1, 1, 120, 20), (2, 250_000, 90, 20), (3, 1_000_000, 200, 20), (4, 100_000, 15, 3), (5, 500_000, 60, 1),
+     (6, 1, 900, 600), (7, 500_000, 60, 33)],
 )
 def test_first_move_equals_comparing_every_pair(spark, seed, step, spread, horizon):
     rows = random_ticks(700, spread, "AB", seed, step)
@@ -190,6 +191,28 @@ def test_first_move_equals_comparing_every_pair(spark, seed, step, spread, horiz
     assert found == brute_moves(rows, horizon, True)
 
 
+@pytest.mark.parametrize("seed,step,spread,horizon", [(1, 1, 60, 20), (2, 250_000, 30, 7), (3, 1, 900, 600), (4, 1, 3, 1)])
+def test_exact_gaps_equal_comparing_every_pair(spark, seed, step, spread, horizon):
+    """Fractions of seconds, symbols that may be NULL, and prices that may be."""
+    rows = [
+        (None if i % 5 == 0 else s, None if i % 37 == 0 else p, t)
+        for i, (s, p, t) in enumerate(random_ticks(500, spread, "AB", seed, step))
+    ]
+    for by_symbol in (False, True):
+        keys = ("symbol",) if by_symbol else ()
+        moves = tl.first_move(ticks(spark, rows), horizon, partition_cols=keys, exact=True).collect()
+        found = {((r.symbol, utc(r.timestamp)) if by_symbol else utc(r.timestamp)): (r.higher_window, r.lower_window) for r in moves}
+        assert found == brute_moves(rows, horizon, by_symbol, exact=True) and len(moves) == len(found)
+
+
+def test_exact_gaps_of_six_ticks(spark):
+    rows = tl.first_move(ticks(spark), exact=True).collect()
+    found = {utc(r.timestamp): (r.higher_window, r.lower_window) for r in rows}
+    assert found[at(29.9)] == (0.1, None) and found[at(10)] == (20.0, 19.9)
+    assert {t for t, gaps in found.items() if gaps == (None, None)} == {t for t, g in SIX_MOVES.items() if g == (None, None)}
+    assert tl.first_move(ticks(spark, []), exact=True).collect() == []
+
+
 def test_slow_trends_need_far_lookahead(spark):
     rows = [("A", float(100 - i if i < 60 else i), at(i * 0.7)) for i in range(120)]
     found = {

@@ -31,8 +31,9 @@ OPERATORS = {
     # Ticks once; statistics per window, then per block, then per part.
     "tick_zscores": (tl.tick_zscores, 4),
     "zscores": (tl.zscores, 4),
-    "first_move": (tl.first_move, 2),
-    "first_move_by_symbol": (lambda t: tl.first_move(t, partition_cols=("symbol",)), 2),
+    # As planned; what is shuffled alike is shuffled once, see below.
+    "first_move": (tl.first_move, 9),
+    "first_move_by_symbol": (lambda t: tl.first_move(t, partition_cols=("symbol",)), 9),
 }
 
 
@@ -49,6 +50,14 @@ def test_shuffles_scans_and_no_python(spark, name):
     assert "IsNotNull(ts)" in text
 
 
+def test_first_move_shuffles_once(spark):
+    """Times; their seconds; extremes of seconds; seconds a horizon before; seconds and trees by horizon."""
+    for moves in (tl.first_move(feed(spark)), tl.first_move(feed(spark), partition_cols=("symbol",))):
+        moves.collect()
+        done = plan(moves).split("== Initial Plan ==")[0]
+        assert len(re.findall(r"[- ] Exchange hash", done)) == 6, done
+
+
 def test_first_move_reads_no_symbol_when_not_partitioned(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan(tl.first_move(feed(spark)))
 
@@ -95,6 +104,37 @@ def test_a_hot_hour_is_split(spark, operator):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_a_crowded_stretch_of_times_is_spread(spark):
+    """A third of all times within one horizon: no task has more than four times the median."""
+    n, start = 60_000, 1_735_689_600_000_000
+    hot = F.col("id") % 3 == 0
+    feed = spark.range(n).select(
+        F.lit("A").alias("symbol"),
+        F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("price"),
+        F.timestamp_micros(start + F.when(hot, F.col("id") * 300).otherwise(30_000_000 + F.col("id") * 20_000)).alias("timestamp"),
+    )
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "24KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        moves = tl.first_move(feed)
+        tasks = moves.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        rows = sorted(r["count"] for r in tasks)
+        assert sum(rows) == n
+        assert rows[-1] <= 4 * rows[len(rows) // 2]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_first_move_with_hot_times_and_a_hot_second(spark):
     """Neither ticks of one time nor a crowded second are compared pair by pair."""
     start = 1_735_689_600_000_000

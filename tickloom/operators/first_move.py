@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_micros, floor_micros, from_micros, whole_seconds
+from ..functions import as_micros, from_micros, whole_seconds
 
 
 def first_move(
@@ -13,6 +13,7 @@ def first_move(
     horizon: int = 20,
     fill: float | None = None,
     partition_cols: tuple[str, ...] = (),
+    exact: bool = False,
 ) -> DataFrame:
     """(*partition_cols, timestamp, higher_window, lower_window): one row per tick time.
 
@@ -20,16 +21,19 @@ def first_move(
     the two times, each rounded down to whole seconds. Where the price does not
     move in time the gap is NULL, or `fill`; note that a real move at exactly
     the horizon has the same gap as `fill=20.0`. Ticks of one time are one row,
-    whatever their price or, unless partitioned, their symbol.
+    whatever their price or, unless partitioned, their symbol. With `exact`, on
+    batch tables, the gap is that of the times themselves, in seconds and fractions.
 
     No pairs of ticks are formed. Per time only the lowest and highest price
     matter: a time sees a higher price when some later highest exceeds its own
-    lowest. Batch input is then searched second by second, see `_search`; a
+    lowest. Batch input is then searched by trees of seconds, see `_search`; a
     stream is searched in rows that hold a second and what it looks ahead at,
     see `_search_stream`.
     """
     if horizon != int(horizon) or horizon < 1:
         raise ValueError("horizon must be a whole number of seconds")
+    if exact and ticks.isStreaming:
+        raise ValueError("exact gaps are found on batch tables only")
     keys = list(partition_cols)
     extremes = (
         ticks.filter(F.col("timestamp").isNotNull())
@@ -39,8 +43,10 @@ def first_move(
             F.max("price").cast("double").alias("hi"),
         )
     )
-    search = _search_stream if ticks.isStreaming else _search
-    gaps = search(extremes, keys, int(horizon))
+    if ticks.isStreaming:
+        gaps = _search_stream(extremes, keys, int(horizon))
+    else:
+        gaps = _search(extremes, keys, int(horizon), exact)
     fill = F.lit(fill).cast("double")
     return gaps.select(
         *keys,
@@ -60,171 +66,214 @@ def first_lower(moves: DataFrame) -> DataFrame:
 
 
 _GAPS = ("higher_window", "lower_window")
+_TIMES = "array<struct<us:bigint,lo:double,hi:double>>"
 
 
-def _search(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-    """Batch search by window functions, second by second.
+def _search(extremes: DataFrame, keys: list[str], horizon: int, exact: bool) -> DataFrame:
+    """Batch search: times by second, and a tree of extremes over the seconds of two horizons.
 
-    The gap counts whole seconds, so it is enough to know in which second the
-    first move lies:
+    A row holds the times of one second, at most one per microsecond, and is what
+    tasks are dealt: a crowded stretch of time spreads over its seconds. The first move lies
 
-    * in the rest of the time's own second: a running extreme from its end;
-    * in one of the seconds in between: the extremes per second, at most two
-      horizons of them around a time;
-    * in the last second, which counts only up to t + horizon: a running
-      extreme, asked by a probe row placed at t + horizon.
+    * in the rest of the time's own second: running extremes from its end;
+    * in one of the seconds in between: seconds are gathered per horizon, with those of
+      the next one, and summed up two by two to a tree. A time climbs from its own second
+      until a node has the price it looks for and goes down to the first second
+      that has it. So the work grows with the logarithm of the horizon;
+    * in the last second, which counts only up to t + horizon: running extremes
+      from its beginning, joined from the second a horizon later.
 
-    Times are spread over blocks of a few horizons; those in the first horizon
-    of a block are also sent to the block before, which can then be searched
-    without its neighbour, and all steps run on that one partitioning. A block
-    holds each microsecond once, whatever the number of ticks, and the window
-    functions sort and spill: nothing grows with the square of a block.
+    Both joins are between shuffled sides, where adaptive execution splits a hot one.
+    With `exact` the second found is asked for its first time, see `_exact`.
     """
     span = horizon * 1_000_000
-    placed = _placed(extremes, keys, span)
-
-    second = Window.partitionBy(*keys, "block", "second")
-    rest = second.orderBy(F.desc("us")).rowsBetween(Window.unboundedPreceding, -1)
-    opened = placed.withColumns(
-        {
-            "rises": F.max("hi").over(rest) > F.col("lo"),
-            "falls": F.min("lo").over(rest) < F.col("hi"),
-        }
-    )
-
-    # Rows from here on: a tick is seen, a probe asks for one not yet answered.
-    answered = F.coalesce(F.col("rises") & F.col("falls"), F.lit(False))
-    no_price = F.lit(None).cast("double")
-    tick = F.struct(
-        F.lit(False).alias("probe"),
-        "us",
-        "second",
-        F.col("lo").alias("seen_lo"),
-        F.col("hi").alias("seen_hi"),
-    )
-    probe = F.struct(
-        F.lit(True).alias("probe"),
-        (F.col("us") + F.lit(span)).alias("us"),
-        (F.col("second") + F.lit(horizon)).alias("second"),
-        no_price.alias("seen_lo"),
-        no_price.alias("seen_hi"),
+    key = [F.struct(*keys).alias("key")] if keys else []  # equal also where a key is NULL
+    on = ["key"] if keys else []
+    us = as_micros(F.col("timestamp"))
+    seconds = (
+        extremes.select(*key, us.alias("us"), "lo", "hi", _known(whole_seconds(us)).alias("second"))
+        .groupBy(*on, "second")
+        .agg(
+            F.sort_array(F.collect_list(F.struct("us", "lo", "hi"))).alias("own"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
     )
-    asked = opened.select(
-        *keys,
-        "block",
-        "lo",
-        "hi",
-        "rises",
-        "falls",
-        (F.col("own") & answered).alias("answered"),
-        F.inline(
-            F.when(F.col("own") & ~answered, F.array(tick, probe)).otherwise(F.array(tick))
-        ),
+    last = seconds.select(*on, (F.col("second") - horizon).alias("second"), F.col("own").alias("last"))
+    block = _known(F.floor(F.col("second") / horizon))
+    trees = (
+        seconds.select(*on, "second", "lo", "hi", F.explode(F.array(block, block - 1)).alias("block"))
+        .groupBy(*on, "block")
+        .agg(F.sort_array(F.collect_list(F.struct("second", "lo", "hi"))).alias("seconds"))
+        .select(*on, "block", F.transform("seconds", lambda s: s["second"]).alias("at"), _tree(F.col("seconds")).alias("tree"))
     )
-    in_order = second.orderBy("us", "probe")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = asked.withColumns(
-        {
-            "so_far_lo": F.min("seen_lo").over(so_far),
-            "so_far_hi": F.max("seen_hi").over(so_far),
-            "first": F.row_number().over(in_order) == 1,
-        }
-    ).withColumns(
-        {
-            "second_lo": F.min("seen_lo").over(second),
-            "second_hi": F.max("seen_hi").over(second),
-        }
+    rows = (
+        seconds.select(*on, "second", "own")
+        .join(last.hint("merge"), [*on, "second"], "left")
+        .withColumn("block", block)
+        .join(trees.hint("merge"), [*on, "block"])
+        .withColumn("last", F.coalesce("last", F.array().cast(_TIMES)))
     )
 
-    # One summary per second goes to its own stretch of a horizon and to the
-    # stretch before, a probe to the stretch of the time it asks for.
-    origin = F.col("second") - F.lit(horizon)
-    own_stretch = F.floor(F.col("second") / F.lit(horizon))
-    summary = F.struct("second", F.col("second_lo").alias("lo"), F.col("second_hi").alias("hi"))
-    no_summary = F.lit(None).cast("struct<second:bigint,lo:double,hi:double>")
+    def moves(e: Column) -> Column:
+        """Per time: in which second a higher and a lower price come first, or when within its own."""
+        return F.transform("own", lambda t, i: _let(e, lambda e: found(t, i, e)))
+
+    def found(t: Column, i: Column, e: Column) -> Column:
+        rest = F.get(e["rest"], i + 1)
+
+        def gap(exceeds) -> Column:
+            place = _first_node(F.col("tree"), e["start"], exceeds)
+            between = F.get("at", place) - F.col("second")
+            begun = F.get(e["begun"], _up_to(F.col("last"), t["us"] + F.lit(span), "us"))
+            return F.when(exceeds(rest), F.lit(0).cast("long")).otherwise(
+                F.coalesce(
+                    F.when(between < horizon, between), F.when(exceeds(begun), F.lit(horizon).cast("long"))
+                )
+            )
 
-    def row(stretch: Column, result: Column, summary: Column) -> Column:
         return F.struct(
-            stretch.cast("long").alias("stretch"), result.alias("result"), summary.alias("summary")
+            t["us"].alias("us"),
+            t["lo"].alias("lo"),
+            t["hi"].alias("hi"),
+            gap(lambda x: x["hi"] > t["lo"]).alias("higher_window"),
+            gap(lambda x: x["lo"] < t["hi"]).alias("lower_window"),
         )
 
-    result = F.col("probe") | F.col("answered")
-    result_row = row(
-        F.when(F.col("probe"), F.floor(origin / F.lit(horizon))), F.lit(True), no_summary
-    )
-    summary_rows = F.array(
-        row(own_stretch, F.lit(False), summary), row(own_stretch - 1, F.lit(False), summary)
-    )
-    nothing = F.array().cast(
-        "array<struct<stretch:bigint,result:boolean,"
-        "summary:struct<second:bigint,lo:double,hi:double>>>"
+    known = F.struct(
+        _running(F.col("own"), 1).alias("rest"),
+        _running(F.col("last"), -1).alias("begun"),
+        (_up_to(F.col("at"), F.col("second")) + 1).alias("start"),
     )
-    around = Window.partitionBy(*keys, "block", "stretch")
-    results = (
-        seen.select(
-            *keys,
-            "block",
-            "lo",
-            "hi",
-            F.coalesce("rises", F.lit(False)).alias("rises"),
-            F.coalesce("falls", F.lit(False)).alias("falls"),
-            "so_far_lo",
-            "so_far_hi",
-            (F.col("us") - F.when(F.col("probe"), F.lit(span)).otherwise(F.lit(0))).alias("us"),
-            origin.alias("origin"),
-            F.inline(
-                F.concat(
-                    F.when(result, F.array(result_row)).otherwise(nothing),
-                    F.when(F.col("first"), summary_rows).otherwise(nothing),
-                )
-            ),
+    result = _let(known, moves)
+    names = [F.col("key")[c].alias(c) for c in keys]
+    if exact:
+        return _exact(rows.select(*on, "second", "own", result.alias("moves")), seconds, on).select(
+            *names, from_micros(F.col("us")).alias("timestamp"), *_GAPS
         )
-        .withColumn("seconds", F.collect_list("summary").over(around))
-        .filter("result")
-    )
+    return rows.select(*on, F.inline(result)).select(*names, from_micros(F.col("us")).alias("timestamp"), *_GAPS)
 
-    def between(matches) -> Column:
-        inside = F.filter(
-            "seconds",
-            lambda s: (s["second"] > F.col("origin"))
-            & (s["second"] < F.col("origin") + F.lit(horizon))
-            & matches(s),
+
+def _exact(rows: DataFrame, seconds: DataFrame, on: list[str]) -> DataFrame:
+    """(key, us, higher_window, lower_window): gaps to the tick itself, in seconds.
+
+    A move within the own second is looked for in a tree over its times. For others the
+    second is known: a probe, with the price to exceed, goes there and finds the first time
+    by bisection of the running extremes. Probes of one second for another travel
+    as one row; a second that very many ask is split by the join.
+    """
+    within = {"higher_window": lambda x, q: x["hi"] > q["lo"], "lower_window": lambda x, q: x["lo"] < q["hi"]}
+
+    def own_time(q: Column, i: Column, gap: str, tree: Column) -> Column:
+        place = _first_node(tree, i + 1, lambda x: within[gap](x, q))
+        return F.when(q[gap] == 0, F.get("own", place)["us"] - q["us"])
+
+    def answered(q: Column, i: Column, tree: Column) -> Column:
+        return F.struct(
+            q["us"].alias("us"),
+            q["lo"].alias("lo"),
+            q["hi"].alias("hi"),
+            *[F.when(q[gap] > 0, F.col("second") + q[gap]).alias(f"{gap}_in") for gap in _GAPS],
+            *[own_time(q, i, gap, tree).alias(gap) for gap in _GAPS],
         )
-        return F.array_min(F.transform(inside, lambda s: s["second"])) - F.col("origin")
 
-    def gap(same_second: str, in_between: Column, last_second: Column) -> Column:
-        return F.when(F.col(same_second), F.lit(0)).otherwise(
-            F.coalesce(in_between, F.when(last_second, F.lit(horizon)))
+    asked = _let(_tree(F.col("own")), lambda tree: F.transform("moves", lambda q, i: answered(q, i, tree)))
+    asked = rows.select(*on, "second", F.inline(asked))
+    price = {"higher_window": F.col("lo"), "lower_window": F.col("hi")}
+    probes = asked.select(
+        *on,
+        "us",
+        "second",
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(g).alias("gap"), F.col(f"{g}_in").alias("asks"), price[g].alias("price")) for g in _GAPS]
+            )
+        ),
+    ).filter(F.col("asks").isNotNull())
+    probes = probes.groupBy(*on, "second", "asks", "gap").agg(F.collect_list(F.struct("us", "price")).alias("probes"))
+    there = seconds.select(*on, F.col("second").alias("asks"), F.col("own").alias("times"))
+    met = probes.join(there.hint("merge"), [*on, "asks"])
+
+    def first_time(running: Column, q: Column) -> Column:
+        # Up to the last time whose running extreme is not beyond the price; the move is the next one.
+        higher = F.col("gap") == "higher_window"
+        before = _bisect(
+            running,
+            lambda x: F.when(higher, F.coalesce(x["hi"], q["price"]) <= q["price"]).otherwise(
+                F.coalesce(x["lo"], q["price"]) >= q["price"]
+            ),
+        )
+        return F.struct(
+            q["us"].alias("us"), (F.get("times", F.coalesce(before, F.lit(-1)) + 1)["us"] - q["us"]).alias("micros")
         )
 
-    return results.select(
-        *keys,
-        from_micros(F.col("us")).alias("timestamp"),
-        gap(
-            "rises", between(lambda s: s["hi"] > F.col("lo")), F.col("so_far_hi") > F.col("lo")
-        ).alias("higher_window"),
-        gap(
-            "falls", between(lambda s: s["lo"] < F.col("hi")), F.col("so_far_lo") < F.col("hi")
-        ).alias("lower_window"),
+    hits = met.select(
+        *on,
+        "gap",
+        F.inline(_let(_running(F.col("times"), -1), lambda r: F.transform("probes", lambda q: first_time(r, q)))),
     )
+    gaps = hits.select(*on, "us", *[F.when(F.col("gap") == g, F.col("micros")).alias(g) for g in _GAPS])
+    every = asked.select(*on, "us", *_GAPS).unionByName(gaps)
+    return every.groupBy(*on, "us").agg(*[(F.max(g) / F.lit(1e6)).alias(g) for g in _GAPS])
 
 
-# Longer blocks mean fewer copies, shorter ones more parallel work.
-_HORIZONS_PER_BLOCK = 6
+def _known(number: Column) -> Column:
+    """A number that is never NULL, said so that joins add no test of it and shuffles stay alike."""
+    return F.coalesce(number, F.lit(0).cast("long"))
 
 
-def _placed(extremes: DataFrame, keys: list[str], span: int) -> DataFrame:
-    length = _HORIZONS_PER_BLOCK * span
-    block = floor_micros(F.col("us"), length)
-    own = F.struct(block.alias("block"), F.lit(True).alias("own"))
-    ahead = F.struct((block - F.lit(length)).alias("block"), F.lit(False).alias("own"))
-    copies = F.when(F.col("us") - block < span, F.array(own, ahead)).otherwise(F.array(own))
-    return (
-        extremes.select(*keys, as_micros(F.col("timestamp")).alias("us"), "lo", "hi")
-        .select(*keys, "us", "lo", "hi", F.inline(copies))
-        .withColumn("second", whole_seconds(F.col("us")))
-        .repartition(*keys, "block")
-    )
+def _tree(entries: Column) -> Column:
+    """Extremes of sorted entries, then of two neighbours, of four, up to one node over all."""
+
+    def extremes(x: Column, y: Column | None = None) -> Column:
+        if y is None:
+            return F.struct(x["lo"].alias("lo"), x["hi"].alias("hi"))
+        return F.struct(F.least(x["lo"], y["lo"]).alias("lo"), F.greatest(x["hi"], y["hi"]).alias("hi"))
+
+    def above(tree: Column, _) -> Column:
+        return _let(
+            F.element_at(tree, -1),
+            lambda below: F.concat(
+                tree,
+                F.array(
+                    F.transform(
+                        F.sequence(F.lit(0), F.shiftright(F.size(below) - 1, 1)),
+                        lambda i: extremes(F.get(below, 2 * i), F.get(below, 2 * i + 1)),
+                    )
+                ),
+            ),
+        )
+
+    leaves = F.array(F.transform(entries, lambda x: extremes(x)))
+    levels = F.ceil(F.log2(F.size(entries))).cast("int")
+    return F.aggregate(F.when(levels > 0, F.sequence(F.lit(1), levels)).otherwise(F.array().cast("array<int>")), leaves, above)
+
+
+def _first_node(tree: Column, start: Column, exceeds) -> Column:
+    """The place of the first leaf from `start` on that exceeds, NULL for none."""
+    top = F.size(tree) - 1
+
+    def node(level: Column, at: Column) -> Column:
+        return F.coalesce(exceeds(F.get(F.get(tree, level), at)), F.lit(False))
+
+    def climb(s: Column, level: Column) -> Column:
+        # Right children, and the top, are looked at; a left one is part of its parent.
+        looked = (s["level"] < 0) & ((s["at"] % 2 == 1) | (level == top))
+        hit = F.when(looked, node(level, s["at"])).otherwise(False)
+        return F.struct(
+            F.when(hit | (s["level"] >= 0), s["at"]).otherwise(F.shiftright(s["at"] + 1, 1)).alias("at"),
+            F.when(hit, level).otherwise(s["level"]).alias("level"),
+        )
+
+    def descend(s: Column, level: Column) -> Column:
+        left = 2 * s["at"]
+        below = F.when(node(level - 1, left), left).otherwise(left + 1)
+        return F.struct(F.when(level <= s["level"], below).otherwise(s["at"]).alias("at"), s["level"].alias("level"))
+
+    begin = F.struct(start.cast("int").alias("at"), F.lit(-1).alias("level"))
+    found = F.aggregate(F.sequence(F.lit(0), top), begin, climb)
+    down = F.when(top > 0, F.sequence(top, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(down, found, descend, lambda s: F.when(s["level"] >= 0, s["at"]))
 
 
 def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFrame:
@@ -264,7 +313,7 @@ def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFr
         )
         .filter(F.col("own").isNotNull())
     )
-    empty = F.array().cast("array<struct<us:bigint,lo:double,hi:double>>")
+    empty = F.array().cast(_TIMES)
     rows = seen.select(*keys, "own", F.coalesce("last", empty).alias("last"), F.sort_array("between").alias("between"))
 
     def gaps(own: Column, last: Column, between: Column) -> Column:
@@ -290,7 +339,7 @@ def _search_stream(extremes: DataFrame, keys: list[str], horizon: int) -> DataFr
                 .alias("lower_window"),
             )
 
-        return _let(_up_to(last, t["us"] + F.lit(span)), row)
+        return _let(_up_to(last, t["us"] + F.lit(span), "us"), row)
 
     result = _let(
         F.col("own"),
@@ -329,12 +378,17 @@ def _running(times: Column, step: int) -> Column:
     return F.aggregate(reaches, extremes, wider)
 
 
-def _up_to(times: Column, us: Column) -> Column:
-    """The place of the last of the sorted times at or before `us`, -1 for none."""
+def _up_to(values: Column, most: Column, field: str | None = None) -> Column:
+    """The place of the last of the sorted values, or of their `field`, at or below `most`, -1 for none."""
+    return F.coalesce(_bisect(values, lambda x: (x[field] if field else x) <= most), F.lit(-1))
+
+
+def _bisect(values: Column, holds) -> Column:
+    """The place of the last value for which `holds` is true; those before it have to be, too. NULL for none."""
 
     def nearer(place: Column, width: Column) -> Column:
         there = place + width
-        return F.when(F.get(times, there)["us"] <= us, there).otherwise(place)
+        return F.when(holds(F.get(values, there)) & (there < F.size(values)), there).otherwise(place)
 
     widths = F.array(*[F.lit(1 << b) for b in reversed(range(_BITS))])
     return F.nullif(F.aggregate(widths, F.lit(-1), nearer), F.lit(-1))
