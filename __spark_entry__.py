@@ -11,7 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,18 +58,18 @@ def _closing_symbol(ticks: DataFrame) -> str:
     return "~" * (1 + (ticks.agg(longest).first()[0] or 0))
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, closing: str, late: bool = False) -> Iterator[DataFrame]:
+def _arrivals(spark: SparkSession, sf_dir: str, closing: str, late: bool = False, days: int = 2) -> list[DataFrame]:
     """The feed as it arrives: the first half of the time, the second, then ticks long after.
 
-    The last ones push the watermark past all windows, so that streams give
-    whole results; their symbol is `closing`. With `late` every tenth tick of the two
-    hours before the middle comes with the second half, and those without event_id do.
+    The last ones, a day after each other, push the watermark past all windows, so that
+    streams give whole results; their symbol is `closing`. With `late` every tenth tick of the
+    two hours before the middle comes with the second half, and those without event_id do.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     ticks = _ticks(spark, sf_dir)
     bounds = ticks.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
     if bounds[0] is None:
-        return
+        return []
     middle = (bounds[0] + bounds[1]) // 2 // 1_000_000 * 1_000_000
     us = F.unix_micros("timestamp")
     first = us < middle
@@ -83,42 +83,49 @@ def _arrivals(spark: SparkSession, sf_dir: str, closing: str, late: bool = False
         tenth = F.coalesce(F.col("event_id") % 10 == 0, F.lit(True))
         first &= ~(tenth & (us >= middle - 7_200_000_000))
     columns = ["symbol", "price", "timestamp"]
-    yield ticks.filter(first).select(columns)
-    yield ticks.filter(~first).select(columns)
-    for days in (1, 2):
-        after = spark.range(1).select(
+    after = [
+        spark.range(1).select(
             F.lit(closing).alias("symbol"),
             F.lit(0.0).alias("price"),
-            F.timestamp_micros(F.lit(bounds[1] + days * 86_400_000_000)).alias("timestamp"),
+            F.timestamp_micros(F.lit(bounds[1] + day * 86_400_000_000)).alias("timestamp"),
         )
-        yield after
+        for day in range(1, days + 1)
+    ]
+    return [ticks.filter(first).select(columns), ticks.filter(~first).select(columns), *after]
 
 
-def _work_off(spark, sf_dir, *stages, late: bool = False) -> DataFrame:
-    """Let ticks arrive and run the stages after each arrival, from where they stopped.
+def _work_off(spark, sf_dir, *stages, late: bool = False, restart: bool = False) -> DataFrame:
+    """Let ticks arrive, run the stages over them, and give what the last one has written.
 
     A stage takes the ticks and the folder in which those before it have left
-    their results, as a stream of text or rows, and gives a stream. What the last
-    one has written is the result, without what comes of the ticks at the end.
+    their results, as a stream of text or rows, and gives a stream. Each is one query that
+    meets an arrival a batch; with `restart` a query ends after each arrival and goes on
+    from its checkpoint with the next. What comes of the ticks at the end is left out.
     """
     tl.configure(spark)
     folder = _folder(spark)
-    schema = None
     closing = _closing_symbol(_ticks(spark, sf_dir))
-    for arrived in _arrivals(spark, sf_dir, closing, late):
-        arrived.write.mode("append").parquet(f"{folder}/ticks")
-        ticks = spark.readStream.schema(arrived.schema).parquet(f"{folder}/ticks")
-        ticks = ticks.withWatermark("timestamp", LATENESS)
+    # A stage's results close the windows of the next one a day later.
+    arrivals = _arrivals(spark, sf_dir, closing, late, days=len(stages))
+    if not arrivals:
+        schema = stages[-1](_ticks(spark, sf_dir).withWatermark("timestamp", LATENESS), "").schema
+        return spark.createDataFrame([], schema)
+    # So many files for each arrival, which make up a batch.
+    files = 1 + arrivals[0].count() // 2_000_000
+    schema, seen = None, 0
+    while seen < len(arrivals):
+        for arrived in arrivals[seen : seen + 1] if restart else arrivals:
+            arrived.repartition(files).write.mode("append").parquet(f"{folder}/ticks")
+            seen += 1
         for i, stage in enumerate(stages):
+            reader = spark.readStream.schema(arrivals[0].schema).option("maxFilesPerTrigger", files)
+            ticks = reader.parquet(f"{folder}/ticks").withWatermark("timestamp", LATENESS)
             stream = stage(ticks, f"{folder}/{i - 1}")
             schema = stream.schema
             text = stream.columns == ["value"]
             start_sink(
                 stream, "text" if text else "parquet", checkpoint=f"{folder}/state{i}", path=f"{folder}/{i}", available_now=True
             ).awaitTermination()
-    if schema is None:
-        schema = stages[-1](_ticks(spark, sf_dir), "").schema
-        return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).parquet(f"{folder}/{len(stages) - 1}")
     if "symbol" in rows.columns:
         return rows.filter(~F.col("symbol").eqNullSafe(closing))
@@ -254,8 +261,8 @@ def window_stats_stream(spark, sf_dir):
 
 
 def late_ticks_stream(spark, sf_dir):
-    """Ticks that come after their window was closed are dropped, others are not."""
-    return _plain(_work_off(spark, sf_dir, lambda ticks, _: tl.window_stats(ticks), late=True))
+    """Ticks that come after their window was closed are dropped, others are not; the query is restarted."""
+    return _plain(_work_off(spark, sf_dir, lambda ticks, _: tl.window_stats(ticks), late=True, restart=True))
 
 
 def stats_array_stream(spark, sf_dir):

@@ -145,7 +145,42 @@ def test_zscore_rows_and_array_with_bounded_state(spark):
     assert_same(real(found), expected)
     kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
     # Once the watermark is hours past the ticks none of them is kept.
-    assert max(kept) > 300 and kept[-1] < 20
+    assert max(kept) > 300 and kept[-1] < 30
+
+
+def test_state_of_the_score_join_follows_the_windows(spark):
+    """Each tick is kept until its windows close: far from six copies for an hour and the two batches it takes."""
+    n, files = 1600, 12
+    rows = feed(n, 8, symbols="A")
+    tick_path, moving_path = interleaved(spark, rows, files)
+    moving = tl.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, moving_path)
+    scored = tl.zscore_rows(
+        tick_stream(spark, tick_path), tl.explode_stats(tl.decode(moving, schemas.MOVING, LATENESS))
+    )
+    found, progress = run(scored)
+    batch = ticks(spark, rows)
+    assert_same(real(found), tl.zscore_rows(batch, tl.window_stats(batch)))
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert max(kept) <= 0.4 * 6 * n * (3600 / END + 2 / files)
+
+
+def test_ticks_are_read_once(spark):
+    """All widths come from one reading and one state; short windows are out before long ones close."""
+    rows = [("A", float(i % 7), at(i * 10)) for i in range(180)]
+    path = write_files(spark, rows, 6)
+    found, progress = run(tl.window_stats(tick_stream(spark, path)))
+    assert sum(p["numInputRows"] for p in progress) == len(rows)
+    assert all(len(p["stateOperators"]) == 1 for p in progress)
+    closed = {r.window: r["count"] for r in found.groupBy("window").count().collect()}
+    assert closed["30s"] > 50 and closed["1m"] > 20 and closed["5m"] >= 5 and "1h" not in closed
+
+
+def test_still_prices_have_no_deviation(spark):
+    rows = [("A", 0.1, at(i * 7)) for i in range(400)]
+    path = write_files(spark, rows + SENTINELS, 3)
+    found, _ = run(tl.window_stats(tick_stream(spark, path)))
+    assert {r.std_price for r in real(found).collect()} <= {0.0, None}
+    assert real(found).filter("window = '30m' and std_price = 0.0").count() == 2
 
 
 def test_late_ticks(spark):

@@ -14,9 +14,9 @@ def window_stats(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFram
 
     The deviation is NULL for a single tick and 0.0 where the price stood still.
 
-    Streaming input is aggregated in one branch per width, so that each window
+    Streaming input is read once and aggregated in one state, where each window
     closes as soon as the watermark passes its own end. Batch input is read and
-    shuffled once for all widths:
+    shuffled once for all widths, too:
 
     * by default every tick is counted towards each width in a single
       aggregate, combined before the shuffle;
@@ -28,8 +28,8 @@ def window_stats(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFram
     """
     widths = nested(widths)
     if ticks.isStreaming:
-        return _per_width(ticks, widths).select(
-            F.col("end").alias("timestamp"), "symbol", "window", "avg_price", "std_price"
+        return _closed(ticks, widths).withColumn("timestamp", end_of("last_instant")).select(
+            "timestamp", "symbol", "window", "avg_price", "std_price"
         )
     stats = _rolled_up(ticks, widths) if rollup else _counted_per_width(ticks, widths)
     return stats.withColumn("timestamp", from_micros(F.col("end"))).select(
@@ -45,13 +45,9 @@ def stats_array(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame
     """
     if not ticks.isStreaming:
         return regroup_stats(window_stats(ticks, widths, rollup))
-    closed = _per_width(ticks, nested(widths))
+    closed = _closed(ticks, nested(widths))
     grouped = closed.groupBy("last_instant", "symbol").agg(_windows_by_width())
-    return grouped.select(
-        (F.col("last_instant") + F.expr("interval 1 microsecond")).alias("timestamp"),
-        "symbol",
-        "windows",
-    )
+    return grouped.select(end_of("last_instant").alias("timestamp"), "symbol", "windows")
 
 
 def regroup_stats(stats: DataFrame) -> DataFrame:
@@ -86,36 +82,59 @@ def _windows_by_width() -> Column:
     ).alias("windows")
 
 
-def _per_width(ticks: DataFrame, widths) -> DataFrame:
-    branches = None
-    for w in widths:
-        branch = (
-            ticks.groupBy(F.window("timestamp", f"{w.seconds} seconds").alias("span"), "symbol")
-            .agg(F.avg("price").alias("avg_price"), F.stddev_samp("price").alias("std_price"))
-            .select(
-                F.col("span.end").alias("end"),
-                F.window_time("span").alias("last_instant"),
-                "symbol",
-                F.lit(w.label).alias("window"),
-                "avg_price",
-                "std_price",
-            )
-        )
-        branches = branch if branches is None else branches.unionByName(branch)
-    return branches
+def last_instant(end: Column, table: DataFrame, column: str = "timestamp") -> Column:
+    """The last microsecond before `end` (microseconds), as event time under the watermark of `column`.
+
+    Spark marks the column of a watermark in its metadata and closes a group, or lets go of a
+    row of a join, once the watermark passes the marked key. Marked here is the
+    end of a window of any width, as `window` does it for the one it makes.
+    """
+    return from_micros(end - F.lit(1)).alias("last_instant", metadata=watermark_of(table, column))
+
+
+def watermark_of(table: DataFrame, column: str = "timestamp") -> dict:
+    """What tells Spark that a column is event time, empty for none."""
+    return dict(table.schema[column].metadata)
+
+
+def end_of(instant: str) -> Column:
+    return from_micros(as_micros(F.col(instant)) + F.lit(1))
+
+
+def _closed(ticks: DataFrame, widths) -> DataFrame:
+    """One aggregate of a stream over windows of all widths, each closed at its own last instant."""
+    if not watermark_of(ticks):
+        raise ValueError("a stream of ticks needs a watermark on `timestamp`")
+    per_width = _per_width(ticks, widths).select(
+        "symbol",
+        "price",
+        "window",
+        last_instant(F.col("us") - F.pmod("us", "width") + F.col("width"), ticks),
+    )
+    return per_width.groupBy("last_instant", "symbol", "window").agg(*_moments())
 
 
 def _counted_per_width(ticks: DataFrame, widths) -> DataFrame:
+    end = F.col("us") - F.pmod("us", "width") + F.col("width")
+    return _per_width(ticks, widths).groupBy("symbol", "window", end.alias("end")).agg(*_moments())
+
+
+def _moments() -> list[Column]:
+    """Mean and sample deviation; a price that stood still is its own mean, with a deviation of exactly 0.0."""
+    still = F.min("price") == F.max("price")
+    return [
+        F.when(still, F.min("price")).otherwise(F.avg("price")).alias("avg_price"),
+        F.when(still & (F.count("price") > 1), F.lit(0.0)).otherwise(F.stddev_samp("price")).alias("std_price"),
+    ]
+
+
+def _per_width(ticks: DataFrame, widths) -> DataFrame:
+    """(symbol, price, us, window, width): each tick once per width."""
     spans = F.array(
         *[F.struct(F.lit(w.label).alias("window"), F.lit(w.micros).alias("width")) for w in widths]
     )
-    us = as_micros(F.col("timestamp"))
-    per_width = ticks.filter(F.col("timestamp").isNotNull()).select(
-        "symbol", "price", us.alias("us"), F.inline(spans)
-    )
-    end = F.col("us") - F.pmod("us", "width") + F.col("width")
-    return per_width.groupBy("symbol", "window", end.alias("end")).agg(
-        F.avg("price").alias("avg_price"), F.stddev_samp("price").alias("std_price")
+    return ticks.filter(F.col("timestamp").isNotNull()).select(
+        "symbol", "price", as_micros(F.col("timestamp")).alias("us"), F.inline(spans)
     )
 
 

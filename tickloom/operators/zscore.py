@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_micros, floor_micros
+from ..functions import as_micros, floor_micros, from_micros
 from ..widths import SIX, nested
-from .window_stats import width_seconds, window_stats
+from .window_stats import last_instant, watermark_of, width_seconds, window_stats
 
 
 def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
@@ -20,9 +20,11 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
     window and window end, not on a range. As it moves each tick once per
     width, use `tick_zscores` where a batch is scored by its own statistics.
 
-    On streams a tick must be within the longest width before the window end,
-    which follows from the key but is a constant: from it Spark derives how long
-    ticks are kept and how far to hold back the watermark of what follows.
+    Of two streams each row is kept until the watermark passes the end of its own
+    window, and not for the longest one. Ticks of a long window are dealt over
+    several keys by a hash of their time, its few statistics go to all of these. Rows
+    come out when their window's statistics are there, so by their `timestamp` they
+    are up to the longest width late: group them with `zscore_array`, which knows.
     """
     widths = nested(widths)
     us = as_micros(F.col("timestamp"))
@@ -31,37 +33,49 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
             F.struct(
                 F.lit(w.label).alias("window"),
                 (floor_micros(us, w.micros) + F.lit(w.micros)).alias("end"),
+                F.lit(_keys_of(w)).alias("keys"),
             )
             for w in widths
         ]
     )
-    p = (
-        ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
-        .select("timestamp", "symbol", "price", F.inline(spans))
-        .alias("p")
-    )
-    m = stats.withColumn("end", us)
-    same_window = (
-        (F.col("p.symbol") == F.col("m.symbol"))
-        & (F.col("p.window") == F.col("m.window"))
-        & (F.col("p.end") == F.col("m.end"))
-    )
-    if ticks.isStreaming or stats.isStreaming:
-        longest = F.expr(f"interval {widths[-1].seconds} seconds")
-        same_window &= (F.col("p.timestamp") < F.col("m.timestamp")) & (
-            F.col("p.timestamp") >= F.col("m.timestamp") - longest
+    p = ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
+    if not (ticks.isStreaming and stats.isStreaming):
+        p = p.select("timestamp", "symbol", "price", F.inline(spans)).alias("p")
+        m = stats.withColumn("end", us).alias("m")
+        if not (ticks.isStreaming or stats.isStreaming):
+            # The statistics can outgrow the ticks they are estimated from: no broadcast.
+            m = m.hint("merge")
+        same = (F.col("p.symbol") == F.col("m.symbol")) & (F.col("p.window") == F.col("m.window"))
+        return p.join(m, same & (F.col("p.end") == F.col("m.end"))).select(
+            F.col("p.timestamp").alias("timestamp"),
+            F.col("p.symbol").alias("symbol"),
+            F.col("p.window").alias("window"),
+            zscore(F.col("p.price"), F.col("m.avg_price"), F.col("m.std_price")).alias("zscore_price"),
         )
-    else:
-        # The statistics can outgrow the ticks they are estimated from: no broadcast.
-        m = m.hint("merge")
-    return p.join(m.alias("m"), same_window).select(
-        F.col("p.timestamp").alias("timestamp"),
-        F.col("p.symbol").alias("symbol"),
-        F.col("p.window").alias("window"),
-        zscore(F.col("p.price"), F.col("m.avg_price"), F.col("m.std_price")).alias("zscore_price"),
+    # Event time is the end of the window on both sides, and nothing else.
+    salt = F.pmod(F.xxhash64("us"), F.col("keys")).cast("int")
+    p = p.select(us.alias("us"), "symbol", "price", F.inline(spans)).select(
+        last_instant(F.col("end"), ticks), "symbol", "window", salt.alias("salt"), "us", "price"
+    )
+    salts = F.lit(1)
+    for w in widths:
+        salts = F.when(F.col("window") == w.label, _keys_of(w)).otherwise(salts)
+    m = stats.filter(F.col("timestamp").isNotNull()).select(
+        last_instant(us, stats), "symbol", "window", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "avg_price", "std_price"
+    )
+    return p.join(m, ["last_instant", "symbol", "window", "salt"]).select(
+        from_micros(F.col("us")).alias("timestamp", metadata=watermark_of(ticks)),
+        "symbol",
+        "window",
+        zscore(F.col("price"), F.col("avg_price"), F.col("std_price")).alias("zscore_price"),
     )
 
 
+def _keys_of(width) -> int:
+    """Over how many keys the ticks of a window are dealt on a stream: one for each quarter of an hour."""
+    return max(1, width.seconds // 900)
+
+
 def tick_zscores(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame:
     """(timestamp, symbol, zscores): each tick of a batch scored against its own windows.
 
@@ -94,12 +108,15 @@ def zscores(ticks: DataFrame, widths=SIX, rollup: bool = False) -> DataFrame:
     )
 
 
-def zscore_array(rows: DataFrame) -> DataFrame:
+def zscore_array(rows: DataFrame, widths=SIX) -> DataFrame:
     """(timestamp, symbol, zscores): the scores of one tick time in one array.
 
     Ticks that share time and symbol merge; NULL scores stay as elements.
     Elements are in order of width, then score, NULL last. Rows without a time
     are let go; on a stream they would be kept for ever.
+
+    On a stream a tick time is complete when the longest of `widths` that holds it
+    has closed, which is what its group waits for.
     """
     element = F.struct(
         width_seconds(F.col("window")).alias("seconds"),
@@ -107,7 +124,17 @@ def zscore_array(rows: DataFrame) -> DataFrame:
         "zscore_price",
         "window",
     )
-    return rows.filter(F.col("timestamp").isNotNull()).groupBy("timestamp", "symbol").agg(
+    timed = rows.filter(F.col("timestamp").isNotNull())
+    keys = ["timestamp", "symbol"]
+    if rows.isStreaming:
+        us, longest = as_micros(F.col("timestamp")), nested(widths)[-1]
+        end = floor_micros(us, longest.micros) + F.lit(longest.micros)
+        # The time itself is no event time here.
+        timed = timed.select(
+            last_instant(end, rows), from_micros(us).alias("timestamp"), "symbol", "window", "zscore_price"
+        )
+        keys = ["last_instant", *keys]
+    arrays = timed.groupBy(*keys).agg(
         F.transform(
             F.sort_array(F.collect_list(element)),
             lambda e: F.struct(
@@ -115,6 +142,7 @@ def zscore_array(rows: DataFrame) -> DataFrame:
             ),
         ).alias("zscores")
     )
+    return arrays.select("timestamp", "symbol", "zscores")
 
 
 def zscore(price: Column, avg: Column, std: Column) -> Column:
