@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,14 @@ def _letters(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
+class _Numbers(dict):
+    """Words by number, in the order they are met."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 @dataclass
 class Characters:
     """The characters of words one after the other, each word between a start and an end mark."""
@@ -56,6 +65,20 @@ class Characters:
         return found
 
 
+    def asked(self, order: int) -> list[tuple[np.ndarray, ...]]:
+        """Per order the places that a model predicts, and their grams and contexts: each once, and which is where.
+
+        This is the same for all models; what repeats is looked up once in each.
+        """
+        grams = self.grams(order)
+        found = []
+        for k in range(1, order + 1):
+            here = np.flatnonzero(self.offset >= max(k - 1, 1))
+            contexts = grams[k - 1][here - 1] if k > 1 else grams[0][:1]
+            found.append((here, *np.unique(grams[k][here], return_inverse=True), *np.unique(contexts, return_inverse=True)))
+        return found
+
+
 @dataclass
 class Level:
     """One order of a model: sorted hash arrays of grams and of their contexts.
@@ -76,28 +99,25 @@ class KneserNey:
 
     levels: list[Level]
 
-    def surprise(self, chars: Characters, alphabet: int) -> np.ndarray:
-        """Minus the natural logarithm of each word's probability, its end included."""
-        order = len(self.levels)
-        grams = chars.grams(order)
+    def surprise(self, chars: Characters, alphabet: int, asked: list[tuple[np.ndarray, ...]] | None = None) -> np.ndarray:
+        """Minus the natural logarithm of each word's probability, its end included.
+
+        `asked` is `chars.asked(order)`, for those who ask several models.
+        """
         p = np.full(len(chars.symbol), 1 / alphabet)
-        for k, level in enumerate(self.levels, 1):
-            here = np.flatnonzero(chars.offset >= max(k - 1, 1))
-            share, _ = _look_up(level.grams, level.share, grams[k][here], 0.0)
-            rest, seen = _look_up(level.contexts, level.rest, grams[k - 1][here - 1] if k > 1 else grams[0][here], 1.0)
-            p[here] = np.where(seen, share + rest * p[here], p[here])
+        for level, (here, grams, of_gram, contexts, of_context) in zip(self.levels, asked or chars.asked(len(self.levels))):
+            # A context that was never seen leaves all to the order below.
+            share = _look_up(level.grams, level.share, grams, 0.0)[of_gram]
+            p[here] = share + _look_up(level.contexts, level.rest, contexts, 1.0)[of_context] * p[here]
         p[chars.offset == 0] = 1
         return -np.add.reduceat(np.log(p), chars.begin) if len(chars.begin) else np.empty(0)
 
 
-def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, none: float) -> tuple[np.ndarray, np.ndarray]:
+def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, none: float) -> np.ndarray:
     if not len(keys):
-        return np.full(len(asked), none), np.zeros(len(asked), bool)
-    # Grams repeat: each is looked up once, in order.
-    some, back = np.unique(asked, return_inverse=True)
-    at = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
-    there = keys[at] == some
-    return np.where(there, values[at], none)[back], there[back]
+        return np.full(len(asked), none)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], none)
 
 
 def fit(words: list[str], times: np.ndarray, order: int = 5) -> KneserNey:
@@ -148,13 +168,13 @@ class LanguageModel:
 
     def entropies(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(text, language) nats a character, and characters per text: letters and word ends."""
-        number: dict[str, int] = {}
+        number = _Numbers()
         counts = np.zeros(len(texts), np.int64)
         found = []
         for i, text in enumerate(texts):
             own = words(text)
             counts[i] = len(own)
-            found.append(np.fromiter((number.setdefault(w, len(number)) for w in own), np.int32, len(own)))
+            found.append(np.fromiter(map(number.__getitem__, own), np.int32, len(own)))
         ids = np.concatenate([*found, np.empty(0, np.int32)])
         del found
         distinct = list(number)
@@ -166,9 +186,10 @@ class LanguageModel:
         for begin in range(0, len(distinct), 50_000):
             part = distinct[begin : begin + 50_000]
             chars = Characters.of(part)
+            asked = chars.asked(len(self.models[0].levels)) if self.models else []
             within = (ids >= begin) & (ids < begin + len(part))
             for j, model in enumerate(self.models):
-                nats = model.surprise(chars, self.alphabet)
+                nats = model.surprise(chars, self.alphabet, asked)
                 total[:, j] += np.bincount(text_of[within], nats[ids[within] - begin], len(texts))
         return total / np.maximum(size, 1)[:, None], size
 
@@ -233,16 +254,16 @@ def train(
     rows: Column | None = None,
     most: int = 12_000,
     most_languages: int = 200,
-    most_words: int = 200_000,
+    most_words: int = 100_000,
     order: int = 5,
 ) -> LanguageModel:
     """Fit on documents with a language; `rows` restricts which, as a condition on doc_id.
 
     About `most` distinct texts are used, the same number of each language, chosen by a hash of
     the text; a fifth of them calibrates the score and the others make the models. A
-    language's model knows its `most_words` most frequent words of these. The
-    `most_languages` most frequent languages are learnt. These bound what the driver collects
-    and what is broadcast. Texts count once, however many rows repeat them.
+    language's model knows its `most_words` most frequent words of these, and is fitted in a task. The
+    `most_languages` most frequent languages are learnt. These bound the models that the driver
+    collects and broadcasts. Texts count once, however many rows repeat them.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").alias("own"))
     known = known.filter(F.col("own").isNotNull() & F.col("text").isNotNull())
@@ -253,9 +274,8 @@ def train(
     sizes = sizes.orderBy(F.desc("n"), "own").limit(most_languages).collect()
     if not sizes:
         return LanguageModel([], [], 2, np.empty(0), np.zeros(6))
-    languages = sorted(r.own for r in sizes)
     share = {r.own: min(1.0, most / len(sizes) / r.n) for r in sizes}
-    limits = F.create_map(*[x for own in languages for x in (F.lit(own), F.lit(int(share[own] * (1 << 30))))])
+    limits = F.create_map(*[x for own in share for x in (F.lit(own), F.lit(int(share[own] * (1 << 30))))])
     drawn = known.filter(F.pmod(F.xxhash64("h", F.lit(12)), F.lit(1 << 30)) < limits[F.col("own")])
     # A text can be that of another with the same hash only by chance; both count then.
     drawn = drawn.groupBy("own", "h", "text").agg(F.lit(1).alias("one")).drop("one")
@@ -274,12 +294,19 @@ def train(
     counts = counts.groupBy("own", "word").agg(F.sum("n").alias("n"))
     by_count = Window.partitionBy("own").orderBy(F.desc("n"), "word")
     counts = counts.withColumn("place", F.row_number().over(by_count)).filter(F.col("place") <= most_words)
-    frame = counts.select("own", "word", "n").toPandas().sort_values(["own", "word"])
-    models, letters = [], set()
-    for own in languages:
-        mine = frame[frame["own"] == own]
-        models.append(fit(list(mine["word"]), mine["n"].to_numpy(dtype=float), order))
-        letters.update("".join(mine["word"]))
+
+    def fitted(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("word")
+        words, times = frame["word"].to_list(), frame["n"].to_numpy(dtype=float)
+        model = pickle.dumps(fit(words, times, order))
+        return pd.DataFrame({"own": frame["own"].iloc[:1].to_list(), "letters": "".join({*"".join(words)}), "model": [model]})
+
+    found = counts.groupBy("own").applyInPandas(fitted, "own string, letters string, model binary")
+    found = sorted(found.collect(), key=lambda r: r.own)
+    if not found:
+        return LanguageModel([], [], 2, np.empty(0), np.zeros(6))
+    languages, models = [r.own for r in found], [pickle.loads(r.model) for r in found]
+    letters = set("".join(r.letters for r in found))
     model = LanguageModel(languages, models, len(letters) + 2, np.zeros(len(models)), np.zeros(6))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -288,7 +315,7 @@ def train(
             entropies, sizes = sent.value.entropies(batch["text"])
             yield pd.DataFrame({"own": batch["own"], "size": sizes, "entropies": list(entropies)})
 
-    held = drawn.filter(~F.col("fits")).mapInPandas(judged, "own string, size long, entropies array<double>")
+    held = drawn.filter(~F.col("fits") & F.col("own").isin(languages)).mapInPandas(judged, "own string, size long, entropies array<double>")
     found = held.filter("size > 0").toPandas()
     if len(found):
         entropies = np.stack(found["entropies"].to_list())
