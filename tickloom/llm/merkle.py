@@ -35,7 +35,7 @@ def row_digest(doc_id: Column, source: Column, lang: Column, n_chars: Column, te
     return F.sha2(fields.cast("binary"), 256)
 
 
-def manifest(docs: DataFrame, keep: tuple[str, ...] = (), climb: int = 9) -> DataFrame:
+def manifest(docs: DataFrame, keep: tuple[str, ...] = (), climb: int = 7) -> DataFrame:
     """(doc_id, leaf, subroot, root, siblings, shape, *keep): every row of `docs` with its proof.
 
     The leaves of one source ascend by doc_id and form a tree of their own; its root is
