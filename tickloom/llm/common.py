@@ -45,18 +45,28 @@ def ship(spark: SparkSession) -> None:
 def saved(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it: cuts lineage, survives lost executors.
 
-    What was shuffled to make the table is let go once it is written.
+    What was shuffled to make the table is let go once it is written: Spark's own setting for
+    that stays on in the session. `discard` removes the table.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     writer = df.write.option("compression", "zstd")
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
-    finally:
-        spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(folder)
+    if spark.conf.get(_CLEANUP) != "true":
+        spark.conf.set(_CLEANUP, "true")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(folder)
+    found = spark.read.schema(df.schema).parquet(folder)
+    found._saved_in = folder
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `saved` has written, after all that reads them has been written itself."""
+    for table in tables:
+        folder = getattr(table, "_saved_in", None)
+        if folder:
+            context = table.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Spark's setting for removing shuffle files at the end of a query.

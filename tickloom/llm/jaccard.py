@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, saved
+from .common import discard, id_and_text, saved, ship
 from .components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -19,10 +19,18 @@ _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 class _WordHashes(dict):
+    """Hashes of words. What is asked for again outlives a change of generation, the rest is forgotten."""
+
+    before: dict[bytes, int] = {}
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= 100_000:
+            self.before = dict(self)
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = self.before.get(word)
+        if value is None:
+            value = xxhash.xxh64_intdigest(word)
+        self[word] = value
         return value
 
 
@@ -64,7 +72,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Rows with one doc_id are one document, and reach each other. Texts without
     words link with nothing. A row without doc_id has no component.
     """
-    table = incidence(docs, width, percent)
+    ship(docs.sparkSession)
+    wide = incidence(docs, width, percent)
+    one = wide.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("k").agg(
+        *[F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits")], F.min(F.struct("doc_id", "t")).alias("holder")
+    )
+    one = saved(one)
+    table = saved(wide.select("doc_id", "n", "k"))
+    discard(wide)
     named = table.filter(F.col("doc_id").isNotNull())
     same_id = (
         named.groupBy("doc_id")
@@ -73,8 +88,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .join(named.select("doc_id", F.col("k").alias("b")), "doc_id")
         .select("a", "b")
     )
-    edges = links(docs, named, width, percent, saved(same_id))
+    edges = links(docs, one, width, percent, saved(same_id))
+    discard(one)
     groups = components(edges)
+    discard(edges)
     labelled = named.select("doc_id", "n", "k").join(groups.withColumnRenamed("node", "k"), "k", "left")
     labelled = labelled.select("doc_id", "n", F.coalesce("root", "k").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -86,9 +103,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_000, often: int = 32) -> DataFrame:
-    """(doc_id, t, n, k, prefix, rare): hash of the text, set size, class of equal sets, first columns of each row.
+    """(doc_id, t, n, k, prefix, rare, bits): hash of the text, set size, class of equal sets, first columns, bitmap.
 
-    The first `rare` of the columns are not known to be common.
+    The first `rare` of the columns are not known to be common; for `bits` see there.
 
     Two sets that link share one of the first n - ceil(percent n / 100) + 1
     columns of either, in any order of the columns that is the same for all. The
@@ -137,31 +154,28 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
                 take = n - (percent * n + 99) // 100 + 1 if n else 0
                 rare = row[~common][:take]
                 prefix = np.concatenate([rare, row[common]])[:take]
-                found.append((doc_id, t, n, class_key(row, doc_id), prefix, len(rare)))
-            frame = pd.DataFrame(found, columns=["doc_id", "t", "n", "k", "prefix", "rare"])
+                found.append((doc_id, t, n, class_key(row, doc_id), prefix, len(rare), bits(row)))
+            frame = pd.DataFrame(found, columns=["doc_id", "t", "n", "k", "prefix", "rare", "bits"])
             yield frame.astype({"doc_id": "Int64"})
 
-    schema = "doc_id long, t long, n long, k long, prefix array<long>, rare long"
+    schema = "doc_id long, t long, n long, k long, prefix array<long>, rare long, bits array<long>"
     return saved(texts.withColumn("t", F.xxhash64("text")).mapInPandas(rows, schema))
 
 
-def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: DataFrame) -> DataFrame:
+def links(docs: DataFrame, one: DataFrame, width: int, percent: int, first: DataFrame) -> DataFrame:
     """(a, b): classes of equal sets that link, enough of them to connect all that do.
 
+    `one` has a row for each class: k, n, prefix, rare, bits, and the (doc_id, t) of a holder.
     Candidates come from the product of the prefix columns, in two rounds. First
     each column names only its smallest row, which is multiplied with all others: a
     group of near copies, however large, costs a product for each member
     and not for each two. Then, of columns whose rows lie in several components
     still, the rows are multiplied block by block. Pairs within a component
-    need no test. Pairs too different in size, or with too few columns left after
-    the one they share, are never made. `first` has edges known from elsewhere.
+    need no test. Pairs too different in size, with too few columns left after
+    the one they share, or with bitmaps too far apart, are never made, and only rows
+    that are left in some pair are made again. `first` has edges known from elsewhere; it is
+    removed, as is every table once what it is for has been written.
     """
-    one = table.filter(F.col("n") > 0).groupBy("k").agg(
-        F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"),
-        F.first("rare").alias("rare"),
-        F.min(F.struct("doc_id", "t")).alias("holder"),
-    )
     spread = one.select("k", "n", "rare", F.posexplode("prefix").alias("at", "h"))
     own = F.struct("n", "k", "at")
     by_column = Window.partitionBy("h")
@@ -177,33 +191,40 @@ def links(docs: DataFrame, table: DataFrame, width: int, percent: int, first: Da
     heads = many.groupBy("h").agg(F.min(own).alias("head"))
     columns = saved(few.unionByName(many.join(F.broadcast(heads), "h").select(few.columns)))
 
-    matrix = incidence_rows(docs, one, columns.select("k").distinct(), width)
     head = F.col("head")
     stars = (
         columns.filter((F.col("k") != head["k"]) & _may_link(own, head, percent))
-        .select(head["k"].alias("i"), "k", "n")
+        .select(head["k"].alias("i"), F.col("k").alias("j"))
         .distinct()
     )
-    near = multiplied(matrix, star_blocks(saved(stars)), percent)
-    edges = saved(first.unionByName(near))
+    stars = saved(_within_reach(stars, _marks(one), percent).select("i", F.col("j").alias("k"), F.col("j_n").alias("n")))
+    matrix = incidence_rows(docs, one, stars.select("k").unionByName(stars.select(F.col("i").alias("k"))).distinct(), width)
+    edges = saved(first.unionByName(multiplied(matrix, star_blocks(stars), percent)))
+    discard(first, stars, matrix)
 
     groups = components(edges)
     placed = columns.select("h", "k", "n", "at").join(groups.withColumnRenamed("node", "k"), "k", "left")
     placed = saved(placed.select("h", own.alias("row"), F.coalesce("root", "k").alias("root")))
     mixed = placed.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("h")
-    more = products(matrix, saved(placed.join(mixed, "h").select("h", "row.*", "root")), percent)
-    return saved(edges.unionByName(more))
+    cells = saved(placed.join(mixed, "h").select("h", "row.*", "root"))
+    discard(columns, placed)
+    members = products(one, cells, percent)
+    discard(cells)
+    matrix = incidence_rows(docs, one, members.select("k").distinct(), width)
+    every = saved(edges.unionByName(multiplied(matrix, members, percent)))
+    discard(edges, members, matrix)
+    return every
 
 
-def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
-    """(a, b): links between rows of different components, as many as connect what links.
+def products(one: DataFrame, cells: DataFrame, percent: int, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
+    """(i, j, side, k, root): the rows of each two blocks whose product may hold links between components.
 
     `cells` is (h, n, k, at, root): the columns that rows of several components
     share. Rows of about one size that have the same smallest such column form
     blocks of about `rows` rows and `entries` shingles, dealt by hash. Two blocks are
     multiplied in one task, once, whatever the number of columns they share; so no
-    row is made for a pair of documents. Blocks whose sizes or positions rule out
-    every link, and those of one component alone, are not multiplied.
+    row is made for a pair of documents. Blocks whose sizes, positions or, for blocks of one
+    row, bitmaps rule out every link, and those of one component alone, are not multiplied.
     """
     homes = cells.groupBy("k").agg(F.min("h").alias("home"), F.first("n").alias("n"), F.first("root").alias("root"))
     homes = homes.withColumn("band", F.floor(F.log("n") * 10))
@@ -232,10 +253,15 @@ def products(matrix: DataFrame, cells: DataFrame, percent: int, rows: int = 256,
         (F.col("x.block") <= F.col("y.block")) & sizes_fit & enough & roots_differ
     )
     pairs = saved(pairs.select(F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct())
-    pairs = _within_reach(pairs, matrix, block_of, percent)
-    one = pairs.join(block_of, pairs["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root")
-    other = pairs.filter("i <> j").join(block_of, pairs["j"] == block_of["block"])
-    return multiplied(matrix, one.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root")), percent)
+    alone = block_of.groupBy("block").agg(F.count("k").alias("rows"), F.first("k").alias("k")).filter("rows = 1")
+    marks = saved(alone.select("block", "k").join(_marks(one), "k").select(F.col("block").alias("k"), "bits", "n"))
+    near = saved(_within_reach(pairs, marks, percent).select("i", "j"))
+    discard(parts, pairs, marks)
+    left = near.join(block_of, near["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root")
+    other = near.filter("i <> j").join(block_of, near["j"] == block_of["block"])
+    members = saved(left.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root")))
+    discard(near, block_of)
+    return members
 
 
 def star_blocks(stars: DataFrame, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
@@ -253,7 +279,7 @@ def star_blocks(stars: DataFrame, rows: int = 256, entries: int = 1_000_000) ->
     return heads.unionByName(others).withColumn("root", F.col("k"))
 
 
-def bits(row: np.ndarray, words: int = 64) -> np.ndarray:
+def bits(row: np.ndarray, words: int = 16) -> np.ndarray:
     """A bitmap of 64 `words` bits in which each shingle sets one.
 
     Every bit set here and not in another row's bitmap stands for a shingle, at least,
@@ -271,20 +297,24 @@ def _apart(x: Column, y: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda total, n: total + n)
 
 
-def _within_reach(pairs: DataFrame, matrix: DataFrame, block_of: DataFrame, percent: int) -> DataFrame:
-    """Pairs of blocks (i, j) without those of two single rows whose bitmaps rule out a link.
+def _marks(one: DataFrame) -> DataFrame:
+    return one.select("k", "bits", "n")
 
-    Bitmaps move here and not rows. Blocks of several rows stay as they are.
+
+def _within_reach(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(i, j, i_n, j_n): pairs without those whose bitmaps rule out a link; `marks` is (k, bits, n).
+
+    Bitmaps move here and not rows. A pair of which one has no mark stays.
     """
-    single = block_of.groupBy("block").agg(F.count("k").alias("rows"), F.first("k").alias("k")).filter("rows = 1")
-    marks = saved(single.join(matrix.select("k", "bits", F.size("row").alias("n")), "k").select("block", "bits", "n"))
-    x, y = (marks.select(F.col("block").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n").alias(f"{c}_n")) for c in "ij")
-    both = pairs.join(x, "i", "left").join(y, "j", "left")
+    x, y = (
+        marks.select(F.col("k").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n").alias(f"{c}_n")) for c in "ij"
+    )
+    both = pairs.select("i", "j").join(x, "i", "left").join(y, "j", "left")
     most = F.least(
         F.col("i_n") - _apart(F.col("i_bits"), F.col("j_bits")), F.col("j_n") - _apart(F.col("j_bits"), F.col("i_bits"))
     )
     reach = (100 + percent) * most >= percent * (F.col("i_n") + F.col("j_n"))
-    return saved(both.filter(F.coalesce(reach, F.lit(True))).select("i", "j"))
+    return both.filter(F.coalesce(reach, F.lit(True))).select("i", "j", "i_n", "j_n")
 
 
 def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -388,19 +418,20 @@ def _may_link(x: Column, y: Column, percent: int) -> Column:
 
 
 def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(k, row, bits): the rows of the given classes, one each, made again from the text of one document.
+    """(k, row): the rows of the given classes, one each, made again from the text of one document.
 
-    Only classes that share a column with another are asked for. Texts are joined by
-    a shuffle at every size; most documents are in no such class and end there.
+    Only classes that are left in some pair are asked for. A filter of a fixed size, a bit for
+    the hash of each text that is wanted, lets most others go where they are
+    read; the rest is joined by a shuffle at every size.
     Of repeated rows one is kept: the first of each task, as the join leaves them side
     by side, then the first of all tasks, where a hot one was split among several.
     """
-    holders = one.select("k", "holder.*").join(classes, "k").withColumnRenamed("k", "wanted")
+    holders = saved(one.select("k", "holder.*").join(classes, "k").withColumnRenamed("k", "wanted"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = TaskContext.get().partitionId() << 40
         key, done = None, set()
-        columns = ["k", "row", "bits", "at"]
+        columns = ["k", "row", "at"]
         for batch in batches:
             found = []
             for doc_id, t, text, wanted in zip(batch["doc_id"], batch["t"], batch["text"], batch["wanted"]):
@@ -411,20 +442,46 @@ def incidence_rows(docs: DataFrame, one: DataFrame, classes: DataFrame, width: i
                 row = shingles(text, width)
                 if class_key(row, doc_id) == wanted:  # the hash may stand for another text, too
                     done.add(wanted)
-                    found.append((wanted, row, bits(row), at))
+                    found.append((wanted, row, at))
                     at += 1
                 if len(found) == 1000:
                     yield pd.DataFrame(found, columns=columns)
                     found = []
             yield pd.DataFrame(found, columns=columns)
 
-    texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(saved(holders).hint("merge"), ["doc_id", "t"])
-    made = saved(texts.mapInPandas(rows, "k long, row array<long>, bits array<long>, at long"))
+    texts = id_and_text(docs).withColumn("t", F.xxhash64("text"))
+    texts = texts.filter(_among_hashes(holders)("t")).join(holders.hint("merge"), ["doc_id", "t"])
+    made = saved(texts.mapInPandas(rows, "k long, row array<long>, at long"))
+    discard(holders)
     again = made.groupBy("k").agg(F.min("at").alias("first"), F.count("k").alias("times")).filter("times > 1")
     again = saved(again.select("k", "first"))
-    if not again.isEmpty():
-        made = made.join(again, "k", "left").filter(F.col("at") == F.coalesce("first", "at"))
-    return made.select("k", "row", "bits")
+    if again.isEmpty():
+        discard(again)
+        return made
+    single = saved(made.join(again, "k", "left").filter(F.col("at") == F.coalesce("first", "at")).select("k", "row"))
+    discard(made, again)
+    return single
+
+
+def _among_hashes(wanted: DataFrame, power: int = 26):
+    """A test of hashes `t`: true for all that are wanted, and for few others while these fill few of 2 to the `power` bits.
+
+    The bits, 8 MB at most, are what is broadcast, whatever the number of hashes.
+    """
+    place = F.col("t").bitwiseAND(F.lit((1 << power) - 1))
+    words = wanted.groupBy(F.shiftright(place, 6).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")
+    )
+    found = words.toPandas()
+    table = np.zeros(1 << (power - 6), np.int64)
+    table[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    sent = wanted.sparkSession.sparkContext.broadcast(table)
+
+    def among(t: pd.Series) -> pd.Series:
+        at = t.to_numpy(dtype=np.int64) & ((1 << power) - 1)
+        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return F.pandas_udf(among, "boolean")
 
 
 def overlaps(x: np.ndarray, y: np.ndarray, percent: int, blocks: int) -> bool:
