@@ -14,39 +14,70 @@ from pyspark.sql import functions as F
 from .common import discard, id_and_text, saved, ship
 from .components import components
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+# Per byte: its lower case in A-Z plus one, and whether it is white space.
+_LOWER = np.array([b + 33 if 65 <= b <= 90 else b + 1 for b in range(256)], np.uint64)
+_BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+_SEGMENT = 1 << 20
 
 
-class _WordHashes(dict):
-    """Hashes of words. What is asked for again outlives a change of generation, the rest is forgotten."""
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of an odd number, modulo 2 to the 64."""
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), base, np.uint64)]))
 
-    before: dict[bytes, int] = {}
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 100_000:
-            self.before = dict(self)
-            self.clear()
-        value = self.before.get(word)
-        if value is None:
-            value = xxhash.xxh64_intdigest(word)
-        self[word] = value
-        return value
+class _Powers:
+    """Powers of the base of word hashes and of its inverse, as many as the longest stretch so far needs."""
 
+    def __init__(self):
+        self.up = self.down = np.empty(0, np.uint64)
 
-_hashes = _WordHashes()
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = 1 << max(n - 1, 4095).bit_length()
+            self.up, self.down = _powers(int(_STEP), size), _powers(pow(int(_STEP), -1, 1 << 64), size)
+        return self.up, self.down
 
 
-def shingles(text: str | None, width: int = 5) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles: a row of the incidence matrix.
+_kept = _Powers()
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash for each word of a text, in order, the same wherever a word stands.
 
-    Words are lower-cased in A-Z and part at white space. Fewer than `width`
-    words are one shingle, none are none.
+    Words are lower-cased in A-Z and part at white space. All bytes are taken at once: each
+    counts as itself times a power of the base for its place, sums of a
+    word's bytes are taken back to where the word begins, and mixed. Long texts go
+    stretch by stretch, each ending with a word.
     """
-    words = text.encode().translate(_LOWER).split() if text else []
-    if not words:
+    raw = np.frombuffer(text.encode(), np.uint8) if text else np.empty(0, np.uint8)
+    blank = np.ones(len(raw) + 2, bool)
+    blank[1:-1] = _BLANK[raw]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    found = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        begin = starts[i]
+        j = max(int(np.searchsorted(ends, begin + _SEGMENT, side="right")), i + 1)
+        n = int(ends[j - 1] - begin)
+        up, down = _kept.of(n)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_LOWER[raw[begin : begin + n]] * up[:n], out=sums[1:])
+        a = starts[i:j] - begin
+        found[i:j] = (sums[ends[i:j] - begin] - sums[a]) * down[a]
+        i = j
+    found ^= found >> np.uint64(32)
+    found *= _MIX
+    found ^= found >> np.uint64(29)
+    return found
+
+
+def shingle_hashes(text: str | None, width: int = 5) -> np.ndarray:
+    """Hashes of all shingles of a text in order; fewer than `width` words are one, none are none."""
+    h = word_hashes(text)
+    if not len(h):
         return np.empty(0, np.int64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     k = min(width, len(h))
     value = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -54,7 +85,13 @@ def shingles(text: str | None, width: int = 5) -> np.ndarray:
     value ^= value >> np.uint64(29)
     value *= _MIX
     value ^= value >> np.uint64(32)
-    return np.unique(value.view(np.int64))
+    return value.view(np.int64)
+
+
+def shingles(text: str | None, width: int = 5) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles: a row of the incidence matrix."""
+    value = np.sort(shingle_hashes(text, width))
+    return value[np.concatenate([[True], value[1:] != value[:-1]])] if len(value) else value
 
 
 def class_key(row: np.ndarray, doc_id) -> int:
@@ -119,11 +156,9 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
 
     def repeated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = {}
-            for text in batch["text"]:
-                row = shingles(text, width)
-                rows[class_key(row, 0)] = row  # copies count once
-            value = np.concatenate([*rows.values(), np.empty(0, np.int64)])
+            # Copies count once; what repeats within a text may count more often here.
+            rows = [shingle_hashes(text, width) for text in batch["text"].drop_duplicates()]
+            value = np.concatenate([*rows, np.empty(0, np.int64)])
             rows.clear()
             value.sort()
             begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])[: len(value)])
@@ -141,16 +176,22 @@ def incidence(docs: DataFrame, width: int, percent: int, most_common: int = 500_
     last = docs.sparkSession.sparkContext.broadcast(
         np.sort(common.select("h").toPandas()["h"].to_numpy(dtype=np.int64))
     )
+    low = np.int64((1 << 22) - 1)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = last.value
+        # Most columns are told apart by their last bits alone.
+        marked = np.zeros(low + 1, bool)
+        marked[known & low] = True
         for batch in batches:
             found = []
             for doc_id, text, t in zip(batch["doc_id"].array, batch["text"], batch["t"]):
                 row = shingles(text, width)
                 n = len(row)
-                at = np.minimum(np.searchsorted(known, row), max(len(known) - 1, 0))
-                common = known[at] == row if len(known) else np.zeros(n, bool)
+                common = marked[row & low]
+                asked = row[common]
+                if len(asked):
+                    common[common] = known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked
                 take = n - (percent * n + 99) // 100 + 1 if n else 0
                 rare = row[~common][:take]
                 prefix = np.concatenate([rare, row[common]])[:take]
@@ -211,13 +252,21 @@ def links(docs: DataFrame, one: DataFrame, width: int, percent: int, first: Data
     members = products(one, cells, percent)
     discard(cells)
     matrix = incidence_rows(docs, one, members.select("k").distinct(), width)
-    every = saved(edges.unionByName(multiplied(matrix, members, percent)))
-    discard(edges, members, matrix)
-    return every
+    # A row moves once for each product it is in. Products are taken in rounds of about as many
+    # rows as the matrix has, so that what is shuffled at a time stays within its size.
+    moved = members.agg(F.sum("n")).first()[0] or 0
+    size = members.groupBy("k").agg(F.first("n").alias("n")).agg(F.sum("n")).first()[0] or 0
+    rounds = -(-moved // max(size, 1 << 23))
+    for k in range(rounds):
+        some = members.filter(F.pmod(F.xxhash64("i", "j"), F.lit(rounds)) == k)
+        before, edges = edges, saved(edges.unionByName(multiplied(matrix, some, percent)))
+        discard(before)
+    discard(members, matrix)
+    return edges
 
 
 def products(one: DataFrame, cells: DataFrame, percent: int, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
-    """(i, j, side, k, root): the rows of each two blocks whose product may hold links between components.
+    """(i, j, side, k, n, root): the rows of each two blocks whose product may hold links between components.
 
     `cells` is (h, n, k, at, root): the columns that rows of several components
     share. Rows of about one size that have the same smallest such column form
@@ -233,7 +282,7 @@ def products(one: DataFrame, cells: DataFrame, percent: int, rows: int = 256, en
     )
     part = F.pmod(F.xxhash64("k"), "parts")
     block_of = saved(
-        homes.join(sizes, ["home", "band"]).select("k", "root", F.xxhash64("home", "band", part).alias("block"))
+        homes.join(sizes, ["home", "band"]).select("k", "n", "root", F.xxhash64("home", "band", part).alias("block"))
     )
     parts = cells.join(block_of.select("k", "block"), "k").groupBy("h", "block").agg(
         F.min("n").alias("least"),
@@ -257,9 +306,9 @@ def products(one: DataFrame, cells: DataFrame, percent: int, rows: int = 256, en
     marks = saved(alone.select("block", "k").join(_marks(one), "k").select(F.col("block").alias("k"), "bits", "n"))
     near = saved(_within_reach(pairs, marks, percent).select("i", "j"))
     discard(parts, pairs, marks)
-    left = near.join(block_of, near["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "root")
+    left = near.join(block_of, near["i"] == block_of["block"]).select("i", "j", F.lit(0).alias("side"), "k", "n", "root")
     other = near.filter("i <> j").join(block_of, near["j"] == block_of["block"])
-    members = saved(left.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "root")))
+    members = saved(left.unionByName(other.select("i", "j", F.lit(1).alias("side"), "k", "n", "root")))
     discard(near, block_of)
     return members
 
@@ -332,7 +381,8 @@ def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
         yield pd.DataFrame(product(kept, percent), columns=["a", "b"]).astype("int64")
 
-    rows = members.join(matrix.select("k", "row"), "k").select("i", "j", "side", "k", "root", "row")
+    rows = members.select("i", "j", "side", "k", "root").join(matrix.select("k", "row"), "k")
+    rows = rows.select("i", "j", "side", "k", "root", "row")
     return rows.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(each, "a long, b long")
 
 
