@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 import tickloom as tl
 from tickloom import schemas
+from tickloom.plans import Endpoint, late_job, validation_job
 from tickloom.streaming import encode, route_by_window, start_sink, to_folders
 
 LATENESS = "10 seconds"
@@ -118,21 +119,24 @@ def _work_off(spark, sf_dir, *stages, late: bool = False, restart: bool = False)
             arrived.repartition(files).write.mode("append").parquet(f"{folder}/ticks")
             seen += 1
         for i, stage in enumerate(stages):
-            reader = spark.readStream.schema(arrivals[0].schema).option("maxFilesPerTrigger", files)
-            ticks = reader.parquet(f"{folder}/ticks").withWatermark("timestamp", LATENESS)
-            stream = stage(ticks, f"{folder}/{i - 1}")
+            stream = stage(_arriving(spark, arrivals[0], folder, files), f"{folder}/{i - 1}")
             schema = stream.schema
             text = stream.columns == ["value"]
             start_sink(
                 stream, "text" if text else "parquet", checkpoint=f"{folder}/state{i}", path=f"{folder}/{i}", available_now=True
             ).awaitTermination()
     rows = spark.read.schema(schema).parquet(f"{folder}/{len(stages) - 1}")
-    if "symbol" in rows.columns:
-        return rows.filter(~F.col("symbol").eqNullSafe(closing))
+    if "symbol" in rows.columns or "key" in rows.columns:
+        return rows.filter(~F.col("symbol" if "symbol" in rows.columns else "key").eqNullSafe(closing))
     last = _ticks(spark, sf_dir).agg(F.max("timestamp")).first()[0]
     return rows.filter(F.col("timestamp") <= F.lit(last))
 
 
+def _arriving(spark: SparkSession, like: DataFrame, folder: str, files: int = 1) -> DataFrame:
+    reader = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{folder}/ticks").withWatermark("timestamp", LATENESS)
+
+
 def _rounded(name: str) -> Column:
     value = F.round(F.col(name), 8)
     return F.when(value == 0, F.lit(0.0)).otherwise(value).alias(name)
@@ -325,6 +329,63 @@ def _direction(pick, schema):
     return query
 
 
+def window_stats_keyed_stream(spark, sf_dir):
+    """Ticks read as messages, statistics sent with the symbol as key, as a topic has them."""
+
+    def sent(ticks, _):
+        return encode(ticks)
+
+    def keyed(_, folder):
+        messages = tl.read_messages(spark, "text", path=folder)
+        return encode(tl.window_stats(tl.decode(messages, schemas.TICK, LATENESS)), "symbol")
+
+    messages = _work_off(spark, sf_dir, sent, keyed)
+    decoded = messages.select("key", F.from_json("value", schemas.WINDOW_STAT).alias("data")).select("key", "data.*")
+    decoded = decoded.withColumn("timestamp", F.try_to_timestamp("timestamp"))
+    return _plain(decoded)
+
+
+def ticks_checked_stream(spark, sf_dir):
+    """Messages, some spoilt, checked by one query: how many are good ticks, and how many rejected for what."""
+    tl.configure(spark)
+    folder = _folder(spark)
+    _messages(_ticks(spark, sf_dir)).write.text(f"{folder}/messages")
+    source, good, rejected = (Endpoint("text", path=f"{folder}/{x}", keyed=False) for x in ("messages", "good", "rejected"))
+    for query in validation_job(spark, source, good, rejected, f"{folder}/state", available_now=True):
+        query.awaitTermination()
+    ticks = tl.decode(spark.read.schema("value string").text(f"{folder}/good"), schemas.TICK)
+    reasons = spark.read.schema("value string").text(f"{folder}/rejected")
+    reasons = reasons.select(F.get_json_object("value", "$.reason").alias("reason"))
+    counted = ticks.filter("price IS NOT NULL AND timestamp IS NOT NULL").select(F.lit("good").alias("reason"))
+    return counted.unionByName(reasons).groupBy("reason").agg(F.count("reason").alias("messages"))
+
+
+def late_ticks_aside(spark, sf_dir):
+    """Every tick, and the windows that were closed before it came, from the outputs for ticks in time and late ones."""
+    tl.configure(spark)
+    folder = _folder(spark)
+    closing = _closing_symbol(_ticks(spark, sf_dir))
+    arrivals = _arrivals(spark, sf_dir, closing, late=True, days=1)
+    schema = "symbol string, price double, timestamp timestamp"
+    for arrived in arrivals:
+        arrived.repartition(1).write.mode("append").parquet(f"{folder}/ticks")
+
+    def to(name):
+        return lambda rows, batch_id: rows.write.mode("append").parquet(f"{folder}/{name}")
+
+    if arrivals:
+        stream = _arriving(spark, arrivals[0], folder)
+        for query in late_job(stream, to("kept"), to("late"), f"{folder}/state", available_now=True):
+            query.awaitTermination()
+        kept = spark.read.schema(schema).parquet(f"{folder}/kept")
+        late = spark.read.schema(f"{schema}, late_for array<string>").parquet(f"{folder}/late")
+    else:
+        kept = spark.createDataFrame([], schema)
+        late = spark.createDataFrame([], f"{schema}, late_for array<string>")
+    rows = late.withColumn("late_for", F.array_join("late_for", ",")).unionByName(kept.withColumn("late_for", F.lit("")))
+    return _plain(rows.filter(~F.col("symbol").eqNullSafe(closing)))
+
+
 def zscore_routed_stream(spark, sf_dir):
     """Published score arrays, exploded and routed into one folder per window label."""
     folder = _folder(spark)
@@ -389,7 +450,10 @@ def tick_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         zscore_routed_stream,
         first_move_stream,
         late_ticks_stream,
+        late_ticks_aside,
         stats_regrouped_stream,
+        window_stats_keyed_stream,
+        ticks_checked_stream,
     ]
     found = {q.__name__: q for q in named}
     found["first_higher_stream"] = _direction(tl.first_higher, schemas.HIGHER)
@@ -453,9 +517,9 @@ WITH sent AS (
 
 
 # Late ticks are dropped from the windows that the first half's watermark has closed.
-_LATE = f"""
+_ARRIVED = f"""
 WITH ticks AS (
-  SELECT event_type AS symbol, value AS price, event_id, epoch_us(ts) AS us FROM events
+  SELECT event_type AS symbol, value AS price, event_id, ts, epoch_us(ts) AS us FROM events
 ), bounds AS (
   SELECT (min(us) + max(us)) // 2 // 1000000 * 1000000 AS middle FROM ticks
 ), arrived AS (
@@ -466,12 +530,19 @@ WITH ticks AS (
 ), kept AS (
   SELECT *, (us // (sec * 1000000) + 1) * sec * 1000000 AS end_us
   FROM arrived CROSS JOIN {_WIDTHS}
-)
+)"""
+
+_LATE = f"""{_ARRIVED}
 SELECT make_timestamp(end_us) AS "timestamp", symbol, label AS "window",
        {_round_sql('avg(price)')} AS avg_price, {_round_sql('stddev_samp(price)')} AS std_price
 FROM kept, mark WHERE NOT (second_half AND end_us <= closed)
 GROUP BY end_us, symbol, label"""
 
+_ASIDE = f"""{_ARRIVED}
+SELECT symbol, {_round_sql('price')} AS price, ts AS "timestamp",
+       coalesce(string_agg(label, ',' ORDER BY sec) FILTER (second_half AND end_us <= closed), '') AS late_for
+FROM kept, mark GROUP BY symbol, price, ts, event_id"""
+
 
 def _moves(fill: str = "NULL", by_symbol: bool = False, horizon: int = 20, exact: bool = False) -> str:
     symbol = "a.symbol, " if by_symbol else ""
@@ -533,6 +604,12 @@ def tick_sql() -> dict[str, str]:
         "zscore_routed_stream": _BASE + _SCORES,
         "first_move_stream": _moves(),
         "late_ticks_stream": _LATE,
+        "late_ticks_aside": _ASIDE,
+        "window_stats_keyed_stream": _BASE + _STATS.replace("SELECT ended", "SELECT symbol AS key, ended"),
+        "ticks_checked_stream": f"""{_MESSAGES}
+            SELECT CASE WHEN symbol IS NULL THEN 'no symbol' WHEN price = 'n/a' THEN 'price is not a number'
+                   ELSE 'good' END AS reason, count(*) AS messages
+            FROM sent GROUP BY 1""",
     }
     for way in ("higher", "lower"):
         found[f"first_{way}_stream"] = found[f"first_{way}"]

@@ -32,8 +32,8 @@ OPERATORS = {
     "tick_zscores": (tl.tick_zscores, 4),
     "zscores": (tl.zscores, 4),
     # As planned; what is shuffled alike is shuffled once, see below.
-    "first_move": (tl.first_move, 9),
-    "first_move_by_symbol": (lambda t: tl.first_move(t, partition_cols=("symbol",)), 9),
+    "first_move": (tl.first_move, 10),
+    "first_move_by_symbol": (lambda t: tl.first_move(t, partition_cols=("symbol",)), 10),
 }
 
 
@@ -51,11 +51,11 @@ def test_shuffles_scans_and_no_python(spark, name):
 
 
 def test_first_move_shuffles_once(spark):
-    """Times; their seconds; extremes of seconds; seconds a horizon before; seconds and trees by horizon."""
+    """Times; their seconds; extremes of seconds; seconds a horizon before; trees; seconds and trees for their join."""
     for moves in (tl.first_move(feed(spark)), tl.first_move(feed(spark), partition_cols=("symbol",))):
         moves.collect()
         done = plan(moves).split("== Initial Plan ==")[0]
-        assert len(re.findall(r"[- ] Exchange hash", done)) == 6, done
+        assert len(re.findall(r"[- ] Exchange hash", done)) == 7, done
 
 
 def test_first_move_reads_no_symbol_when_not_partitioned(spark):

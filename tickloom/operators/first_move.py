@@ -101,6 +101,9 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int, exact: bool) ->
     )
     last = seconds.select(*on, (F.col("second") - horizon).alias("second"), F.col("own").alias("last"))
     block = _known(F.floor(F.col("second") / horizon))
+    # One more key than trees are gathered by, so that they are shuffled for the join as well:
+    # adaptive execution splits only joins of two shuffles.
+    turn = _known(F.pmod(F.col("block"), F.lit(2)))
     trees = (
         seconds.select(*on, "second", "lo", "hi", F.explode(F.array(block, block - 1)).alias("block"))
         .groupBy(*on, "block")
@@ -110,8 +113,8 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int, exact: bool) ->
     rows = (
         seconds.select(*on, "second", "own")
         .join(last.hint("merge"), [*on, "second"], "left")
-        .withColumn("block", block)
-        .join(trees.hint("merge"), [*on, "block"])
+        .withColumns({"block": block, "turn": turn})
+        .join(trees.withColumn("turn", turn).hint("merge"), [*on, "block", "turn"])
         .withColumn("last", F.coalesce("last", F.array().cast(_TIMES)))
     )
 

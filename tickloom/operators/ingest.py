@@ -8,11 +8,38 @@ from ..functions import parse_time
 from ..schemas import TICK_TEXT
 
 
+# The reasons for which messages are rejected, in the order in which they are tested.
+REASONS = ("not JSON", "no symbol", "no price", "price is not a number", "price is NaN", "no valid time")
+
+
 def validate_ticks(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split tick messages into good ticks and rejected messages with a reason.
+    """Split tick messages into good ticks and rejected messages with a reason."""
+    checked = check_ticks(messages)
+    return good_ticks(checked), rejected_messages(checked)
+
+
+def good_ticks(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNull()).select("symbol", "price", "timestamp")
+
+
+def rejected_messages(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reason").isNotNull()).select("value", "reason")
+
+
+def reason_counts(checked: DataFrame, name: str) -> DataFrame:
+    """`checked` as it is, which reports on the way how many ticks were good and how many rejected for what.
+
+    A batch gives the numbers to an `Observation`, a stream to its listeners, batch by batch.
+    """
+    reasons = [F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS]
+    return checked.observe(name, F.count(F.when(F.col("reason").isNull(), 1)).alias("good"), *reasons)
+
+
+def check_ticks(messages: DataFrame) -> DataFrame:
+    """(value, symbol, price, timestamp, reason): tick messages read, and why one is none.
 
     A tick needs a symbol, a price that reads as a number (quoted or not) other
-    than NaN, and a time. Nothing raises: rejected rows keep the message text.
+    than NaN, and a time. Nothing raises: every row keeps the message text.
     """
     schema = StructType([*TICK_TEXT.fields, StructField("_malformed", StringType(), True)])
     text = F.col("value").cast("string")
@@ -28,15 +55,15 @@ def validate_ticks(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         parse_time(F.col("data.timestamp")).alias("timestamp"),
         (F.col("data").isNull() | F.col("data._malformed").isNotNull()).alias("malformed"),
     )
-    checked = read.withColumn(
-        "reason",
-        F.when(F.col("malformed"), "not JSON")
-        .when(F.col("symbol").isNull(), "no symbol")
-        .when(F.col("price_text").isNull(), "no price")
-        .when(F.col("price").isNull(), "price is not a number")
-        .when(F.isnan("price"), "price is NaN")
-        .when(F.col("timestamp").isNull(), "no valid time"),
+    tests = (
+        F.col("malformed"),
+        F.col("symbol").isNull(),
+        F.col("price_text").isNull(),
+        F.col("price").isNull(),
+        F.isnan("price"),
+        F.col("timestamp").isNull(),
     )
-    good = checked.filter(F.col("reason").isNull()).select("symbol", "price", "timestamp")
-    rejected = checked.filter(F.col("reason").isNotNull()).select("value", "reason")
-    return good, rejected
+    reason = F.lit(None).cast("string")
+    for name, failed in reversed(list(zip(REASONS, tests))):
+        reason = F.when(failed, name).otherwise(reason)
+    return read.select("value", "symbol", "price", "timestamp", reason.alias("reason"))

@@ -59,6 +59,16 @@ def regroup_stats(stats: DataFrame) -> DataFrame:
     return stats.filter(F.col("timestamp").isNotNull()).groupBy("timestamp", "symbol").agg(_windows_by_width())
 
 
+def late_for(ticks: DataFrame, watermark_ms: int, widths=SIX) -> DataFrame:
+    """`ticks` with `late_for`: the labels of windows that a watermark had closed before the tick came, shortest first."""
+    us = as_micros(F.col("timestamp"))
+    closed = [
+        F.when(floor_micros(us, w.micros) + F.lit(w.micros) <= F.lit(watermark_ms * 1000), F.lit(w.label))
+        for w in nested(widths)
+    ]
+    return ticks.withColumn("late_for", F.array_compact(F.array(*closed)))
+
+
 def width_seconds(label: Column, widths=SIX) -> Column:
     """The length behind a window label, 0 for an unknown one."""
     seconds = F.lit(0)

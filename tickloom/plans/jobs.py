@@ -1,4 +1,4 @@
-"""The four streaming jobs: ticks -> window arrays -> z-score arrays -> outputs per window,
+"""The streaming jobs: ticks -> window arrays -> z-score arrays -> outputs per window,
 and ticks -> first moves. Each reads messages, applies the operators and starts queries."""
 
 from __future__ import annotations
@@ -7,21 +7,28 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import (
+    check_ticks,
     first_higher,
     first_lower,
     first_move,
+    good_ticks,
+    late_for,
+    reason_counts,
     regroup_stats,
+    rejected_messages,
     stats_array,
     window_stats,
     zscore_array,
     zscore_rows,
 )
 from ..sources import decode, explode_stats, explode_zscores, read_messages
-from ..streaming import encode, route, route_by_window, start_sink
+from ..streaming import encode, route, route_by_window, start_sink, watermark_of_batch, write_each
+from ..widths import SIX
 
 LATENESS = "10 seconds"
 
@@ -112,22 +119,74 @@ def first_move_job(
     """Gaps to the first higher and the first lower price, each to an output without keys.
 
     One query: each batch is written to both outputs. A batch that is repeated
-    after a failure is written again, with the same number.
+    after a failure is written only where it was not, by the records beside the checkpoint.
     """
     prices = decode(ticks.read(spark), schemas.TICK, lateness)
     moves = first_move(prices, horizon, fill, partition_cols)
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            higher.append(higher.messages(first_higher(batch)), batch_id)
-            lower.append(lower.messages(first_lower(batch)), batch_id)
-        finally:
-            batch.unpersist()
+        writes = {
+            "higher": lambda: higher.append(higher.messages(first_higher(batch)), batch_id),
+            "lower": lambda: lower.append(lower.messages(first_lower(batch)), batch_id),
+        }
+        write_each(batch, batch_id, writes, f"{checkpoint}/first_move_written")
 
     return [route(moves, both, f"{checkpoint}/first_move", **trigger)]
 
 
+def validation_job(
+    spark: SparkSession,
+    messages: Endpoint,
+    good: Endpoint,
+    rejected: Endpoint,
+    checkpoint: str,
+    **trigger,
+) -> list[StreamingQuery]:
+    """Tick messages checked: good ticks to one output, rejected messages with their reason to another.
+
+    One query, each batch read once and written once to each output. The numbers per reason
+    come with its progress under the name `validation`; `streaming.Observed` adds them up.
+    """
+    checked = reason_counts(check_ticks(messages.read(spark)), "validation")
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        writes = {
+            "good": lambda: good.append(good.messages(good_ticks(batch), "symbol"), batch_id),
+            "rejected": lambda: rejected.append(rejected.messages(rejected_messages(batch)), batch_id),
+        }
+        write_each(batch, batch_id, writes, f"{checkpoint}/validation_written")
+
+    return [route(checked, both, f"{checkpoint}/validation", **trigger)]
+
+
+def late_job(
+    ticks: DataFrame,
+    kept: Callable[[DataFrame, int], None],
+    late: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    widths=SIX,
+    **trigger,
+) -> list[StreamingQuery]:
+    """Ticks that come after a window of theirs was closed, kept aside with the names of these windows.
+
+    `ticks` is a stream with a watermark. One query: `kept` is given the ticks of a batch that
+    are in time for all windows, `late` the others with `late_for`. A batch is held against the
+    watermark that the query's offset log names for it, the one by which Spark drops rows, so
+    a batch repeated after a failure is split alike, and is written only where it was not.
+    """
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        mark = watermark_of_batch(batch.sparkSession, f"{checkpoint}/late", batch_id)
+        told = late_for(batch, mark, widths)
+        writes = {
+            "kept": lambda: kept(told.filter(F.size("late_for") == 0).drop("late_for"), batch_id),
+            "late": lambda: late(told.filter(F.size("late_for") > 0), batch_id),
+        }
+        write_each(batch, batch_id, writes, f"{checkpoint}/late_written")
+
+    return [route(ticks, split, f"{checkpoint}/late", **trigger)]
+
+
 def loader_job(
     spark: SparkSession,
     zscores: Endpoint,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -100,28 +101,69 @@ def to_outputs(
     options: Callable[[str], dict[str, str]],
     labels: Iterable[str] = LABELS,
     mode: str = "append",
+    commits: str | None = None,
 ):
     """Route each label to an output of its own, such as a collection or a topic.
 
-    `options` gives the sink options for a label. A repeated batch is written
-    again; its number goes along as the option `batchId`, for sinks that can tell.
+    `options` gives the sink options for a label. A batch that is repeated after a failure leaves
+    out what `commits`, a folder on shared storage, has a record of; see `Commits`. The batch's
+    number also goes along as the option `batchId`, for sinks that can tell.
     """
     labels = list(labels)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for label in labels:
-                rows = batch.filter(F.col("window") == label)
-                rows.write.mode(mode).format(format).options(**options(label)).option(
-                    "batchId", str(batch_id)
-                ).save()
-        finally:
-            batch.unpersist()
+        def append(label: str) -> None:
+            rows = batch.filter(F.col("window") == label)
+            rows.write.mode(mode).format(format).options(**options(label)).option("batchId", str(batch_id)).save()
+
+        write_each(batch, batch_id, {label: partial(append, label) for label in labels}, commits)
 
     return write
 
 
+def write_each(batch: DataFrame, batch_id: int, writes: dict[str, Callable[[], None]], commits: str | None = None) -> None:
+    """Several outputs from one batch, which is computed once; those with a record are not written again."""
+    done = Commits(batch.sparkSession, commits) if commits else None
+    batch.persist()
+    try:
+        for output, write in writes.items():
+            if done is None:
+                write()
+            elif not done.has(output, batch_id):
+                write()
+                done.add(output, batch_id)
+    finally:
+        batch.unpersist()
+
+
+class Commits:
+    """Which outputs have had which batch: an empty file per output, named by the batch.
+
+    A file is made after its output was written, so a run that fails between two outputs, or
+    between the outputs and Spark's own commit, goes on behind what was written. Only
+    a failure within a write, or between it and its record, can repeat that one output;
+    there `batchId` tells. Only the last batch of a query is ever repeated, so older files go.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.folder = folder.rstrip("/")
+        self.files = self.hadoop.Path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def has(self, output: str, batch_id: int) -> bool:
+        return self.files.exists(self._path(output, batch_id))
+
+    def add(self, output: str, batch_id: int) -> None:
+        self.files.create(self._path(output, batch_id), True).close()
+        for status in self.files.listStatus(self._path(output)):
+            name = status.getPath().getName()
+            if name.isdigit() and int(name) < batch_id:
+                self.files.delete(status.getPath(), False)
+
+    def _path(self, *parts):
+        return self.hadoop.Path("/".join([self.folder, *map(str, parts)]))
+
+
 def _start(writer, checkpoint, processing_time, available_now, name, path) -> StreamingQuery:
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
