@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, saved
+from .common import id_and_text, saved, ship
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -51,8 +51,8 @@ def pack(
 ) -> DataFrame:
     """`pieces` with a place each: sequence_id, and offset within it, gapless from 0.
 
-    Only lengths are packed, never texts. They are dealt by hash to blocks of
-    about `block` pieces, so that a task holds one bounded block; each block is
+    Only lengths are packed, never texts. They are dealt by a hash of their row number to blocks of
+    about `block` pieces, whatever rows repeat, so that a task holds one bounded block; each block is
     packed by itself and leaves a few sequences open at most. Within a block the
     longest piece comes first. A piece goes to an open sequence with room for
     it; among these, to the residual gap where the sum over all gaps of the
@@ -61,9 +61,10 @@ def pack(
     whenever that made the sum smaller left 0.4 % more sequences.
     An empty table gives an empty result.
     """
-    cut = saved(pieces(docs, vocabulary, capacity, end_id))
+    ship(docs.sparkSession)
+    cut = saved(pieces(docs, vocabulary, capacity, end_id).withColumn("row", F.monotonically_increasing_id()))
     blocks = max(1, math.ceil(cut.count() / block))
-    dealt = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)))
+    dealt = cut.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks))).drop("row")
 
     def place(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(
