@@ -69,3 +69,17 @@ def test_the_sample_does_not_decide(documents):
         for s in ({}, {"samples": 7, "rounds": 1})
     ]
     assert by[0] == by[1]
+
+
+def test_one_row_repeated_is_divided(spark, documents, monkeypatch):
+    """A third of all rows alike in doc_id and text: no range has more than four times the mean."""
+    n = 2_000
+    same = spark.range(n).select(F.lit(7).cast("long").alias("doc_id"), F.lit("copy " * 30).alias("text"))
+    docs = documents.select("doc_id", "text").unionByName(same)
+    counted = []
+    counts = splitters._counts
+    monkeypatch.setattr(splitters, "_counts", lambda placed: counted.append(counts(placed)) or counted[-1])
+    check(docs, samples=400, range_rows=50)
+    last = counted[-1]
+    mean = sum(r for r, _ in last.values()) / len(last)
+    assert max(r for r, _ in last.values()) <= 4 * max(mean, 64)

@@ -27,7 +27,7 @@ def shards(
 
     Records are put in order of a key: the hash of the text, so that equal texts
     lie together. A group of equal texts above `whole_share` of a shard's bytes,
-    or of its rows, may be divided, and its key goes on with the doc_id; there
+    or of its rows, may be divided, and its key goes on with the doc_id and the number of the row; there
     are at most 2 * shards / whole_share such groups, which is what is broadcast.
 
     1. A sample of keys is drawn, each row with a probability in proportion to its
@@ -51,6 +51,7 @@ def shards(
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("h"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     total = rows.agg(F.count("size").alias("n"), F.sum("size").alias("bytes")).first()
@@ -73,6 +74,7 @@ def shards(
         F.when(F.col("divisible"), F.coalesce("doc_id", F.lit(_LEAST)))
         .otherwise(F.lit(_LEAST))
         .alias("sub"),
+        F.when(F.col("divisible"), F.col("row")).otherwise(F.lit(_LEAST)).alias("row"),
     )
 
     ranges = max(8 * shards, math.ceil(n / range_rows))
@@ -106,7 +108,7 @@ def shards(
         bytes_before.append(b)
         r, b = r + counts.get(k, (0, 0))[0], b + counts.get(k, (0, 0))[1]
 
-    by_key = Window.partitionBy("range").orderBy("h", "sub", "doc_id", "size")
+    by_key = Window.partitionBy("range").orderBy("h", "sub", "row", "doc_id", "size")
     up_to = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     group = Window.partitionBy("range", "h")
     whole_group = Window.partitionBy("range").orderBy("h")
@@ -148,29 +150,28 @@ def shards(
     )
 
 
-def _sample(rows: DataFrame, chance: Column, salt: int) -> list[tuple[int, int]]:
+def _sample(rows: DataFrame, chance: Column, salt: int) -> list[tuple[int, int, int]]:
     """Sorted keys of the rows drawn, each with its chance; their number is set by the caller."""
-    draw = F.pmod(F.xxhash64("doc_id", "h", "size", F.lit(salt)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    return sorted((r.h, r.sub) for r in rows.filter(draw < chance).select("h", "sub").collect())
+    draw = F.pmod(F.xxhash64("doc_id", "h", "size", "row", F.lit(salt)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    return sorted((r.h, r.sub, r.row) for r in rows.filter(draw < chance).select("h", "sub", "row").collect())
 
 
-def _quantiles(keys: list[tuple[int, int]], parts: int) -> list[tuple[int, int]]:
+def _quantiles(keys: list[tuple[int, int, int]], parts: int) -> list[tuple[int, int, int]]:
     return sorted({keys[len(keys) * k // parts] for k in range(1, parts)}) if keys else []
 
 
-def _range(splitters: list[tuple[int, int]]) -> Column:
+def _range(splitters: list[tuple[int, int, int]]) -> Column:
     """How many splitters are at most the row's key: a binary search, some steps a row."""
     if not splitters:
         return F.lit(0)
-    hs, subs = _numbers(h for h, _ in splitters), _numbers(s for _, s in splitters)
+    hs, subs, numbers = (_numbers(key[k] for key in splitters) for k in range(3))
     n = len(splitters)
 
     def step(at, bit):
         i = at + bit - 1
-        h, sub = F.get(hs, i), F.get(subs, i)
-        fits = (at + bit <= F.lit(n)) & (
-            (h < F.col("h")) | ((h == F.col("h")) & (sub <= F.col("sub")))
-        )
+        h, sub, row = F.get(hs, i), F.get(subs, i), F.get(numbers, i)
+        within = (sub < F.col("sub")) | ((sub == F.col("sub")) & (row <= F.col("row")))
+        fits = (at + bit <= F.lit(n)) & ((h < F.col("h")) | ((h == F.col("h")) & within))
         return F.when(fits, at + bit).otherwise(at)
 
     bits = [1 << k for k in reversed(range(n.bit_length()))]
