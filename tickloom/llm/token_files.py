@@ -62,10 +62,13 @@ def write_tokens(
 
     # Ranges of doc_ids, cut by a sample of ids that Spark draws; sorted within. Texts
     # move, not ids: encoding before would be done twice, once for that sample.
+    # The number of a row parts those that share a doc_id.
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("row").asc()]
     ordered = (
         id_and_text(docs)
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+        .withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .select(F.spark_partition_id().cast("long").alias("bucket"), "doc_id", "text")
     )
     ordered.mapInPandas(compress, SHARD).write.parquet(path)
