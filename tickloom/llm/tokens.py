@@ -45,7 +45,8 @@ class Encoder:
     with `byte level` a blank belongs to the piece after it, with `word ends` it
     is dropped. Pieces of plain letters go straight to the library's model, all
     others through the whole tokenizer; so do texts, or tokenizers, to which
-    the rule may not apply. At most `remember` pieces are kept.
+    the rule may not apply. Up to twice `remember` pieces are kept, those asked for last;
+    a piece with a mark takes the ids of its word from there.
     """
 
     def __init__(self, path: str, remember: int = 250_000):
@@ -107,6 +108,9 @@ class _Pieces(dict):
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        if "\n" in piece and self.encoder.kind == "byte level":
+            # Words beside a line end are remembered each, not together.
+            return self.lines(piece)
         if len(self) >= self.encoder.remember:
             # What is asked for again is taken over; the rest is forgotten with the next change.
             self.before = dict(self)
@@ -117,14 +121,25 @@ class _Pieces(dict):
         self[piece] = ids
         return ids
 
+    def lines(self, piece: str) -> bytes:
+        first, *rest = piece.split("\n")
+        if not (_WORD.fullmatch(first) and all(map(_WORD.fullmatch, rest))):
+            return self.encoder.whole(self.blank + piece)
+        end, begun = self.marks["\n"], self.encoder.first
+        return self[first] + b"".join([end + begun[line] for line in rest])
+
     def found(self, piece: str) -> bytes:
         # Most pieces are one word of plain letters, with a full stop or comma at most.
-        mark = piece[-1:] if piece[-1:] in (".", ",") else ""
-        word = piece[:-1] if mark else piece
-        if self.encoder.kind != "other" and word.isascii() and word.isalpha():
-            word = self.start + (word.lower() if self.lower else word)
-            ids = b"".join([self.four[token.id] for token in self.tokenize(word)])
-            return ids + self.marks[mark] if mark else ids
+        if self.encoder.kind == "other":
+            return self.encoder.piece(self.blank, piece)
+        if piece[-1:] in (".", ","):
+            word = piece[:-1]
+            if word.isascii() and word.isalpha():
+                return self[word] + self.marks[piece[-1]]
+        if piece.isascii() and piece.isalpha():
+            if self.lower and not piece.islower():
+                return self[piece.lower()]
+            return b"".join([self.four[token.id] for token in self.tokenize(self.start + piece)])
         return self.encoder.piece(self.blank, piece)
 
 
