@@ -43,8 +43,10 @@ def quality_rules(
     cells below `least_rows` rows are pooled by language, then over all. A pool
     still below that rejects nothing, and its distances are NULL.
 
-    Only DataFrame functions: cells are aggregated before the shuffle, so a hot
-    one is no more than a row per task; estimates are joined back, not collected.
+    Only DataFrame functions: cells are aggregated before the shuffle, so there a hot
+    one is no more than a row per task; estimates are joined back, not collected. As written
+    tables of known size they are broadcast while small; beyond that both sides of the join are
+    shuffled, where adaptive execution splits a hot cell.
     """
     rows = saved(_counts(docs, least_words, most_repeats))
     passed = rows.filter(~F.col("base_failed"))
@@ -232,12 +234,12 @@ def _estimate(vectors: DataFrame, core: float, steps: int, least: int) -> DataFr
     )
     for _ in range(steps):
         now = saved(now)
-        limits = saved(
-            _distances(vectors, now)
-            .groupBy("cell")
-            .agg(F.percentile_approx("d2", F.lit(core), F.lit(1000)).alias("limit"))
+        limits = _distances(vectors, now).groupBy("cell").agg(
+            F.percentile_approx("d2", F.lit(core), F.lit(1000)).alias("limit")
         )
-        inside = _distances(vectors, now.join(limits, "cell")).filter(F.col("d2") <= F.col("limit"))
+        # Written, so that Spark knows its size before it plans the join: a few rows are broadcast, more are not.
+        limited = saved(now.join(limits, "cell"))
+        inside = _distances(vectors, limited).filter(F.col("d2") <= F.col("limit"))
         moments = inside.groupBy("cell").agg(
             F.first("n").alias("n"),
             *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(_VECTOR)],
