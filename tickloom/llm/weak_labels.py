@@ -241,8 +241,9 @@ def train(
     """Fit on labelled documents; `rows` restricts which, as a condition on doc_id.
 
     `labels` is (doc_id, label) with one label a document. At most about `most`
-    of them are used, chosen by a hash of doc_id: this bounds the labels that
-    are broadcast, and the votes that the driver collects, a byte for each voter.
+    of them are used, chosen by a hash of doc_id, which bounds the labels that
+    are broadcast; where a doc_id has many texts, about as many texts are used, chosen by
+    their hash, which bounds the votes that the driver collects, a byte for each voter.
     """
     if rows is not None:
         labels = labels.filter(rows)
@@ -250,6 +251,11 @@ def train(
     draw = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     chosen = id_and_text(docs).join(F.broadcast(labels.filter(draw)), "doc_id")
     chosen = saved(_unlike(chosen))
+    # A label may hold for many unlike texts of one doc_id: the texts are bounded as well.
+    share = most / max(chosen.count(), 1)
+    if share < 0.5:
+        draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30))
+        chosen = saved(chosen.filter(draw < F.lit(int(share * (1 << 30)))))
     voters = _mine(chosen, most_terms)
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
