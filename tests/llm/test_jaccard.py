@@ -142,3 +142,19 @@ def test_components(spark):
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert found == roots(nodes, [e for e in edges if e[0] != e[1]])
     assert components.components(frame.limit(0)).count() == 0
+
+
+def test_bitmaps_bound_what_two_rows_share(spark):
+    """Never more bits apart than shingles, whatever the lengths; and enough of them to tell long rows apart."""
+    import numpy as np
+
+    chance = np.random.default_rng(5)
+    rows = []
+    for n in (1, 5, 300, 900, 1100, 2000, 2100, 5000, 70_000):
+        x = np.unique(chance.integers(-(2**63), 2**63 - 1, n))
+        y = np.unique(np.concatenate([x[: int(n * chance.choice([0, 0.5, 0.9, 1]))], chance.integers(-(2**63), 2**63 - 1, n // 5 + 1)]))
+        rows += [(a.tolist(), b.tolist(), jaccard.bits(a).tolist(), jaccard.bits(b).tolist()) for a, b in ((x, y), (y, x))]
+    frame = spark.createDataFrame([(len(set(a) - set(b)), len(a), p, q) for a, b, p, q in rows], "less int, n int, p array<long>, q array<long>")
+    for r in frame.select("less", "n", jaccard._apart(F.col("p"), F.col("q")).alias("bits")).collect():
+        assert r.bits <= r.less
+        assert r.n > 70_000 or r.less < r.n or r.bits > 0.2 * r.n

@@ -3,7 +3,7 @@
 import inspect
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -92,6 +92,32 @@ def test_sum_of_squares_takes_the_smallest_sum():
         gaps[at] = 30 - begin - size
 
 
+def test_rows_repeated_are_dealt_over_blocks(spark, documents, monkeypatch):
+    """A third of all rows alike in doc_id and text: no block has more than its share."""
+    n, block = documents.count(), 100
+    same = documents.limit(1).crossJoin(spark.range(2 * n)).drop("id")
+    rows = packing.pack(documents.unionByName(same), WORDS, block=block).collect()
+    blocks = Counter(r.sequence_id >> 32 for r in rows)
+    assert len(rows) >= 3 * n and max(blocks.values()) <= 2 * block
+    assert max(blocks.values()) <= 4 * sorted(blocks.values())[len(blocks) // 2]
+
+
+def test_files_of_rows_repeated(spark, documents, tmp_path):
+    """Rows that share a doc_id are parted between tasks, and are all read back."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    n = documents.count()
+    same = documents.filter("doc_id = 3").crossJoin(spark.range(2 * n)).drop("id")
+    docs = documents.unionByName(same).repartition(4)
+    path = str(tmp_path / "files")
+    token_files.write_tokens(docs, BYTES, path, shard_tokens=1000)
+    found = token_files.read_tokens(spark, path).collect()
+    buckets = Counter(r.bucket for r in spark.read.parquet(path).select("bucket").collect())
+    assert len(found) == 3 * n and sum(r.doc_id == 3 for r in found) == 2 * n + 1
+    assert len({r.start for r in found}) == len(found) and len(buckets) > 2
+    ordered = sorted(found, key=lambda r: r.start)
+    assert all(a.start + a.n_tokens == b.start and a.doc_id <= b.doc_id for a, b in zip(ordered, ordered[1:]))
+
+
 def test_packing_nothing(nothing):
     assert packing.pack(nothing, WORDS).count() == 0
 

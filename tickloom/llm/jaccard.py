@@ -252,11 +252,11 @@ def links(docs: DataFrame, one: DataFrame, width: int, percent: int, first: Data
     members = products(one, cells, percent)
     discard(cells)
     matrix = incidence_rows(docs, one, members.select("k").distinct(), width)
-    # A row moves once for each product it is in. Products are taken in rounds of about as many
-    # rows as the matrix has, so that what is shuffled at a time stays within its size.
+    # A row moves once for each product it is in. Products are taken in rounds of about twice as
+    # many rows as the matrix has, so that what is shuffled at a time stays within that.
     moved = members.agg(F.sum("n")).first()[0] or 0
     size = members.groupBy("k").agg(F.first("n").alias("n")).agg(F.sum("n")).first()[0] or 0
-    rounds = -(-moved // max(size, 1 << 23))
+    rounds = -(-moved // max(2 * size, 1 << 23))
     for k in range(rounds):
         some = members.filter(F.pmod(F.xxhash64("i", "j"), F.lit(rounds)) == k)
         before, edges = edges, saved(edges.unionByName(multiplied(matrix, some, percent)))
@@ -328,12 +328,16 @@ def star_blocks(stars: DataFrame, rows: int = 256, entries: int = 1_000_000) ->
     return heads.unionByName(others).withColumn("root", F.col("k"))
 
 
-def bits(row: np.ndarray, words: int = 16) -> np.ndarray:
-    """A bitmap of 64 `words` bits in which each shingle sets one.
+def bits(row: np.ndarray) -> np.ndarray:
+    """A bitmap in which each shingle sets one bit; as 64-bit words, 16 of them or, for long rows, up to 1024.
 
     Every bit set here and not in another row's bitmap stands for a shingle, at least,
-    that the other row does not have.
+    that the other row does not have. There is a bit or more for each shingle, so that long rows are
+    told apart as well. A bitmap of twice the length folds into the shorter one.
     """
+    words = 16
+    while words < 1024 and 64 * words < len(row):
+        words *= 2
     place = (row.view(np.uint64) & np.uint64(64 * words - 1)).astype(np.int64)
     found = np.zeros(64 * words, np.uint8)
     found[place] = 1
@@ -341,9 +345,20 @@ def bits(row: np.ndarray, words: int = 16) -> np.ndarray:
 
 
 def _apart(x: Column, y: Column) -> Column:
-    """How many bits of one bitmap the other lacks."""
-    each = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
-    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+    """How many bits of one bitmap the other lacks, both folded to the shorter length.
+
+    Rows that may link have lengths within one doubling; of others nothing is said.
+    """
+
+    def folded(long: Column, short: Column) -> Column:
+        half = F.size(short)
+        parts = F.zip_with(
+            F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), lambda a, b: a.bitwiseOR(b)
+        )
+        return F.when(F.size(long) == 2 * half, parts).otherwise(long)
+
+    each = F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(each, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
 
 
 def _marks(one: DataFrame) -> DataFrame:
