@@ -252,11 +252,11 @@ def links(docs: DataFrame, one: DataFrame, width: int, percent: int, first: Data
     members = products(one, cells, percent)
     discard(cells)
     matrix = incidence_rows(docs, one, members.select("k").distinct(), width)
-    # A row moves once for each product it is in. Products are taken in rounds of about twice as
-    # many rows as the matrix has, so that what is shuffled at a time stays within that.
+    # A row moves once for each product it is in. Products are taken in rounds of about four times
+    # as many shingles as the matrix has, so that what is shuffled at a time stays within that.
     moved = members.agg(F.sum("n")).first()[0] or 0
     size = members.groupBy("k").agg(F.first("n").alias("n")).agg(F.sum("n")).first()[0] or 0
-    rounds = -(-moved // max(2 * size, 1 << 23))
+    rounds = -(-moved // max(4 * size, 1 << 23))
     for k in range(rounds):
         some = members.filter(F.pmod(F.xxhash64("i", "j"), F.lit(rounds)) == k)
         before, edges = edges, saved(edges.unionByName(multiplied(matrix, some, percent)))
