@@ -129,10 +129,10 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int, exact: bool) ->
             place = _first_node(F.col("tree"), e["start"], exceeds)
             between = F.get("at", place) - F.col("second")
             begun = F.get(e["begun"], _up_to(F.col("last"), t["us"] + F.lit(span), "us"))
+            # Looked for once, though it is tested and given.
+            soon = F.get(F.filter(F.array(between), lambda x: x < horizon), F.lit(0))
             return F.when(exceeds(rest), F.lit(0).cast("long")).otherwise(
-                F.coalesce(
-                    F.when(between < horizon, between), F.when(exceeds(begun), F.lit(horizon).cast("long"))
-                )
+                F.coalesce(soon, F.when(exceeds(begun), F.lit(horizon).cast("long")))
             )
 
         return F.struct(
@@ -146,7 +146,7 @@ def _search(extremes: DataFrame, keys: list[str], horizon: int, exact: bool) ->
     known = F.struct(
         _running(F.col("own"), 1).alias("rest"),
         _running(F.col("last"), -1).alias("begun"),
-        (_up_to(F.col("at"), F.col("second")) + 1).alias("start"),
+        (_up_to(F.col("at"), F.col("second"), bits=(2 * horizon).bit_length()) + 1).alias("start"),
     )
     result = _let(known, moves)
     names = [F.col("key")[c].alias(c) for c in keys]
@@ -378,20 +378,21 @@ def _running(times: Column, step: int) -> Column:
 
     extremes = F.transform(times, lambda t: F.struct(t["lo"].alias("lo"), t["hi"].alias("hi")))
     reaches = F.array(*[F.lit(1 << b) for b in range(_BITS)])
-    return F.aggregate(reaches, extremes, wider)
+    # Most seconds have one time, which is its own extreme.
+    return F.when(F.size(times) <= 1, extremes).otherwise(F.aggregate(reaches, extremes, wider))
 
 
-def _up_to(values: Column, most: Column, field: str | None = None) -> Column:
+def _up_to(values: Column, most: Column, field: str | None = None, bits: int = 0) -> Column:
     """The place of the last of the sorted values, or of their `field`, at or below `most`, -1 for none."""
-    return F.coalesce(_bisect(values, lambda x: (x[field] if field else x) <= most), F.lit(-1))
+    return F.coalesce(_bisect(values, lambda x: (x[field] if field else x) <= most, bits or _BITS), F.lit(-1))
 
 
-def _bisect(values: Column, holds) -> Column:
+def _bisect(values: Column, holds, bits: int = 0) -> Column:
     """The place of the last value for which `holds` is true; those before it have to be, too. NULL for none."""
 
     def nearer(place: Column, width: Column) -> Column:
         there = place + width
         return F.when(holds(F.get(values, there)) & (there < F.size(values)), there).otherwise(place)
 
-    widths = F.array(*[F.lit(1 << b) for b in reversed(range(_BITS))])
+    widths = F.array(*[F.lit(1 << b) for b in reversed(range(bits or _BITS))])
     return F.nullif(F.aggregate(widths, F.lit(-1), nearer), F.lit(-1))
