@@ -198,3 +198,45 @@ def test_phones_and_cards_by_context_are_learnt(spark):
     found = pii.find_personal_data(docs).collect()
     assert sum(any(x.kind == "phone" for x in r.found) for r in found) > 500
     assert all(r.n_spans == len(r.found) and r.n_phone == 0 for r in found)
+
+
+def _numbered(n):
+    """Texts with candidates of several kinds, some of them wrong ones."""
+    chance = random.Random(5)
+    lines = ["token = '%040x' and 12.%d", "call 0%010d or 10.0.0.%d", "user%d@example.org %d.300.1.2", "%016d or no%d@body"]
+    return [(i, " ".join(chance.choice(lines) % (chance.randrange(10**9), i) for _ in range(12))) for i in range(n)]
+
+
+def test_all_distinct_texts_train(spark, monkeypatch):
+    """No bound on texts, nor on the candidates of one: what is fitted has half of them, and the other half calibrates."""
+    rows = _numbered(400)
+    known = [[c for c in pii.candidates(t) if c.weak is not None] for _, t in rows]
+    assert max(map(len, known)) > 8
+    sizes, whole = [], pii.fit_trees
+    counts, platt = [], pii._platt
+
+    def fit(x, y):
+        sizes.append(len(x))
+        return whole(x, y, trees=2)
+
+    def calibrate(raw, y, n):
+        counts.append(int(n.sum()))
+        return platt(raw, y, n)
+
+    monkeypatch.setattr(pii, "fit_trees", fit)
+    monkeypatch.setattr(pii, "_platt", calibrate)
+    pii.train(spark.createDataFrame(rows + rows[:100], "doc_id long, text string"))
+    assert sizes[0] + counts[0] == sum(map(len, known))
+
+
+def test_spread_candidates_give_the_same_trees(spark, monkeypatch):
+    """Whether sums are made by tasks or in memory, and however rows are parted, the selector is the same."""
+    whole = pii.fit_trees
+    monkeypatch.setattr(pii, "fit_trees", lambda x, y: whole(x, y, trees=4))
+    docs = spark.createDataFrame(_numbered(300), "doc_id long, text string")
+    a = pii.train(docs.coalesce(1))
+    b = pii.train(docs.repartition(5), held=0)
+    assert a.thresholds and a.thresholds == b.thresholds
+    assert a.trees.scale == b.trees.scale
+    for (splits, leaves), (others, same) in zip(a.trees.trees, b.trees.trees, strict=True):
+        assert splits == others and (leaves == same).all()

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import discard, id_and_text, saved, ship
 
 # The kinds in the order in which spans are listed, `secret` only by the method.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -188,22 +188,23 @@ def _described(kind: str, text: str, a: int, b: int, before: str, around: int) -
     entropy = -sum(k / n * log2(k / n) for k in counts.values())
     number = _digits(span)
     last, following = before[-1:] or " ", text[b : b + 1] or " "
+    # Fractions in thousandths and counts up to 500: few values each, whatever the number of candidates.
     return [
         float(KINDS.index(kind)),
         min(n, 500),
-        digits / n,
-        letters / n,
-        sum(c.isupper() for c in span) / n,
-        entropy,
-        entropy / log2(n + 1),
+        round(digits / n, 3),
+        round(letters / n, 3),
+        round(sum(c.isupper() for c in span) / n, 3),
+        round(entropy, 3),
+        round(entropy / log2(n + 1), 3),
         min(len(number), 60),
-        span.count("."),
-        span.count("-"),
-        span.count(" "),
-        span.count("@"),
+        min(span.count("."), 500),
+        min(span.count("-"), 500),
+        min(span.count(" "), 500),
+        min(span.count("@"), 500),
         float(span[0] == "+"),
         float(bool(number) and luhn(number)),
-        max((len(p) for p in re.findall("[0-9]+", span)), default=0),
+        min(max((len(p) for p in re.findall("[0-9]+", span)), default=0), 500),
         float(all(c in "0123456789abcdefABCDEF" for c in span)),
         float(last in "\"'"),
         float(following in "\"'"),
@@ -228,10 +229,17 @@ class Trees:
     scale: tuple[float, float] = (1.0, 0.0)
 
     def bins(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
+        x = np.asarray(x, np.float32)
+        found = np.empty(x.shape, np.uint8)
+        for j, e in enumerate(self.edges):
+            found[:, j] = np.searchsorted(e.astype(np.float32), x[:, j], side="right")
+        return found
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        bins, total = self.bins(x), np.full(len(x), self.base)
+        return self.raw_of(self.bins(x))
+
+    def raw_of(self, bins: np.ndarray) -> np.ndarray:
+        total = np.full(len(bins), self.base)
         for splits, leaves in self.trees:
             total += leaves[_leaf(bins, splits)]
         return total
@@ -251,36 +259,142 @@ def _leaf(bins: np.ndarray, splits) -> np.ndarray:
     return leaf
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.2) -> Trees:
-    """`depth` splits per tree, each the same for all its nodes, the best by the gain summed over nodes."""
-    model = Trees([np.unique(np.quantile(x[:, j], np.linspace(0, 1, 33)[1:-1])) for j in range(x.shape[1])])
-    bins = model.bins(x)
-    model.base = float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
-    total = np.full(len(y), model.base)
+_BINS = 32
+# Slopes and bends are added up as whole numbers, so that sums do not depend on their order.
+_UNIT = float(1 << 20)
+
+
+def _sums(model: Trees, splits: list, bins: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope and bend of the loss per feature, node and bin, as the trees so far and the tree's first `splits` leave them."""
+    p = 1 / (1 + np.exp(-model.raw_of(bins)))
+    slope, bend = np.rint((y - p) * _UNIT), np.rint((p * (1 - p) + 1e-6) * _UNIT)
+    leaf, size = _leaf(bins, splits) * _BINS, _BINS << len(splits)
+    at = [leaf + bins[:, j] for j in range(bins.shape[1])]
+    return np.array([[np.bincount(a, v, minlength=size) for a in at] for v in (slope, bend)])
+
+
+class Held:
+    """Candidates in memory."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.x, self.y = x, y
+        self.positive, self.negative = y.sum(), (1 - y).sum()
+
+    def edges(self) -> list[np.ndarray]:
+        return [np.unique(np.quantile(self.x[:, j], _QUANTILES)) for j in range(self.x.shape[1])]
+
+    def binned(self, model: Trees) -> None:
+        self.bins = model.bins(self.x)
+
+    def sums(self, model: Trees, splits: list) -> np.ndarray:
+        return _sums(model, splits, self.bins, self.y)
+
+    def done(self) -> None:
+        pass
+
+
+class Spread:
+    """Candidates in a table (x binary): the features and label of some in each row.
+
+    Each split of a tree is one job over all of them, which brings the sums of its tasks to
+    the driver, of a fixed size each. Up to `held` candidates are brought there instead, as bins.
+    `values` has how often each value of a feature occurs, the label counting as the last one.
+    """
+
+    def __init__(self, table: DataFrame, values: pd.DataFrame, held: int):
+        self.table, self.values, self.held = table, values.sort_values(["j", "v"]), held
+        label = values[values["j"] == FEATURES]
+        self.positive, self.negative = (int(label["n"][label["v"] == v].sum()) for v in (1, 0))
+
+    def __len__(self) -> int:
+        return self.positive + self.negative
+
+    def edges(self) -> list[np.ndarray]:
+        found = []
+        for j in range(FEATURES):
+            own = self.values[self.values["j"] == j]
+            upto = own["n"].to_numpy().cumsum()
+            found.append(np.unique(own["v"].to_numpy()[np.searchsorted(upto, _QUANTILES * upto[-1])]))
+        return found
+
+    def binned(self, model: Trees) -> None:
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                x = _rows(batch["x"])
+                y = x[:, FEATURES].astype(np.uint8)
+                yield pd.DataFrame({"bins": [model.bins(x[:, :FEATURES]).tobytes()], "y": [y.tobytes()]})
+
+        cells = self.table.mapInPandas(each, "bins binary, y binary")
+        self.memory = None
+        if len(self) <= self.held:
+            self.memory = _cells(cells.toPandas())
+        else:
+            self.cells = saved(cells)
+
+    def sums(self, model: Trees, splits: list) -> np.ndarray:
+        if self.memory:
+            return _sums(model, splits, *self.memory)
+        shape = (2, FEATURES, _BINS << len(splits))
+
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(shape)
+            for batch in batches:
+                for k in range(len(batch)):
+                    total += _sums(model, splits, *_cells(batch[k : k + 1]))
+            yield pd.DataFrame({"sums": [total.tobytes()]})
+
+        found = self.cells.mapInPandas(each, "sums binary").collect()
+        return np.sum([np.frombuffer(r.sums).reshape(shape) for r in found], axis=0)
+
+    def done(self) -> None:
+        if not self.memory:
+            discard(self.cells)
+
+
+_QUANTILES = np.linspace(0, 1, _BINS + 1)[1:-1]
+
+
+def _rows(x: pd.Series) -> np.ndarray:
+    """Features and label of all candidates in a column of binaries."""
+    return np.frombuffer(b"".join(x), np.float32).reshape(-1, FEATURES + 1)
+
+
+def _cells(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    bins = np.frombuffer(b"".join(frame["bins"]), np.uint8).reshape(-1, FEATURES)
+    return bins, np.frombuffer(b"".join(frame["y"]), np.uint8).astype(float)
+
+
+def fit_trees(x: np.ndarray | Spread, y: np.ndarray | None, trees: int = 60, depth: int = 3, rate: float = 0.2) -> Trees:
+    """`depth` splits per tree, each the same for all its nodes, the best by the gain summed over nodes.
+
+    A `Spread` has its labels within.
+    """
+    source = x if isinstance(x, Spread) else Held(x, y)
+    model = Trees(source.edges())
+    source.binned(model)
+    model.base = float(np.log((source.positive + 1) / (source.negative + 1)))
+    widths = [len(e) + 1 for e in model.edges]
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-total))
-        slope, bend = y - p, p * (1 - p) + 1e-9
-        leaf, splits = np.zeros(len(y), np.int64), []
+        splits = []
         for level in range(depth):
             best = (-np.inf, 0, 0)
-            for j in range(x.shape[1]):
-                width = len(model.edges[j]) + 1
+            sums = source.sums(model, splits) / _UNIT
+            sums = sums.reshape(2, len(widths), 1 << level, _BINS)
+            for j, width in enumerate(widths):
                 if width < 2:
                     continue
-                at = leaf * width + bins[:, j]
-                g = np.bincount(at, slope, minlength=width << level).reshape(-1, width).cumsum(axis=1)
-                h = np.bincount(at, bend, minlength=width << level).reshape(-1, width).cumsum(axis=1)
+                g, h = sums[:, j, :, :width].cumsum(axis=2)
                 gain = (g**2 / (h + 1) + (g[:, -1:] - g) ** 2 / (h[:, -1:] - h + 1)).sum(axis=0)[:-1]
                 cut = int(gain.argmax())
                 if gain[cut] > best[0]:
                     best = (gain[cut], j, cut)
             splits.append(best[1:])
-            leaf = 2 * leaf + (bins[:, best[1]] > best[2])
-        g = np.bincount(leaf, slope, minlength=1 << depth)
-        h = np.bincount(leaf, bend, minlength=1 << depth)
-        leaves = rate * g / (h + 1)
-        model.trees.append((splits, leaves))
-        total += leaves[leaf]
+        # Either side of the last split is a leaf of each node.
+        _, j, cut = best
+        low, whole = sums[:, j, :, : cut + 1].sum(axis=2), sums[:, j].sum(axis=2)
+        g, h = np.stack([low, whole - low], axis=2).reshape(2, -1)
+        model.trees.append((splits, rate * g / (h + 1)))
+    source.done()
     return model
 
 
@@ -306,59 +420,80 @@ class Selector:
         return sorted(base, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
-def train(docs: DataFrame, most_docs: int = 20_000, per_doc: int = 8, precision: float = 0.98) -> Selector:
-    """Fit the trees on candidates of at most about `most_docs` distinct texts, `per_doc` of each.
+def train(docs: DataFrame, precision: float = 0.98, held: int = 20_000) -> Selector:
+    """Fit the trees on the candidates of all distinct texts.
 
-    A text counts once, however many rows repeat it, so the sample bounds what the
-    driver collects. Labels are weak: what the
+    A text counts once, however many rows repeat it. Labels are weak: what the
     checks of a kind say, a name that a value is assigned to, words that announce a phone or a card;
     candidates on which these say nothing are left out. One half of the
-    documents fits the trees, the other calibrates them and sets, for each kind, the
-    least threshold that keeps `precision`, at 0.5 or more.
+    texts fits the trees, the other calibrates them and sets, for each kind, the
+    least threshold that keeps `precision`, at 0.5 or more. Only sums and counts of a bounded
+    number come to the driver; for `held` see `Spread`.
     """
-    texts = id_and_text(docs).select("text", F.xxhash64("text").alias("key"))
-    distinct = texts.select("key").distinct().count()
-    share = most_docs / max(distinct, 1)
-    draw = F.pmod("key", F.lit(1 << 30))
-    drawn = texts.filter(draw < F.lit(int(min(share, 1) * (1 << 30)))).filter(F.col("text").rlike("[0-9@]"))
-    # Copies are let go per task first, so that only the sample's texts move.
-    chosen = drawn.mapInPandas(_distinct, drawn.schema).groupBy("key").agg(F.min("text").alias("text"))
+    ship(docs.sparkSession)
+    half = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).cast("int").alias("half")
+    texts = id_and_text(docs).select("text", F.xxhash64("text").alias("key"), half).filter(F.col("text").rlike("[0-9@]"))
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _distinct(batches):
             rows = []
-            for text, half in zip(batch["text"], batch["half"]):
-                known = [c for c in candidates(text) if c.weak is not None]
-                step = max(1, -(-len(known) // per_doc))
-                rows += [(half, c.features, float(c.weak)) for c in known[::step]]
-            yield pd.DataFrame(rows, columns=["half", "x", "y"])
+            for text, key, side in zip(batch["text"], batch["key"], batch["half"]):
+                known = [[*c.features, float(c.weak)] for c in candidates(text) if c.weak is not None]
+                for k in range(0, len(known), _MANY):
+                    rows.append((key, k, side, np.array(known[k : k + _MANY], np.float32).tobytes()))
+            yield pd.DataFrame(rows, columns=["key", "part", "half", "x"])
 
-    half = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).cast("int").alias("half")
-    rows = chosen.select("text", half).mapInPandas(describe, "half int, x array<double>, y double").collect()
-    rows.sort(key=lambda r: (r.half, r.x, r.y))
-    parts = [
-        (np.array([r.x for r in rows if r.half == k]).reshape(-1, FEATURES), np.array([r.y for r in rows if r.half == k]))
-        for k in (0, 1)
-    ]
-    (x, y), (x2, y2) = parts
-    if len({*y}) < 2 or len({*y2}) < 2:
+    described = texts.mapInPandas(describe, "key long, part long, half int, x binary")
+    # Copies are let go per task first, then among tasks.
+    described = saved(described.groupBy("key", "part").agg(F.min(F.struct("half", "x")).alias("row")).select("row.*"))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for side in (0, 1):
+                x = _rows(batch["x"][batch["half"] == side])
+                for j in range(0 if side == 0 else FEATURES, FEATURES + 1):
+                    v, n = np.unique(x[:, j], return_counts=True)
+                    yield pd.DataFrame({"half": side, "j": j, "v": v, "n": n})
+
+    values = described.mapInPandas(counted, "half int, j int, v float, n long")
+    values = values.groupBy("half", "j", "v").agg(F.sum("n").alias("n")).toPandas()
+    labels = values[values["j"] == FEATURES]
+    if any(len(labels[labels["half"] == side]) < 2 for side in (0, 1)):
+        discard(described)
         return Selector(Trees(), {})
-    trees = fit_trees(x, y)
-    trees.scale = _platt(trees.raw(x2), y2)
-    p = trees.probability(x2)
+    first = Spread(described.filter("half = 0").select("x"), values[values["half"] == 0], held)
+    trees = fit_trees(first, None)
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = _rows(batch["x"])
+            raw = np.floor(np.clip(trees.raw(x[:, :FEATURES]), -30, 30) * _GRID).astype(np.int64)
+            found = pd.DataFrame({"kind": x[:, 0].astype(np.int64), "raw": raw, "y": x[:, FEATURES].astype(float)})
+            yield found.groupby(["kind", "raw", "y"]).size().reset_index(name="n")
+
+    cells = described.filter("half = 1").select("x").mapInPandas(scored, "kind long, raw long, y double, n long")
+    cells = cells.groupBy("kind", "raw", "y").agg(F.sum("n").alias("n")).toPandas().sort_values(["kind", "raw", "y"])
+    discard(described)
+    raw, y, n = (cells["raw"] / _GRID).to_numpy(), cells["y"].to_numpy(), cells["n"].to_numpy()
+    trees.scale = _platt(raw, y, n)
+    a, b = trees.scale
+    cells["p"] = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
+    cells["right"] = cells["y"] * cells["n"]
     thresholds = {}
     for k, kind in enumerate(KINDS):
-        own = x2[:, 0] == k
-        order = np.argsort(-p[own])
-        right = np.cumsum(y2[own][order]) / np.arange(1, own.sum() + 1)
-        good = np.flatnonzero(right >= precision)
-        if len(good) and good[-1] >= 2:
-            thresholds[kind] = float(max(0.5, p[own][order][good[-1]]))
+        own = cells[cells["kind"] == k].groupby("p")[["right", "n"]].sum().sort_index(ascending=False).cumsum()
+        good = own[(own["right"] >= precision * own["n"]) & (own["n"] >= 3)]
+        if len(good):
+            thresholds[kind] = float(max(0.5, good.index[-1]))
     return Selector(trees, thresholds)
 
 
+_MANY = 4096  # candidates in a row
+_GRID = 1024  # steps of a raw score that are told apart in calibration
+
+
 def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows whose key the task has not given yet; keys are those of a bounded sample."""
+    """Rows whose key the task has not given yet; a task holds the keys of its own part of the input."""
     seen = set()
     for batch in batches:
         new = batch[~batch["key"].isin(seen)].drop_duplicates("key")
@@ -366,12 +501,13 @@ def _distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield new
 
 
-def _platt(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _platt(raw: np.ndarray, y: np.ndarray, n: np.ndarray | int = 1) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through scores of which each counts `n` times."""
     a, b = 1.0, 0.0
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(a * raw + b, -30, 30)))
-        w = q * (1 - q) + 1e-6
-        slope = np.array([((q - y) * raw).sum() + 0.1 * (a - 1), (q - y).sum()])
+        w = n * (q * (1 - q) + 1e-6)
+        slope = np.array([(n * (q - y) * raw).sum() + 0.1 * (a - 1), (n * (q - y)).sum()])
         bend = np.array([[(w * raw * raw).sum() + 0.1, (w * raw).sum()], [(w * raw).sum(), w.sum() + 1e-3]])
         step = np.linalg.solve(bend, slope)
         a, b = a - step[0], b - step[1]
