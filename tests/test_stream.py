@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import tickloom as tl
 from data import SCHEMA, SIX_TICKS, at, ticks
 from tickloom import schemas
+from tickloom.operators import zscore
 from tickloom.plans import Endpoint, first_move_job, loader_job, moving_job, zscore_job
 from tickloom.streaming import encode, route_by_window, start_sink, to_folders, to_outputs
 
@@ -400,3 +401,30 @@ def test_validation_of_a_stream(spark):
     assert_same(found, ticks(spark).select(*found.columns))
     found, _ = run(rejected)
     assert sorted(r.reason for r in found.collect()) == ["no price", "not JSON"]
+
+
+def test_dense_ticks_wait_together_for_their_windows(spark):
+    """What the score join keeps of a dense feed grows with its windows, not six times with its ticks."""
+    rows = [("AB"[i % 2], float(i * 7 % 31), at(i // 500 * 900 + i % 500 * 0.12)) for i in range(4000)]
+    rows += [(None, 1.0, at(5)), ("A", None, at(6))]
+    tick_path, moving_path = interleaved(spark, rows, 4)
+    moving = tl.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, moving_path)
+    scored = tl.zscore_rows(
+        tick_stream(spark, tick_path), tl.explode_stats(tl.decode(moving, schemas.MOVING, LATENESS))
+    )
+    found, progress = run(scored)
+    batch = ticks(spark, rows)
+    assert_same(real(found), tl.zscore_rows(batch, tl.window_stats(batch)))
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert 0 < max(kept) < 2000
+
+
+def test_packed_ticks_are_all_there(spark):
+    rows = [("AB"[i % 2], float("nan") if i % 9 == 0 else float(i), at(i * 0.01)) for i in range(3000)] + [(None, 1.0, at(1)), ("A", None, at(2))]
+    table = zscore.packed(ticks(spark, rows), 7_500_000, most=10, held=500)
+    assert table.filter("size(us) > 10 or size(us) <> size(price)").count() == 0
+    found = table.select("symbol", "slot", F.inline(F.arrays_zip("us", "price"))).collect()
+    assert all(r.slot == r.us - r.us % 7_500_000 for r in found)
+    expected = [(s, round(t.timestamp() * 1e6), str(p)) for s, p, t in rows if s and p is not None]
+    assert sorted((r.symbol, r.us, str(r.price)) for r in found) == sorted(expected)
+    assert zscore.packed(ticks(spark, rows[:0]), 7_500_000).count() == 0

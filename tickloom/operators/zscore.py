@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,26 +25,30 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
     width, use `tick_zscores` where a batch is scored by its own statistics.
 
     Of two streams each row is kept until the watermark passes the end of its own
-    window, and not for the longest one. Ticks of a long window are dealt over
-    several keys by a hash of their time, its few statistics go to all of these. Rows
+    window, and not for the longest one. Ticks that come together wait together: a row
+    that is kept has those of one batch and a quarter of the shortest window, see `packed`. Ticks of a long window
+    are dealt over several keys by a hash of that quarter, its few statistics go to all of these. Rows
     come out when their window's statistics are there, so by their `timestamp` they
     are up to the longest width late: group them with `zscore_array`, which knows.
     """
     widths = nested(widths)
     us = as_micros(F.col("timestamp"))
-    spans = F.array(
-        *[
-            F.struct(
-                F.lit(w.label).alias("window"),
-                (floor_micros(us, w.micros) + F.lit(w.micros)).alias("end"),
-                F.lit(_keys_of(w)).alias("keys"),
-            )
-            for w in widths
-        ]
-    )
+
+    def spans(of: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(w.label).alias("window"),
+                    (floor_micros(of, w.micros) + F.lit(w.micros)).alias("end"),
+                    F.lit(_keys_of(w)).alias("keys"),
+                )
+                for w in widths
+            ]
+        )
+
     p = ticks.filter(F.col("price").isNotNull() & F.col("timestamp").isNotNull())
     if not (ticks.isStreaming and stats.isStreaming):
-        p = p.select("timestamp", "symbol", "price", F.inline(spans)).alias("p")
+        p = p.select("timestamp", "symbol", "price", F.inline(spans(us))).alias("p")
         m = stats.withColumn("end", us).alias("m")
         if not (ticks.isStreaming or stats.isStreaming):
             # The statistics can outgrow the ticks they are estimated from: no broadcast.
@@ -53,8 +61,8 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
             zscore(F.col("p.price"), F.col("m.avg_price"), F.col("m.std_price")).alias("zscore_price"),
         )
     # Event time is the end of the window on both sides, and nothing else.
-    salt = F.pmod(F.xxhash64("us"), F.col("keys")).cast("int")
-    p = p.select(us.alias("us"), "symbol", "price", F.inline(spans)).select(
+    salt = F.pmod(F.xxhash64("slot"), F.col("keys")).cast("int")
+    p = packed(p, widths[0].micros // _PARTS).select("symbol", "slot", "us", "price", F.inline(spans(F.col("slot")))).select(
         last_instant(F.col("end"), ticks), "symbol", "window", salt.alias("salt"), "us", "price"
     )
     salts = F.lit(1)
@@ -63,7 +71,10 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
     m = stats.filter(F.col("timestamp").isNotNull()).select(
         last_instant(us, stats), "symbol", "window", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "avg_price", "std_price"
     )
-    return p.join(m, ["last_instant", "symbol", "window", "salt"]).select(
+    met = p.join(m, ["last_instant", "symbol", "window", "salt"]).select(
+        "symbol", "window", "avg_price", "std_price", F.inline(F.arrays_zip("us", "price"))
+    )
+    return met.select(
         from_micros(F.col("us")).alias("timestamp", metadata=watermark_of(ticks)),
         "symbol",
         "window",
@@ -71,6 +82,51 @@ def zscore_rows(ticks: DataFrame, stats: DataFrame, widths=SIX) -> DataFrame:
     )
 
 
+_PARTS = 4  # divides any whole number of seconds
+
+
+def packed(ticks: DataFrame, micros: int, most: int = 1024, held: int = 1 << 20) -> DataFrame:
+    """(symbol, slot, us, price): ticks of one symbol and stretch of `micros`, side by side in arrays.
+
+    On a stream these are the ticks of one batch. A row has at most `most` of them; a task
+    packs `held` ticks at a time. Rows without symbol, time or price are let go.
+    """
+    us = as_micros(F.col("timestamp"))
+    rows = ticks.filter(F.col("symbol").isNotNull() & F.col("price").isNotNull() & us.isNotNull())
+    rows = rows.select("symbol", floor_micros(us, micros).alias("slot"), us.alias("us"), "price")
+
+    # All within, as this package need not be installed where tasks run.
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(kept).combine_chunks()
+            symbol = table["symbol"].combine_chunks().dictionary_encode()
+            code, slot = symbol.indices.to_numpy(), table["slot"].to_numpy()
+            order = np.lexsort((slot, code))
+            code, slot = code[order], slot[order]
+            n = len(order)
+            new = np.concatenate([[True], (code[1:] != code[:-1]) | (slot[1:] != slot[:-1])])
+            begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            first = np.flatnonzero((np.arange(n) - begin) % most == 0)
+            offsets = pa.array(np.append(first, n).astype(np.int32))
+            arrays = [pa.ListArray.from_arrays(offsets, pa.array(table[c].to_numpy()[order])) for c in ("us", "price")]
+            names = symbol.dictionary.take(pa.array(code[first]))
+            return pa.RecordBatch.from_arrays([names, pa.array(slot[first]), *arrays], ["symbol", "slot", "us", "price"])
+
+        kept, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                kept.append(batch)
+                n += batch.num_rows
+            if n >= held:
+                yield made(kept)
+                kept, n = [], 0
+        if kept:
+            yield made(kept)
+
+    schema = "symbol string, slot long, us array<long>, price array<double>"
+    return rows.repartition("symbol", "slot").mapInArrow(pack, schema)
+
+
 def _keys_of(width) -> int:
     """Over how many keys the ticks of a window are dealt on a stream: one for each quarter of an hour."""
     return max(1, width.seconds // 900)
