@@ -196,3 +196,27 @@ def test_re_pair_leaves_no_frequent_pair():
 
 def production_rounds():
     return inspect.signature(token_files.write_tokens).parameters["rounds"].default
+
+
+def test_rounds_look_at_what_can_have_become_frequent(monkeypatch):
+    """Rounds after the first look at neighbours of new symbols only, and still leave no frequent pair."""
+    chance = np.random.default_rng(3)
+    words = [chance.integers(0, 4000, chance.integers(2, 9)) for _ in range(600)]
+    ids = np.concatenate([words[min(int(k), 599)] for k in chance.zipf(1.3, 12_000)]).astype("<u4")
+    ends = chance.random(len(ids)) < 0.01
+    ends[-1] = True
+    looked, frequent = [], token_files._frequent
+
+    def counted(pair, least):
+        looked.append(len(pair))
+        return frequent(pair, least)
+
+    monkeypatch.setattr(token_files, "_frequent", counted)
+    symbols, left, right, lengths = token_files.re_pair(ids, ends)
+    assert len(looked) > 5 and sum(looked[1:]) < 2 * looked[0]
+    rules = token_files._Rules(left, right, lengths)
+    assert np.array_equal(rules.expand(symbols), ids)
+    assert np.array_equal(rules.expand(symbols[:3]), ids[: int(rules.lengths(symbols[:3]).sum())])
+    last = np.isin(np.cumsum(rules.lengths(symbols)) - 1, np.flatnonzero(ends))
+    pairs = Counter(zip(symbols[:-1][~last[:-1]].tolist(), symbols[1:][~last[:-1]].tolist()))
+    assert max(pairs.values(), default=0) < 8 or all(a == b for (a, b), n in pairs.items() if n >= 8)

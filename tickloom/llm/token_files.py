@@ -137,23 +137,16 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least:
     left, right, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     made = 0
     closed = ends.copy()
+    # Where pairs begin that may be frequent. A pair that is not never will be, as rules only take
+    # occurrences away; so a round looks at those beside new symbols and at those left over.
+    at = np.flatnonzero(~closed[:-1])
     for _ in count_up() if rounds is None else range(rounds):
-        if len(symbols) < 2:
+        kinds, kind, count, frequent = _frequent(symbols[at] << 32 | symbols[at + 1], least)
+        if not len(kinds):
             break
-        pair = symbols[:-1] << 32 | symbols[1:]
-        rough = (pair * _MIX >> np.int64(42)) & np.int64((1 << 22) - 1)
-        often = np.bincount(rough[~closed[:-1]], minlength=1 << 22)[rough] >= least
-        at = np.flatnonzero(often & ~closed[:-1])
-        if not len(at):
-            break
-        kinds, kind, count = np.unique(pair[at], return_inverse=True, return_counts=True)
-        good = count >= least
-        if not good.any():
-            break
-        keep = good[kind]
-        at, kind = at[keep], kind[keep]
+        at = at[frequent]
         taken = _chosen(at, count[kind])
-        at, kind = at[taken], kind[taken]
+        over, at, kind = at[~taken], at[taken], kind[taken]
         present = np.zeros(len(kinds), bool)
         present[kind] = True
         used, rule = kinds[present], (np.cumsum(present) - 1)[kind]
@@ -166,7 +159,14 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least:
         closed[at] = closed[at + 1]
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
-        symbols, closed = symbols[stay], closed[stay]
+        look = np.zeros(len(symbols), bool)
+        look[over] = look[at] = True
+        # The symbol before a new one, two places back where that one is new as well.
+        look[np.maximum(at - 1 - (~stay[np.maximum(at - 1, 0)]), 0)] = True
+        symbols, closed, look = symbols[stay], closed[stay], look[stay]
+        look &= ~closed
+        look[-1] = False
+        at = np.flatnonzero(look)
         made += len(used)
     return symbols, np.concatenate(left), np.concatenate(right), np.concatenate(lengths)
 
@@ -177,6 +177,30 @@ _MIX = np.int64(-7046029254386353131)  # an odd multiplier, to spread pairs
 _NO_ID = -(1 << 63)  # stands for a missing doc_id in the files
 
 
+def _frequent(pair: np.ndarray, least: int):
+    """(kinds, kind, count, frequent): the pairs seen `least` times or more, ascending, which are so, and their kinds.
+
+    Places in a table of hashes rule out most others before any is sorted.
+    """
+    bits = min(max(len(pair).bit_length(), 10), 22)
+    rough = (pair * _MIX >> np.int64(64 - bits)) & np.int64((1 << bits) - 1)
+    often = np.flatnonzero(np.bincount(rough, minlength=1 << bits)[rough] >= least)
+    pair, rough = pair[often], rough[often]
+    kinds, count = np.unique(pair, return_counts=True)
+    kinds, count = kinds[count >= least], count[count >= least]
+    if not len(kinds):
+        return kinds, kinds, count, often[:0]
+    # Kinds that share a place with another are looked up by bisection.
+    table = np.zeros(1 << bits, np.int32)
+    table[(kinds * _MIX >> np.int64(64 - bits)) & np.int64((1 << bits) - 1)] = np.arange(len(kinds))
+    kind = table[rough].astype(np.int64)
+    found = kinds[kind] == pair
+    others = np.flatnonzero(~found)
+    kind[others] = np.minimum(np.searchsorted(kinds, pair[others]), len(kinds) - 1)
+    found[others] = kinds[kind[others]] == pair[others]
+    return kinds, kind[found], count, often[found]
+
+
 def _chosen(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Which of the occurrences to replace, so that none overlap.
 
@@ -207,7 +231,22 @@ class _Rules:
         return sizes
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        symbols = symbols.astype(np.int64)
+        """The ids that symbols stand for; of many, each rule is followed once and then copied."""
+        symbols, n = symbols.astype(np.int64), len(self.left)
+        if len(symbols) <= n:
+            return self._unfolded(symbols)
+        rules = self._unfolded(np.arange(_RULES, _RULES + n))
+        first = np.cumsum(self.sizes) - self.sizes
+        rule = symbols >= _RULES
+        begin = np.arange(len(rules), len(rules) + len(symbols))
+        begin[rule] = first[symbols[rule] - _RULES]
+        sizes = self.lengths(symbols)
+        place = np.cumsum(sizes)
+        at = np.repeat(begin - (place - sizes), sizes)
+        at += np.arange(len(at))
+        return np.concatenate([rules, symbols.astype(np.uint32)])[at]
+
+    def _unfolded(self, symbols: np.ndarray) -> np.ndarray:
         while len(symbols):
             rule = symbols >= _RULES
             if not rule.any():
