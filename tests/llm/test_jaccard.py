@@ -158,3 +158,45 @@ def test_bitmaps_bound_what_two_rows_share(spark):
     for r in frame.select("less", "n", jaccard._apart(F.col("p"), F.col("q")).alias("bits")).collect():
         assert r.bits <= r.less
         assert r.n > 70_000 or r.less < r.n or r.bits > 0.2 * r.n
+
+
+def test_bitmaps_keep_every_link_of_a_product():
+    chance = random.Random(31)
+    for two_sides in (False, True):
+        rows, sets = [], []
+        for k in range(60):
+            base = random.Random(k % 15)
+            n = base.choice([3, 40, 900, 1020, 1150])  # bitmaps of 16 words and of 32
+            values = [base.randint(-(1 << 62), 1 << 62) for _ in range(n)]
+            row = sorted({v if chance.random() < 0.95 else chance.randint(-(1 << 62), 1 << 62) for v in values})
+            side = k % 2 if two_sides else 0
+            rows.append((side, k, k // 2, len(row), jaccard.bits(jaccard.np.array(row))))
+            sets.append((side, k // 2, set(row)))
+        linked = {
+            k
+            for k, (side, root, x) in enumerate(sets)
+            for other, root_y, y in sets
+            if root != root_y and side != (other if two_sides else 1) and 100 * len(x & y) >= 80 * len(x | y)
+        }
+        left = {r[1] for r in jaccard.in_reach(rows, 80)}
+        assert linked and linked <= left
+
+
+def test_rows_that_no_pair_needs_are_not_moved(spark, monkeypatch):
+    """Unlike texts share a passage, so that they meet in blocks; their bitmaps go there, their rows do not."""
+    chance = random.Random(7)
+    passage = ["same%d" % i for i in range(40)]
+    texts = [" ".join(passage + ["x%d" % chance.randint(0, 10**9) for _ in range(60)]) for _ in range(28)]
+    copy = ["y%d" % i for i in range(100)]
+    texts += [" ".join(copy[:i] + ["z"] + copy[i:]) for i in (50, 60)]
+    moved = []
+    multiplied = jaccard.multiplied
+
+    def counted(matrix, members, percent):
+        moved.append(members.count())
+        return multiplied(matrix, members, percent)
+
+    monkeypatch.setattr(jaccard, "multiplied", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = check(docs)
+    assert sum(moved) <= 6 and len({root for _, _, root in found}) == 29

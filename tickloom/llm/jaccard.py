@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -251,20 +252,30 @@ def links(docs: DataFrame, one: DataFrame, width: int, percent: int, first: Data
     discard(columns, placed)
     members = products(one, cells, percent)
     discard(cells)
-    matrix = incidence_rows(docs, one, members.select("k").distinct(), width)
-    # A row moves once for each product it is in. Products are taken in rounds of about four times
-    # as many shingles as the matrix has, so that what is shuffled at a time stays within that.
-    moved = members.agg(F.sum("n")).first()[0] or 0
-    size = members.groupBy("k").agg(F.first("n").alias("n")).agg(F.sum("n")).first()[0] or 0
-    rounds = -(-moved // max(4 * size, 1 << 23))
-    for k in range(rounds):
-        some = members.filter(F.pmod(F.xxhash64("i", "j"), F.lit(rounds)) == k)
-        before, edges = edges, saved(edges.unionByName(multiplied(matrix, some, percent)))
-        discard(before)
-    discard(members, matrix)
+    # Bitmaps go to all products, rows only to those where bitmaps leave them in some pair.
+    words = F.greatest(F.lit(16), F.ceil(F.col("n") / 64))
+    near = _in_rounds(members, words, lambda some: near_members(_marks(one), some, percent))
+    left = reduce(DataFrame.unionByName, near)
+    matrix = incidence_rows(docs, one, left.select("k").distinct(), width)
+    found = _in_rounds(left, F.col("n"), lambda some: multiplied(matrix, some, percent))
+    before, edges = edges, saved(reduce(DataFrame.unionByName, found, edges))
+    discard(before, members, matrix, *near, *found)
     return edges
 
 
+def _in_rounds(members: DataFrame, size: Column, work: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    """What `work` makes of the members, in one saved table a round.
+
+    What is joined to a member, `size` words, moves once for each product it is in. A round moves
+    about four times as much as there is of it, so that what is shuffled at a time stays within that.
+    """
+    moved = members.agg(F.sum(size)).first()[0] or 0
+    there = members.groupBy("k").agg(F.first(size).alias("size")).agg(F.sum("size")).first()[0] or 0
+    rounds = max(-(-moved // max(4 * there, 1 << 23)), 1)
+    of = F.pmod(F.xxhash64("i", "j"), F.lit(rounds))
+    return [saved(work(members.filter(of == k))) for k in range(rounds)]
+
+
 def products(one: DataFrame, cells: DataFrame, percent: int, rows: int = 256, entries: int = 1_000_000) -> DataFrame:
     """(i, j, side, k, n, root): the rows of each two blocks whose product may hold links between components.
 
@@ -381,24 +392,75 @@ def _within_reach(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame
     return both.filter(F.coalesce(reach, F.lit(True))).select("i", "j", "i_n", "j_n")
 
 
+def near_members(marks: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(i, j, side, k, n, root): the members that `in_reach` leaves of each group (i, j); `marks` is (k, bits, n)."""
+    rows = members.select("i", "j", "side", "k", "root", "n").join(marks.select("k", "bits"), "k")
+    rows = rows.select("i", "j", "side", "k", "root", "n", "bits")
+
+    def left(group: tuple, kept: list[tuple]) -> list[tuple]:
+        return [(*group, side, k, n, root) for side, k, root, n, _ in in_reach(kept, percent)]
+
+    return _each_product(rows, left, "i long, j long, side long, k long, n long, root long")
+
+
 def multiplied(matrix: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(a, b): the links `product` finds in each group (i, j) of `members` (i, j, side, k, root)."""
+    rows = members.select("i", "j", "side", "k", "root").join(matrix.select("k", "row"), "k")
+    rows = rows.select("i", "j", "side", "k", "root", "row")
+    return _each_product(rows, lambda group, kept: product(kept, percent), "a long, b long")
+
+
+def _each_product(rows: DataFrame, work: Callable[[tuple, list[tuple]], list[tuple]], schema: str) -> DataFrame:
+    """What `work` finds in each group (i, j) of `rows`, given the group and its other columns; whole numbers."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, kept = None, []
         for batch in batches:
             found = []
-            for i, j, *row in zip(*(batch[c] for c in ("i", "j", "side", "k", "root", "row"))):
+            for i, j, *row in zip(*(batch[c] for c in batch.columns)):
                 if (i, j) != now:
-                    found += product(kept, percent)
+                    found += work(now, kept) if kept else []
                     now, kept = (i, j), []
                 kept.append(row)
-            yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
-        yield pd.DataFrame(product(kept, percent), columns=["a", "b"]).astype("int64")
+            yield pd.DataFrame(found, columns=names).astype("int64")
+        yield pd.DataFrame(work(now, kept) if kept else [], columns=names).astype("int64")
 
-    rows = members.select("i", "j", "side", "k", "root").join(matrix.select("k", "row"), "k")
-    rows = rows.select("i", "j", "side", "k", "root", "row")
-    return rows.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(each, "a long, b long")
+    return rows.repartition("i", "j").sortWithinPartitions("i", "j").mapInPandas(each, schema)
+
+
+def in_reach(rows: list[tuple], percent: int, width: int = 256) -> list[tuple]:
+    """Those of the rows (side, k, root, n, bits) that are in some pair of different roots whose bitmaps allow a link.
+
+    Pairs are of both sides, or of the one there is. Bitmaps are folded to the shortest length there is, and
+    what two have in common is added up `width` words at a time. The bound is that of `_within_reach`.
+    """
+    left = [r for r in rows if r[0] == 0]
+    right = [r for r in rows if r[0] == 1] or left
+    root_x, root_y = (np.array([r[2] for r in side], np.int64) for side in (left, right))
+    open_ = root_x[:, None] != root_y
+    if not open_.any():
+        return []
+    words = min(len(r[4]) for r in rows)
+    x, y = (
+        # Unsigned: of a negative number numpy counts the bits of its absolute value.
+        np.stack([np.bitwise_or.reduce(np.reshape(r[4], (-1, words))) for r in side]).astype(np.int64).view(np.uint64)
+        for side in (left, right)
+    )
+    common = np.zeros(open_.shape, np.int64)
+    for begin in range(0, words, width):
+        a, b = (
+            np.unpackbits(np.ascontiguousarray(m[:, begin : begin + width]).view(np.uint8), axis=1).astype(np.float32)
+            for m in (x, y)
+        )
+        common += (a @ b.T).astype(np.int64)
+    n_x, n_y = (np.array([r[3] for r in side], np.int64) for side in (left, right))
+    # Besides what is common, a row has a shingle at least for each bit that the other lacks.
+    more_x, more_y = n_x - np.bitwise_count(x).sum(axis=1), n_y - np.bitwise_count(y).sum(axis=1)
+    most = common + np.minimum(more_x[:, None], more_y)
+    open_ &= (100 + percent) * most >= percent * (n_x[:, None] + n_y)
+    found = [left[i] for i in np.flatnonzero(open_.any(axis=1))]
+    return found if right is left else found + [right[j] for j in np.flatnonzero(open_.any(axis=0))]
 
 
 def product(rows: list[tuple], percent: int, width: int = 2048) -> list[tuple[int, int]]:
