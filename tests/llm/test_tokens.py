@@ -7,10 +7,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tickloom.llm import packing, token_files
+from tickloom.llm import packing, token_files, tokens
 from tickloom.llm.tokens import Encoder
 
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -34,6 +35,68 @@ def test_ids_equal_the_library(path):
         assert encoder.encode(text) == ids, text
 
 
+MORE_EDGES = [
+    "×a ÷b a×b é÷", "a\x00b c\x00", "abc123 4x, x4", "\x85 a", " 1 x", "a1b22 3.c", "\n", "Ā ÿ À\nÖ", "x" * 500 + " y",
+    "<|endoftext|>", "a <|endoftext|>", "a\u2028b c", "naïve café's 12:30", "a\n<b>\nc 'd",
+]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_ids_of_many_texts_equal_the_library(path, monkeypatch):
+    """Many texts at once, also where few are cut or remembered at a time, and of a slice of a column."""
+    chance = random.Random(2)
+    texts = EDGES + MORE_EDGES
+    texts += ["".join(chance.choices("ab cé .,\n'sßÀ1²\t!İΣ×3\x00<|\xa0", k=n % 30)) for n in range(2000)]
+    texts += [" ".join("".join(chance.choices("abcé.1,\n!", k=1 + n % 7)) for _ in range(n % 12)) for n in range(2000)]
+    whole = Tokenizer.from_file(path)
+    expected = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for at_once in (4_000_000, 700):
+        monkeypatch.setattr(tokens, "_AT_ONCE", at_once)
+        encoder = Encoder(path, remember=200)
+        for column in (pa.array(texts), pa.array(["zz", *texts, "", "q"]).slice(1, len(texts))):
+            found = list(encoder.encode_all(column))
+            assert [t for t, a, b in zip(texts, found, expected) if a != b] == [] and len(found) == len(texts)
+    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    assert list(encoder.encode_all(pa.array(["", ""]))) == [b"", b""]
+
+
+def test_each_run_goes_to_the_library_once_and_with_others():
+    """Few calls of the library's model, however many different words there are."""
+    chance = random.Random(4)
+    words = ["".join(chance.choices("etaoinshrdlu", k=9)) for _ in range(3000)]
+    texts = [" ".join(chance.choices(words, k=200)) + "." for _ in range(60)]
+    encoder, calls = Encoder(BYTES), []
+    model = encoder.model.tokenize
+
+    class Counted:
+        def tokenize(self, text):
+            calls.append(text)
+            return model(text)
+
+    encoder.model = Counted()
+    encoder.plain.tokenize = encoder.first.tokenize = encoder.later.tokenize = encoder.model.tokenize
+    encoder.runs.tokenize = encoder.model.tokenize
+    found = list(encoder.encode_all(pa.array(texts)))
+    runs = {w if k == 0 else " " + w for t in texts for k, w in enumerate(t[:-1].split(" "))} | {"."}
+    assert sum(c.count(encoder.names[0]) for c in calls) == len(runs) and len(calls) <= len(runs) / 100
+    whole = Tokenizer.from_file(BYTES)
+    assert found == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    list(encoder.encode_all(pa.array(texts)))
+    assert len(calls) <= len(runs) / 100
+
+
+def test_what_is_remembered_is_bounded():
+    """Neither a long text nor ever new words stay in memory."""
+    chance = random.Random(5)
+    encoder = Encoder(BYTES, remember=300)
+    for _ in range(40):
+        texts = [" ".join("".join(chance.choices("etaoin", k=8)) for _ in range(100)) for _ in range(3)]
+        list(encoder.encode_all(pa.array([*texts, "x  " * 9000])))
+    kept = [encoder.runs.now, encoder.runs.before]
+    assert 0 < sum(len(k.numbers) for k in kept) < 2000 and max(len(run) for k in kept for run in k.numbers) <= 64
+    assert sum(len(k.ids) for k in kept) < 20_000
+
+
 def ids_of(path, text):
     return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [0]
 

@@ -8,6 +8,7 @@ from itertools import count as count_up
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,20 +46,22 @@ def write_tokens(
     """
     last = np.array([end_id], "<u4").tobytes()
 
-    def compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_all = encoder(vocabulary).encode_all
+        packed = lambda *x: pa.RecordBatch.from_pandas(_shard(*x, rounds), preserve_index=False)
         bucket, shard, size, doc_ids, parts = None, 0, 0, [], []
         for batch in batches:
-            for bucket, doc_id, text in zip(batch["bucket"], batch["doc_id"].array, batch["text"]):
-                ids = encode(text) + last
-                doc_ids.append(_NO_ID if pd.isna(doc_id) else int(doc_id))
-                parts.append(ids)
-                size += len(ids)
+            if batch.num_rows:
+                bucket = batch["bucket"][0].as_py()  # of a partition
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode_all(batch["text"])):
+                doc_ids.append(_NO_ID if doc_id is None else doc_id)
+                parts.append(ids + last)
+                size += len(parts[-1])
                 if size >= 4 * shard_tokens:
-                    yield _shard(bucket, shard, doc_ids, parts, rounds)
+                    yield packed(bucket, shard, doc_ids, parts)
                     shard, size, doc_ids, parts = shard + 1, 0, [], []
         if parts:
-            yield _shard(bucket, shard, doc_ids, parts, rounds)
+            yield packed(bucket, shard, doc_ids, parts)
 
     # Ranges of doc_ids, cut by a sample of ids that Spark draws; sorted within. Texts
     # move, not ids: encoding before would be done twice, once for that sample.
@@ -71,7 +74,7 @@ def write_tokens(
         .sortWithinPartitions(*keys)
         .select(F.spark_partition_id().cast("long").alias("bucket"), "doc_id", "text")
     )
-    ordered.mapInPandas(compress, SHARD).write.parquet(path)
+    ordered.mapInArrow(compress, SHARD).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -145,26 +148,31 @@ def re_pair(ids: np.ndarray, ends: np.ndarray, rounds: int | None = None, least:
         if not len(kinds):
             break
         at = at[frequent]
-        taken = _chosen(at, count[kind])
+        taken = _chosen(at, count.astype(np.int32)[kind])
         over, at, kind = at[~taken], at[taken], kind[taken]
         present = np.zeros(len(kinds), bool)
         present[kind] = True
-        used, rule = kinds[present], (np.cumsum(present) - 1)[kind]
+        used, rule = kinds[present], (np.cumsum(present) - 1 + _RULES + made)[kind]
         left.append(used >> 32)
         right.append(used & 0xFFFFFFFF)
         known = np.concatenate(lengths)
         size = lambda s: np.where(s >= _RULES, known[np.maximum(s - _RULES, 0)] if made else 1, 1)
         lengths.append(size(left[-1]) + size(right[-1]))
-        symbols[at] = _RULES + made + rule
-        closed[at] = closed[at + 1]
+        symbols[at] = rule
+        second = at + 1
+        closed[at] = closed[second]
         stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
+        stay[second] = False
         look = np.zeros(len(symbols), bool)
-        look[over] = look[at] = True
+        look[over] = True
+        look[at] = True
         # The symbol before a new one, two places back where that one is new as well.
-        look[np.maximum(at - 1 - (~stay[np.maximum(at - 1, 0)]), 0)] = True
-        symbols, closed, look = symbols[stay], closed[stay], look[stay]
+        before = np.maximum(at - 1, 0)
+        before -= ~stay[before]
+        look[np.maximum(before, 0)] = True
         look &= ~closed
+        stay = np.flatnonzero(stay)
+        symbols, closed, look = symbols[stay], closed[stay], look[stay]
         look[-1] = False
         at = np.flatnonzero(look)
         made += len(used)
@@ -178,27 +186,27 @@ _NO_ID = -(1 << 63)  # stands for a missing doc_id in the files
 
 
 def _frequent(pair: np.ndarray, least: int):
-    """(kinds, kind, count, frequent): the pairs seen `least` times or more, ascending, which are so, and their kinds.
-
-    Places in a table of hashes rule out most others before any is sorted.
-    """
-    bits = min(max(len(pair).bit_length(), 10), 22)
-    rough = (pair * _MIX >> np.int64(64 - bits)) & np.int64((1 << bits) - 1)
-    often = np.flatnonzero(np.bincount(rough, minlength=1 << bits)[rough] >= least)
-    pair, rough = pair[often], rough[often]
+    """(kinds, kind, count, frequent): the pairs seen `least` times or more, ascending, which are so, and their kinds."""
     kinds, count = np.unique(pair, return_counts=True)
     kinds, count = kinds[count >= least], count[count >= least]
     if not len(kinds):
-        return kinds, kinds, count, often[:0]
-    # Kinds that share a place with another are looked up by bisection.
-    table = np.zeros(1 << bits, np.int32)
-    table[(kinds * _MIX >> np.int64(64 - bits)) & np.int64((1 << bits) - 1)] = np.arange(len(kinds))
-    kind = table[rough].astype(np.int64)
-    found = kinds[kind] == pair
-    others = np.flatnonzero(~found)
+        return kinds, kinds, count, np.empty(0, np.int64)
+    # A table of hashes, small beside the pairs; kinds that share a place with another are looked up by bisection.
+    bits = max(len(kinds).bit_length() + 4, 10)
+    place = lambda p: (p * _MIX >> np.int64(64 - bits)) & np.int64((1 << bits) - 1)
+    table = np.full(1 << bits, -1, np.int32)
+    table[place(kinds)] = np.arange(len(kinds), dtype=np.int32)
+    kind = table[place(pair)]
+    perhaps = np.flatnonzero(kind >= 0)
+    pair, kind = pair[perhaps], kind[perhaps]
+    others = np.flatnonzero(kinds[kind] != pair)
     kind[others] = np.minimum(np.searchsorted(kinds, pair[others]), len(kinds) - 1)
-    found[others] = kinds[kind[others]] == pair[others]
-    return kinds, kind[found], count, often[found]
+    wrong = others[kinds[kind[others]] != pair[others]]
+    if len(wrong):
+        found = np.ones(len(kind), bool)
+        found[wrong] = False
+        kind, perhaps = kind[found], perhaps[found]
+    return kinds, kind, count, perhaps
 
 
 def _chosen(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -207,17 +215,21 @@ def _chosen(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
     Neighbouring occurrences overlap. One that is more frequent than both its
     neighbours wins; what stands beside no winner is taken every other time.
     """
-    touches = np.concatenate([[False], at[1:] == at[:-1] + 1, [False]])
-    before = np.where(touches[:-1], np.concatenate([[0], weight[:-1]]), 0)
-    after = np.where(touches[1:], np.concatenate([weight[1:], [0]]), 0)
-    wins = (weight > before) & (weight >= after)
-    padded = np.concatenate([[False], wins, [False]])
-    open_ = ~wins & ~(touches[:-1] & padded[:-2]) & ~(touches[1:] & padded[2:])
+    touches = at[1:] == at[:-1] + 1
+    wins = np.ones(len(at), bool)
+    wins[1:] &= ~touches | (weight[1:] > weight[:-1])
+    wins[:-1] &= ~touches | (weight[:-1] >= weight[1:])
+    open_ = ~wins
+    open_[1:] &= ~(touches & wins[:-1])
+    open_[:-1] &= ~(touches & wins[1:])
     # Runs of open neighbours: every other one, from the first.
-    joined = open_ & touches[:-1] & np.concatenate([[False], open_[:-1]])
-    index = np.arange(len(at))
+    left = np.flatnonzero(open_)
+    joined = np.zeros(len(left), bool)
+    joined[1:] = at[left[1:]] == at[left[:-1]] + 1
+    index = np.arange(len(left))
     start = np.maximum.accumulate(np.where(joined, 0, index))
-    return wins | (open_ & ((index - start) % 2 == 0))
+    wins[left[(index - start) % 2 == 0]] = True
+    return wins
 
 
 class _Rules:
