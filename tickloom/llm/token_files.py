@@ -62,6 +62,8 @@ def write_tokens(
                     shard, size, doc_ids, parts = shard + 1, 0, [], []
         if parts:
             yield packed(bucket, shard, doc_ids, parts)
+        # Arrow keeps what it has freed; the worker goes on to other tasks.
+        pa.default_memory_pool().release_unused()
 
     # Ranges of doc_ids, cut by a sample of ids that Spark draws; sorted within. Texts
     # move, not ids: encoding before would be done twice, once for that sample.
