@@ -11,7 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from tickloom.plans import Endpoint, late_job, validation_job
 from tickloom.streaming import encode, route_by_window, start_sink, to_folders
 
 LATENESS = "10 seconds"
+_BATCH = 5_000_000  # ticks
+_DDL = "symbol string, price double, timestamp timestamp"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -101,7 +104,9 @@ def _work_off(spark, sf_dir, *stages, late: bool = False, restart: bool = False)
     A stage takes the ticks and the folder in which those before it have left
     their results, as a stream of text or rows, and gives a stream. Each is one query that
     meets an arrival a batch; with `restart` a query ends after each arrival and goes on
-    from its checkpoint with the next. What comes of the ticks at the end is left out.
+    from its checkpoint with the next. So it is with arrivals of more than `_BATCH` ticks, too, which come in
+    stretches of time then: state is of a batch and the windows that are open after it. With `late` ticks
+    an arrival stays whole, as its end is what they are held against. What comes of the ticks at the end is left out.
     """
     tl.configure(spark)
     folder = _folder(spark)
@@ -111,20 +116,27 @@ def _work_off(spark, sf_dir, *stages, late: bool = False, restart: bool = False)
     if not arrivals:
         schema = stages[-1](_ticks(spark, sf_dir).withWatermark("timestamp", LATENESS), "").schema
         return spark.createDataFrame([], schema)
-    # So many files for each arrival, which make up a batch.
-    files = 1 + arrivals[0].count() // 2_000_000
+    first, largest = arrivals[0].count(), max(arrived.count() for arrived in arrivals)
+    if largest > _BATCH and not late:
+        arrivals, restart = _by_time(arrivals, folder), True
+    # So many files for each arrival, which make up a batch; where an arrival may leave one out, a query ends after each.
+    files = 1 + min(largest, 2 * _BATCH) // 250_000
+    restart = restart or (files > 1 and first < 10_000 * files)
+    like = _ticks(spark, sf_dir)
     schema, seen = None, 0
     while seen < len(arrivals):
         for arrived in arrivals[seen : seen + 1] if restart else arrivals:
             arrived.repartition(files).write.mode("append").parquet(f"{folder}/ticks")
             seen += 1
         for i, stage in enumerate(stages):
-            stream = stage(_arriving(spark, arrivals[0], folder, files), f"{folder}/{i - 1}")
+            stream = stage(_arriving(spark, like, folder, files), f"{folder}/{i - 1}")
             schema = stream.schema
             text = stream.columns == ["value"]
-            start_sink(
-                stream, "text" if text else "parquet", checkpoint=f"{folder}/state{i}", path=f"{folder}/{i}", available_now=True
-            ).awaitTermination()
+            with _state_partitions(spark, files):
+                query = start_sink(
+                    stream, "text" if text else "parquet", checkpoint=f"{folder}/state{i}", path=f"{folder}/{i}", available_now=True
+                )
+            query.awaitTermination()
     rows = spark.read.schema(schema).parquet(f"{folder}/{len(stages) - 1}")
     if "symbol" in rows.columns or "key" in rows.columns:
         return rows.filter(~F.col("symbol" if "symbol" in rows.columns else "key").eqNullSafe(closing))
@@ -132,6 +144,40 @@ def _work_off(spark, sf_dir, *stages, late: bool = False, restart: bool = False)
     return rows.filter(F.col("timestamp") <= F.lit(last))
 
 
+def _by_time(arrivals: list[DataFrame], folder: str) -> list[DataFrame]:
+    """The same ticks in arrivals of about `_BATCH` at most, which follow each other in time; those of one time are together."""
+    found = []
+    for i, arrived in enumerate(arrivals):
+        us, parts = F.unix_micros("timestamp"), -(-arrived.count() // _BATCH)
+        if parts <= 1:
+            found.append(arrived)
+            continue
+        shares = [k / parts for k in range(1, parts)]
+        bounds = sorted(set(arrived.select(F.percentile_approx(us, shares, 10_000)).first()[0]))
+        stretch = sum((us >= bound).cast("int") for bound in bounds)
+        # A stretch may be one file, and tasks share a file by its row groups.
+        parted = arrived.withColumn("stretch", stretch).write.option("parquet.block.size", 4 << 20)
+        parted.partitionBy("stretch").parquet(f"{folder}/feed{i}")
+        feed = arrived.sparkSession.read.schema(f"{_DDL}, stretch int").parquet(f"{folder}/feed{i}")
+        found += [feed.filter(F.col("stretch") == k).drop("stretch") for k in range(len(bounds) + 1)]
+    return found
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, files: int) -> Iterator[None]:
+    """A query started within has state partitions for the cores and files of a batch, and no more than the session's number.
+
+    Each costs several small files a batch, whatever is in it.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), max(spark.sparkContext.defaultParallelism, files)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _arriving(spark: SparkSession, like: DataFrame, folder: str, files: int = 1) -> DataFrame:
     reader = spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{folder}/ticks").withWatermark("timestamp", LATENESS)

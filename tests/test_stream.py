@@ -428,3 +428,24 @@ def test_packed_ticks_are_all_there(spark):
     expected = [(s, round(t.timestamp() * 1e6), str(p)) for s, p, t in rows if s and p is not None]
     assert sorted((r.symbol, r.us, str(r.price)) for r in found) == sorted(expected)
     assert zscore.packed(ticks(spark, rows[:0]), 7_500_000).count() == 0
+
+
+def test_scores_wait_together_for_their_arrays(spark):
+    """What `zscore_array` keeps grows with shortest windows, not with ticks; odd labels, scores and symbols as in a batch."""
+    r = random.Random(3)
+    labels = [*tl.LABELS, None, "odd", "x"]
+    times = [0, 0.5, 1, 29.9, 30, 31, 3599, 3600, 5000, -7] + [40 + i / 100 for i in range(900)]
+    rows = [
+        (at(r.choice(times)), r.choice(["A", "B", None]), r.choice(labels), r.choice([None, float("nan"), 1.5, -2.0, r.random()]))
+        for _ in range(3000)
+    ] + [(None, "A", "30s", 1.0)]
+    closing = [(at(90_000 * day), "~", "30s", 1.0) for day in (1, 2)]
+    schema, path = "timestamp timestamp, symbol string, window string, zscore_price double", folder()
+    for part in (rows, closing[:1], closing[1:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    found, progress = run(tl.zscore_array(stream.withWatermark("timestamp", LATENESS)))
+    expected = tl.zscore_array(spark.createDataFrame(rows, schema))
+    assert_same(found.filter("symbol is null or symbol <> '~'"), expected)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    assert expected.count() > 1000 and 0 < max(kept) <= 3 * 8 + 2

@@ -172,25 +172,19 @@ def zscore_array(rows: DataFrame, widths=SIX) -> DataFrame:
     are let go; on a stream they would be kept for ever.
 
     On a stream a tick time is complete when the longest of `widths` that holds it
-    has closed, which is what its group waits for.
+    has closed. Until then the scores of one symbol and shortest window wait together, side
+    by side in arrays of times and scores, see `_packed_scores`; their times are parted when they come out.
     """
+    timed = rows.filter(F.col("timestamp").isNotNull())
+    if rows.isStreaming:
+        return _arrays_of_stream(timed, nested(widths))
     element = F.struct(
         width_seconds(F.col("window")).alias("seconds"),
         F.col("zscore_price").isNull().alias("missing"),
         "zscore_price",
         "window",
     )
-    timed = rows.filter(F.col("timestamp").isNotNull())
-    keys = ["timestamp", "symbol"]
-    if rows.isStreaming:
-        us, longest = as_micros(F.col("timestamp")), nested(widths)[-1]
-        end = floor_micros(us, longest.micros) + F.lit(longest.micros)
-        # The time itself is no event time here.
-        timed = timed.select(
-            last_instant(end, rows), from_micros(us).alias("timestamp"), "symbol", "window", "zscore_price"
-        )
-        keys = ["last_instant", *keys]
-    arrays = timed.groupBy(*keys).agg(
+    return timed.groupBy("timestamp", "symbol").agg(
         F.transform(
             F.sort_array(F.collect_list(element)),
             lambda e: F.struct(
@@ -198,7 +192,92 @@ def zscore_array(rows: DataFrame, widths=SIX) -> DataFrame:
             ),
         ).alias("zscores")
     )
-    return arrays.select("timestamp", "symbol", "zscores")
+
+
+def _arrays_of_stream(rows: DataFrame, widths) -> DataFrame:
+    shortest, longest = widths[0], widths[-1]
+    end = floor_micros(F.col("slot"), longest.micros) + F.lit(longest.micros)
+    # The time itself is no event time here.
+    seconds = width_seconds(F.col("window")).alias("seconds")
+    packed = _packed_scores(rows, shortest.micros).select(
+        last_instant(end, rows), "symbol", "slot", F.struct("window", seconds, "us", "z").alias("scores")
+    )
+    waiting = packed.groupBy("last_instant", "symbol", "slot").agg(F.collect_list("scores").alias("scores"))
+
+    # All within, as this package need not be installed where tasks run.
+    def parted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        window, seconds, times, zs = batch["scores"].flatten().flatten()
+        of_pack = np.repeat(np.arange(batch.num_rows), batch["scores"].value_lengths().to_numpy())
+        pack = np.repeat(np.arange(len(of_pack)), times.value_lengths().to_numpy())
+        row, us, z = of_pack[pack], times.flatten().to_numpy(), zs.flatten()
+        # Labels of one length in the order of their bytes, NULL first.
+        labels = window.dictionary_encode()
+        rank = np.argsort(np.argsort([label.encode() for label in labels.dictionary.to_pylist()]))
+        rank = np.append(rank, -1)[labels.indices.fill_null(-1).to_numpy()].astype(int)
+        missing, value = z.is_null().to_numpy(zero_copy_only=False), z.fill_null(0.0).to_numpy()
+        order = np.lexsort((rank[pack], value, missing, seconds.to_numpy()[pack], us, row))
+        row, us = row[order], us[order]
+        first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (us[1:] != us[:-1])]))
+        offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+        elements = [window.take(pa.array(pack[order])), z.take(pa.array(order))]
+        arrays = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(elements, ["window", "zscore_price"]))
+        symbols = batch["symbol"].take(pa.array(row[first]))
+        return pa.RecordBatch.from_arrays([pa.array(us[first]), symbols, arrays], ["us", "symbol", "zscores"])
+
+    def part(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Rows of about `most` scores at a time.
+            *_, times, _ = batch["scores"].flatten().flatten()
+            packs = np.append(0, np.cumsum(times.value_lengths().to_numpy()))
+            ends = packs[np.cumsum(batch["scores"].value_lengths().to_numpy())]
+            cuts = np.flatnonzero(np.diff(ends // most, append=-1)) + 1
+            for begin, end in zip([0, *cuts[:-1]], cuts):
+                yield parted(batch.slice(begin, end - begin))
+
+    found = waiting.select("symbol", "scores").mapInArrow(
+        part, "us long, symbol string, zscores array<struct<window: string, zscore_price: double>>"
+    )
+    return found.select(from_micros(F.col("us")).alias("timestamp"), "symbol", "zscores")
+
+
+def _packed_scores(rows: DataFrame, micros: int, held: int = 1 << 20) -> DataFrame:
+    """(symbol, window, slot, us, z): scores of one symbol, window label and stretch of `micros`, side by side.
+
+    They are packed where they lie, `held` at a time.
+    """
+    # No column more than needed: Spark measures a batch for Arrow anew with each of its rows, column by column.
+    flat = rows.select("symbol", "window", as_micros(F.col("timestamp")).alias("us"), F.col("zscore_price").alias("z"))
+
+    # All within, as this package need not be installed where tasks run.
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def coded(column: pa.Array) -> np.ndarray:
+            codes = column.dictionary_encode().indices
+            return codes.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+        def made(kept: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            symbol, window, us = coded(whole["symbol"]), coded(whole["window"]), whole["us"].to_numpy()
+            name, slot = symbol * (int(window.max()) + 2) + window, us - us % micros
+            order = np.lexsort((slot, name))
+            name, slot = name[order], slot[order]
+            first = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (slot[1:] != slot[:-1])]))
+            offsets = pa.array(np.append(first, len(order)).astype(np.int32))
+            names = [whole[c].take(pa.array(order[first])) for c in ("symbol", "window")]
+            arrays = [pa.ListArray.from_arrays(offsets, whole[c].take(pa.array(order))) for c in ("us", "z")]
+            return pa.RecordBatch.from_arrays([*names, pa.array(slot[first]), *arrays], ["symbol", "window", "slot", "us", "z"])
+
+        kept, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                kept.append(batch)
+                n += batch.num_rows
+            if n >= held:
+                yield made(kept)
+                kept, n = [], 0
+        if kept:
+            yield made(kept)
+
+    return flat.mapInArrow(pack, "symbol string, window string, slot long, us array<long>, z array<double>")
 
 
 def zscore(price: Column, avg: Column, std: Column) -> Column:
